@@ -4,4 +4,6 @@ from bandstand.checks.registry import ORACLE, QUERIES, check  # noqa: F401
 from bandstand.checks import (  # noqa: F401,E402
     source_checks,
     mart_checks,
+    cleaning_checks,
+    linkage_checks,
 )

@@ -35,7 +35,7 @@ def f2(spark, d):
     return staged.groupBy("subgenre").agg(F.count("*").alias("artists"))
 
 
-@check("f3_titled_and_dated", sql("SELECT type AS album_type, count(*) AS albums, count_if(first_release_date = '') AS empty_dates FROM silver_albums WHERE title IS NOT NULL AND first_release_date IS NOT NULL GROUP BY 1", "silver_albums"))
+@check("f3_titled_and_dated", sql("SELECT type AS album_type, count(*) AS albums, count(*) FILTER (first_release_date = '') AS empty_dates FROM silver_albums WHERE title IS NOT NULL AND first_release_date IS NOT NULL GROUP BY 1", "silver_albums"))
 def f3(spark, d):
     return shapes.albums(spark, d).groupBy("album_type").agg(
         F.count("*").alias("albums"), F.count_if(F.col("first_release_date") == "").alias("empty_dates")
@@ -90,8 +90,8 @@ def a2(spark, d):
 
 
 @check("a3_conditional_counts", sql("""
- SELECT subgenre, count_if(listeners >= 3000000) AS breakout_artists, count_if(listeners < 1800000) AS underground_artists,
-  count_if(listeners BETWEEN 1800000 AND 2999999) AS rising_artists, count(formed_year) AS artists_with_formed_year,
+ SELECT subgenre, count(*) FILTER (listeners >= 3000000) AS breakout_artists, count(*) FILTER (listeners < 1800000) AS underground_artists,
+  count(*) FILTER (listeners BETWEEN 1800000 AND 2999999) AS rising_artists, count(formed_year) AS artists_with_formed_year,
   count(country) AS artists_with_country FROM artists GROUP BY 1""", "artists"))
 def a3(spark, d):
     return health.scene_stats(cells(spark, d)).select(
@@ -159,8 +159,8 @@ HEALTH_SQL = sql("""
  FROM (SELECT subgenre, count(*) AS total_artists, CAST(sum(listeners) AS BIGINT) AS total_listeners,
    CAST(sum(listeners) AS DOUBLE) / count(*) AS avg_listeners, quantile_disc(listeners, 0.5) AS median_listeners,
    quantile_disc(listeners, 0.9) AS p90_listeners, max(listeners) AS max_listeners,
-   count_if(listeners >= 3000000) AS breakout_artists, count_if(listeners BETWEEN 1800000 AND 2999999) AS rising_artists,
-   count_if(listeners < 1800000) AS underground_artists, CAST(sum(formed_year) AS DOUBLE) / count(formed_year) AS avg_formed_year,
+   count(*) FILTER (listeners >= 3000000) AS breakout_artists, count(*) FILTER (listeners BETWEEN 1800000 AND 2999999) AS rising_artists,
+   count(*) FILTER (listeners < 1800000) AS underground_artists, CAST(sum(formed_year) AS DOUBLE) / count(formed_year) AS avg_formed_year,
    quantile_disc(CAST(formed_year AS DOUBLE), 0.5) AS median_formed_year, min(formed_year) AS oldest_band_year,
    count(formed_year) AS artists_with_formed_year, count(DISTINCT country) AS country_count, count(country) AS artists_with_country
   FROM artists GROUP BY subgenre) s
@@ -186,7 +186,7 @@ def j3(spark, d):
     )
 
 
-@check("a19_breakout_share", sql("SELECT subgenre, round(CAST(count_if(listeners >= 3000000) AS DOUBLE) / count(*) * 100, 1) AS breakout_pct FROM artists GROUP BY 1", "artists"))
+@check("a19_breakout_share", sql("SELECT subgenre, round(CAST(count(*) FILTER (listeners >= 3000000) AS DOUBLE) / count(*) * 100, 1) AS breakout_pct FROM artists GROUP BY 1", "artists"))
 def a19(spark, d):
     return health.scene_stats(cells(spark, d)).select("subgenre", "breakout_pct")
 
@@ -346,10 +346,10 @@ def a12(spark, d):
 
 
 @check("q1_not_null", sql("""
- SELECT 'artists' AS table_name, 'lastfm_name' AS column_name, count_if(lastfm_name IS NULL) AS failures, 'pass' AS status FROM silver_artists
- UNION ALL SELECT 'artists', 'listeners', count_if(listeners IS NULL), 'pass' FROM silver_artists
- UNION ALL SELECT 'albums', 'artist_name', count_if(artist_name IS NULL), 'pass' FROM silver_albums
- UNION ALL SELECT 'albums', 'title', count_if(title IS NULL), CASE WHEN count_if(title IS NULL) > 0 THEN 'fail' ELSE 'pass' END FROM silver_albums""",
+ SELECT 'artists' AS table_name, 'lastfm_name' AS column_name, count(*) FILTER (lastfm_name IS NULL) AS failures, 'pass' AS status FROM silver_artists
+ UNION ALL SELECT 'artists', 'listeners', count(*) FILTER (listeners IS NULL), 'pass' FROM silver_artists
+ UNION ALL SELECT 'albums', 'artist_name', count(*) FILTER (artist_name IS NULL), 'pass' FROM silver_albums
+ UNION ALL SELECT 'albums', 'title', count(*) FILTER (title IS NULL), CASE WHEN count(*) FILTER (title IS NULL) > 0 THEN 'fail' ELSE 'pass' END FROM silver_albums""",
  "silver_artists", "silver_albums"))
 def q1(spark, d):
     first = quality.not_null_check(shapes.silver_artists(spark, d), "artists", quality.NOT_NULL["artists"])

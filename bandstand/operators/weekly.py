@@ -6,16 +6,16 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 
 from bandstand.functions.dates import week_start
 
-ENTRY = "STRUCT<name: STRING, listeners: STRING, playcount: STRING>"
+ENTRY = "name STRING, listeners STRING, playcount STRING"
 
 
 def flatten_weekly(raw: DataFrame) -> DataFrame:
     """Explode the chart entries; ``topartists`` may be an object that holds the list, or the list."""
-    # JSON null or a non-object entry parses to a null struct and is dropped.
-    wrapped = F.from_json("topartists", f"artist ARRAY<{ENTRY}>")["artist"]
-    bare = F.from_json("topartists", f"ARRAY<{ENTRY}>")
+    # Entries are taken as text first, so that one that is no object drops out alone.
+    wrapped = F.from_json("topartists", "artist ARRAY<STRING>")["artist"]
+    bare = F.from_json("topartists", "ARRAY<STRING>")
     is_list = F.ltrim("topartists").startswith("[")
-    entries = F.when(is_list, bare).otherwise(wrapped)
+    entries = F.transform(F.when(is_list, bare).otherwise(wrapped), lambda e: F.from_json(e, ENTRY))
     rows = (
         raw.where(F.coalesce("_week_start", F.lit("")) != "")
         .select(F.col("_week_start").alias("week_start"), "subgenre", "date", F.explode(entries).alias("e"))

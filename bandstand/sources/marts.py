@@ -8,6 +8,14 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from bandstand.schemas import MARTS, columns_of
 
+# Values are kept as they are, outer blanks included.
+CSV_OPTIONS = {
+    "header": "true",
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+}
+
 
 def materialize(df: DataFrame, base: str, mart: str) -> DataFrame:
     """Store a mart as Parquet and give back the stored table."""
@@ -24,15 +32,13 @@ def stage_view(df: DataFrame, name: str) -> DataFrame:
 
 def export_csv(df: DataFrame, path: str) -> str:
     """CSV with a header, one file per task."""
-    df.write.mode("overwrite").option("header", "true").option("escape", '"').csv(path)
+    df.write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
     return path
 
 
 def read_csv(spark: SparkSession, path: str, mart: str) -> DataFrame:
     """An exported mart or result, with its declared schema."""
-    return (
-        spark.read.option("header", "true").option("escape", '"').schema(MARTS[mart]).csv(path)
-    )
+    return spark.read.options(**CSV_OPTIONS).schema(MARTS[mart]).csv(path)
 
 
 def append_run_metrics(spark: SparkSession, path: str, run: str, params: dict, metrics: DataFrame) -> DataFrame:
