@@ -6,4 +6,6 @@ from bandstand.checks import (  # noqa: F401,E402
     mart_checks,
     cleaning_checks,
     linkage_checks,
+    model_checks,
+    chart_checks,
 )

@@ -129,7 +129,7 @@ _TAG_LISTS = "SELECT subgenre, name_key, string_agg(tag, '|' ORDER BY first_at)
 
 
 @check("a9_dedupe_artists", sql("""
- SELECT b.subgenre, lastfm_name, listeners, play_count, source_tag, formed_year, coalesce(tags, '') AS tags FROM base b LEFT JOIN tag_lists t ON t.subgenre = b.subgenre AND t.name_key = b.name_key""",
+ SELECT b.subgenre, lastfm_name, listeners, play_count, source_tag, formed_year, coalesce(t.tags, '') AS tags FROM base b LEFT JOIN tag_lists t ON t.subgenre = b.subgenre AND t.name_key = b.name_key""",
  "flat_artists", base=_BASE, tag_rows=_TAG_ROWS, tag_lists=_TAG_LISTS))
 def a9(spark, d):
     rows = cleaning.deduplicate_artists(cleaning.above_floor(flat(spark, d), S), ["_seq"])

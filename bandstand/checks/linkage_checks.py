@@ -172,7 +172,7 @@ def j4(spark, d):
 @check("j4_resolve_profiles", """
  WITH l AS (SELECT upper(p_name) AS k, arg_max(p_partkey, p_partkey) AS pk FROM part GROUP BY 1)
  SELECT a.p_partkey, 's-' || l.pk AS spotify_id, CASE WHEN l.pk % 2 = 0 THEN a.p_name ELSE string_split(a.p_name, ' ')[2] || ' ' || string_split(a.p_name, ' ')[1] END AS spotify_name,
-  'auto_accepted' AS entity_resolution_status, 100.0 AS entity_resolution_score FROM part a JOIN l ON l.k = upper(a.p_name)""")
+  'auto_accepted' AS entity_resolution_status, CAST(100 AS DOUBLE) AS entity_resolution_score FROM part a JOIN l ON l.k = upper(a.p_name)""")
 def j4_profiles(spark, d):
     part = table(spark, d, "part")
     names = part.select("p_partkey", F.col("p_name").alias("lastfm_name"))
