@@ -10,6 +10,7 @@ from bandstand.functions.ordering import with_row_number
 from bandstand.functions.ranking import arg_max_abs
 from bandstand.functions.tiers import prediction_tier
 from bandstand.ml import boosting, explain, metrics, prep, split
+from bandstand.runtime import cut_lineage
 from bandstand.settings import DEFAULTS, Settings
 
 KEY = "artist_name"
@@ -24,8 +25,13 @@ class TrainedRun:
 
 
 def train_run(features: DataFrame, params: boosting.BoostParams, s: Settings = DEFAULTS) -> TrainedRun:
-    """Split, fit the preparation on the training part only, boost, calibrate and evaluate."""
-    rows = split.stratified_split(prep.load_model_columns(features), prep.TARGET, KEY, s)
+    """Split, fit the preparation on the training part only, boost, calibrate and evaluate.
+
+    The model columns and the split are written down once: every round of every fold reads them again,
+    and must not run the marts behind them again.
+    """
+    columns = cut_lineage(prep.load_model_columns(features))
+    rows = cut_lineage(split.stratified_split(columns, prep.TARGET, KEY, s))
     train_raw, test_raw = rows.where(~F.col("is_test")), rows.where(F.col("is_test"))
     spec = prep.fit_features(train_raw, s)
     train = prep.to_matrix(prep.apply_features(train_raw, spec)).cache()
