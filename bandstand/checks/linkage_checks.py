@@ -71,7 +71,7 @@ def fz2(spark, d):
 
 def part_names(spark, d):
     return table(spark, d, "part").selectExpr(
-        "case when p_partkey % 50 = 0 then '' else format_string('Part Band %d', p_partkey) end as lastfm_name"
+        "case when p_partkey % 50 = 0 then '' else concat('Part Band ', cast(p_partkey as string)) end as lastfm_name"
     )
 
 
@@ -108,7 +108,7 @@ def f17(spark, d):
 
 def entities(spark, d):
     return table(spark, d, "part").selectExpr(
-        "format_string('e%012d', p_partkey) as id",
+        "concat('e', lpad(cast(p_partkey as string), 12, '0')) as id",
         "concat(p_name, ' ', p_type, ' ', p_brand) as name",
         "case when p_size % 4 <> 0 then 'Group' else 'Person' end as type",
         "p_brand as country",

@@ -62,8 +62,8 @@ def u3_latest(spark, d):
     )
 
 
-def cells(spark, d):
-    return health.scene_cells(shapes.artists(spark, d), S)
+def facets(spark, d):
+    return health.scene_facets(health.scene_cells(shapes.artists(spark, d), S))
 
 
 _STATS = """
@@ -74,7 +74,7 @@ _STATS = """
 
 @check("a1_scene_totals", sql(_STATS, "artists"))
 def a1(spark, d):
-    return health.scene_stats(cells(spark, d)).select(
+    return health.scene_stats(facets(spark, d)).select(
         "subgenre", "total_artists", "total_listeners", "avg_listeners", "max_listeners", "oldest_band_year"
     )
 
@@ -94,14 +94,14 @@ def a2(spark, d):
   count(*) FILTER (listeners BETWEEN 1800000 AND 2999999) AS rising_artists, count(formed_year) AS artists_with_formed_year,
   count(country) AS artists_with_country FROM artists GROUP BY 1""", "artists"))
 def a3(spark, d):
-    return health.scene_stats(cells(spark, d)).select(
+    return health.scene_stats(facets(spark, d)).select(
         "subgenre", "breakout_artists", "underground_artists", "rising_artists", "artists_with_formed_year", "artists_with_country"
     )
 
 
 @check("a4_distinct_countries", sql("SELECT subgenre, count(DISTINCT country) AS country_count FROM artists GROUP BY 1", "artists"))
 def a4(spark, d):
-    return health.scene_stats(cells(spark, d)).select("subgenre", "country_count")
+    return health.scene_stats(facets(spark, d)).select("subgenre", "country_count")
 
 
 _DECADES = """
@@ -111,7 +111,7 @@ _DECADES = """
 
 @check("a5_decade_totals", sql(_DECADES, "artists"))
 def a5(spark, d):
-    return health.decade_totals(cells(spark, d))
+    return health.decade_totals(facets(spark, d))
 
 
 _COUNTRIES = """
@@ -121,14 +121,14 @@ _COUNTRIES = """
 
 @check("a6_country_totals", sql(_COUNTRIES, "artists"))
 def a6(spark, d):
-    return health.country_totals(cells(spark, d))
+    return health.country_totals(facets(spark, d))
 
 
 @check("f5_group_null_filters", sql("""
  SELECT 'formed_year' AS facet, count(*) AS groups, CAST(sum(n) AS BIGINT) AS artists FROM (SELECT count(*) AS n FROM artists WHERE formed_year IS NOT NULL GROUP BY subgenre, CAST(floor(formed_year / 10) AS INTEGER))
  UNION ALL SELECT 'country', count(*), CAST(sum(n) AS BIGINT) FROM (SELECT count(*) AS n FROM artists WHERE country IS NOT NULL GROUP BY subgenre, country)""", "artists"))
 def f5(spark, d):
-    facts = cells(spark, d)
+    facts = facets(spark, d)
     decades = health.decade_totals(facts).agg(F.count("*").alias("groups"), F.sum("decade_artist_count").alias("artists"))
     countries = health.country_totals(facts).agg(F.count("*").alias("groups"), F.sum("country_artist_count").alias("artists"))
     return decades.withColumn("facet", F.lit("formed_year")).unionByName(countries.withColumn("facet", F.lit("country")))
@@ -139,7 +139,7 @@ def f5(spark, d):
  FROM (SELECT *, row_number() OVER (PARTITION BY subgenre ORDER BY decade_total_listeners DESC, formation_decade) AS era_rank FROM decades) WHERE era_rank = 1""",
  "artists", decades=_DECADES))
 def w2(spark, d):
-    return health.golden_era(cells(spark, d))
+    return health.golden_era(facets(spark, d))
 
 
 @check("w3_top_country", sql("""
@@ -147,7 +147,7 @@ def w2(spark, d):
  FROM (SELECT *, row_number() OVER (PARTITION BY subgenre ORDER BY country_listeners DESC, country) AS country_rank FROM countries) WHERE country_rank = 1""",
  "artists", countries=_COUNTRIES))
 def w3(spark, d):
-    return health.top_country(cells(spark, d))
+    return health.top_country(facets(spark, d))
 
 
 HEALTH_SQL = sql("""
@@ -188,7 +188,7 @@ def j3(spark, d):
 
 @check("a19_breakout_share", sql("SELECT subgenre, round(CAST(count(*) FILTER (listeners >= 3000000) AS DOUBLE) / count(*) * 100, 1) AS breakout_pct FROM artists GROUP BY 1", "artists"))
 def a19(spark, d):
-    return health.scene_stats(cells(spark, d)).select("subgenre", "breakout_pct")
+    return health.scene_stats(facets(spark, d)).select("subgenre", "breakout_pct")
 
 
 @check("a7_album_facts", sql("SELECT name_key, total_albums, debut_year, last_album_year, last_release_date, studio_albums, eps, singles FROM album_facts", "album_facts"))
@@ -215,7 +215,7 @@ def w1(spark, d):
  UNION ALL SELECT 'era', count(DISTINCT subgenre) FROM artists WHERE formed_year IS NOT NULL
  UNION ALL SELECT 'country', count(DISTINCT subgenre) FROM artists WHERE country IS NOT NULL""", "primary_artists"))
 def f6(spark, d):
-    facts = cells(spark, d)
+    facts = facets(spark, d)
     frames = {
         "artist": catalogue.primary_artists(shapes.artists(spark, d)),
         "era": health.golden_era(facts),
@@ -315,7 +315,7 @@ def t1_top(spark, d):
 
 @check("t3_sorted_health", sql("SELECT subgenre, total_listeners, row_number() OVER (ORDER BY total_listeners, subgenre) AS place FROM (SELECT subgenre, CAST(sum(listeners) AS BIGINT) AS total_listeners FROM artists GROUP BY 1)", "artists"))
 def t3(spark, d):
-    totals = health.scene_stats(cells(spark, d)).select("subgenre", "total_listeners")
+    totals = health.scene_stats(facets(spark, d)).select("subgenre", "total_listeners")
     return ordering.with_row_number(totals, [F.col("total_listeners"), F.col("subgenre")], "place")
 
 

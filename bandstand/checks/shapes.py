@@ -95,8 +95,8 @@ def raw_albums(spark: SparkSession, d: str) -> DataFrame:
             " when o_orderkey % 13 = 0 then date_format(o_orderdate, 'yyyy')"
             " when o_orderkey % 17 = 0 then date_format(o_orderdate, 'yyyy-MM')"
             " else date_format(o_orderdate, 'yyyy-MM-dd') end as first_release_date",
-            "case when o_orderkey % 5 = 0 then format_string(' CUSTOMER#%09d', o_custkey)"
-            " else format_string('Customer#%09d', o_custkey) end as artist_name",
+            "case when o_orderkey % 5 = 0 then concat(' CUSTOMER#', lpad(cast(o_custkey as string), 9, '0'))"
+            " else concat('Customer#', lpad(cast(o_custkey as string), 9, '0')) end as artist_name",
             "concat('mb-', cast(o_custkey as string)) as artist_mbid",
             "o_orderkey as _seq",
             "'registry' as source",
@@ -227,12 +227,12 @@ _WEEKLY_SQL = """
 def candidates(spark: SparkSession, d: str) -> DataFrame:
     """Line items as landed search results: one row per query and candidate."""
     return table(spark, d, "lineitem").selectExpr(
-        "format_string('Part Band %d', l_partkey) as query",
+        "concat('Part Band ', cast(l_partkey as string)) as query",
         "l_orderkey * 10 + l_linenumber as pos",
         "concat('e-', cast(l_orderkey as string), '-', cast(l_linenumber as string)) as id",
-        "case l_linenumber when 1 then format_string('%d band part', l_partkey)"
-        " when 2 then format_string('Part Bnd %d', l_partkey)"
-        " when 3 then format_string('The Part Band of %d', l_suppkey) else format_string('Solo %d', l_suppkey) end as name",
+        "case l_linenumber when 1 then concat(cast(l_partkey as string), ' band part')"
+        " when 2 then concat('Part Bnd ', cast(l_partkey as string))"
+        " when 3 then concat('The Part Band of ', cast(l_suppkey as string)) else concat('Solo ', cast(l_suppkey as string)) end as name",
         "case when l_returnflag = 'R' then 'Group' when l_returnflag = 'A' then 'Person' end as type",
         "l_linestatus as country",
         "case when l_orderkey % 9 <> 0 then cast(l_quantity as int) end as score",

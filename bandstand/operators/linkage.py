@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from bandstand.functions.dates import life_span_year
 from bandstand.functions.ranking import first_per_key
-from bandstand.functions.similarity import indel_ratio, sorted_tokens, token_sort_ratio
+from bandstand.functions.similarity import sorted_tokens, token_sort_ratio
 from bandstand.functions.tiers import match_status
 from bandstand.settings import DEFAULTS, Settings
 
@@ -97,7 +97,8 @@ def name_pairs(queries: DataFrame, entities: DataFrame) -> DataFrame:
     """Candidate pairs ``q, e`` of distinct token-sorted names (columns ``q`` and ``e`` in)."""
     left = queries.select("q", F.explode(_keys(F.col("q"), True)).alias("k"))
     right = entities.select("e", F.explode(_keys(F.col("e"), False)).alias("k"))
-    pairs = left.join(right, "k").select("q", "e")
+    # Exploded keys are many times larger than their table's size estimate: never broadcast them.
+    pairs = left.join(right.hint("merge"), "k").select("q", "e")
     # Equal hashes of different keys are told apart here.
     one_char = F.levenshtein("q", "e", 1) >= 0
     one_token = F.array_contains(_without_token(F.col("q")), F.col("e")) | F.array_contains(
@@ -106,6 +107,14 @@ def name_pairs(queries: DataFrame, entities: DataFrame) -> DataFrame:
     return pairs.where(one_char | one_token).distinct()
 
 
+def pair_score(q: Column, e: Column) -> Column:
+    """Indel ratio of a candidate pair. By the rules the shorter name is a subsequence of the longer one, or
+    both have the same length and differ in one place, so the common subsequence needs no search."""
+    differs = ((F.length(q) == F.length(e)) & (q != e)).cast("int")
+    shared = F.least(F.length(q), F.length(e)) - differs
+    return F.lit(200.0) * shared / (F.length(q) + F.length(e))
+
+
 def link_names(names: DataFrame, entities: DataFrame, s: Settings = DEFAULTS) -> DataFrame:
     """Best entity per artist name by the candidate rule: groups first, then similarity.
 
@@ -120,7 +129,7 @@ def link_names(names: DataFrame, entities: DataFrame, s: Settings = DEFAULTS) ->
         [group_first(), F.col("id")],
     )
     pairs = name_pairs(queries.select("q").distinct(), known.select("e"))
-    scored = pairs.withColumn("_score", indel_ratio(F.col("q"), F.col("e"))).join(known, "e")
+    scored = pairs.withColumn("_score", pair_score(F.col("q"), F.col("e"))).join(known, "e")
     best = first_per_key(scored, ["q"], [group_first(), F.col("_score").desc(), F.col("e"), F.col("id")])
     return queries.join(best, "q", "left").select(
         "lastfm_name",

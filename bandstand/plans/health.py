@@ -1,20 +1,22 @@
 """Scene health mart: one row per subgenre.
 
 Two scans. The first reduces the artists to one row per ``(subgenre, decade, country)`` with a codegen
-hash aggregate; every count, sum, extreme and ranking comes from that small table. The second keeps the
-quantile sketches, which are per subgenre only. Both aggregate before the shuffle, so a scene with a
-third of all artists sends one row (or one sketch) per task.
+hash aggregate; the totals, the decades and the countries of a scene are three facets of that small
+table, stacked and reduced in one chain, so no branch of the plan reads the artists again. The second
+scan keeps the quantile sketches, which are per subgenre only. Both aggregate before the shuffle: a scene
+with a third of all artists sends a few rows (or one sketch) per task.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from bandstand.functions.numbers import decade, share_pct
-from bandstand.functions.ranking import first_per_key
 from bandstand.settings import DEFAULTS, Settings
 
 ACCURACY = 10_000
+SCENE, DECADE, COUNTRY = "scene", "decade", "country"
+ADDED = ["artists", "listeners", "breakout", "underground", "rising", "year_sum"]
 
 
 def scene_cells(artists: DataFrame, s: Settings = DEFAULTS) -> DataFrame:
@@ -32,32 +34,96 @@ def scene_cells(artists: DataFrame, s: Settings = DEFAULTS) -> DataFrame:
     )
 
 
-def scene_stats(cells: DataFrame) -> DataFrame:
-    dated, placed = F.col("formation_decade").isNotNull(), F.col("country").isNotNull()
-    totals = cells.groupBy("subgenre").agg(
-        F.sum("artists").alias("total_artists"),
-        F.sum("listeners").alias("total_listeners"),
-        F.max("max_listeners").alias("max_listeners"),
-        F.sum("breakout").alias("breakout_artists"),
-        F.sum("underground").alias("underground_artists"),
-        F.sum("rising").alias("rising_artists"),
-        F.sum("year_sum").alias("_years"),
-        F.min("oldest").alias("oldest_band_year"),
-        F.sum(F.when(dated, F.col("artists")).otherwise(0)).alias("artists_with_formed_year"),
-        F.count_distinct("country").alias("country_count"),
-        F.sum(F.when(placed, F.col("artists")).otherwise(0)).alias("artists_with_country"),
+def scene_facets(cells: DataFrame) -> DataFrame:
+    """One row per scene, per decade of a scene and per country of a scene; unknown values form no facet."""
+    no_decade, no_country = F.lit(None).cast("int"), F.lit(None).cast("string")
+
+    def facet(name: str, by_decade: bool, by_country: bool) -> Column:
+        return F.struct(
+            F.lit(name).alias("facet"),
+            (F.col("formation_decade") if by_decade else no_decade).alias("in_decade"),
+            (F.col("country") if by_country else no_country).alias("in_country"),
+        )
+
+    kinds = F.array(
+        facet(SCENE, False, False),
+        F.when(F.col("formation_decade").isNotNull(), facet(DECADE, True, False)),
+        F.when(F.col("country").isNotNull(), facet(COUNTRY, False, True)),
+    )
+    dated = F.when(F.col("formation_decade").isNotNull(), F.col("artists")).otherwise(0)
+    placed = F.when(F.col("country").isNotNull(), F.col("artists")).otherwise(0)
+    return (
+        cells.withColumns({"dated": dated, "placed": placed, "f": F.explode(F.array_compact(kinds))})
+        .groupBy("subgenre", "f.facet", "f.in_decade", "f.in_country")
+        .agg(
+            *[F.sum(c).alias(c) for c in (*ADDED, "dated", "placed")],
+            F.max("max_listeners").alias("max_listeners"),
+            F.min("oldest").alias("oldest"),
+        )
     )
-    return totals.withColumns(
+
+
+def _scene(column: str) -> Column:
+    return F.max(F.when(F.col("facet") == SCENE, F.col(column)))
+
+
+def _largest(facet: str, value: str, fields: list[str]) -> Column:
+    """Facet with most listeners, the first by value on ties."""
+    order = F.when(F.col("facet") == facet, F.struct(-F.col("listeners"), F.col(value)))
+    return F.min_by(F.struct(value, *fields), order)
+
+
+def _golden() -> Column:
+    return _largest(DECADE, "in_decade", ["listeners", "artists"]).alias("golden")
+
+
+def _top() -> Column:
+    return _largest(COUNTRY, "in_country", ["listeners"]).alias("top")
+
+
+GOLDEN_COLUMNS = {
+    "golden_era_decade": "golden.in_decade",
+    "golden_era_total_listeners": "golden.listeners",
+    "golden_era_artist_count": "golden.artists",
+}
+TOP_COLUMNS = {"dominant_country": "top.in_country", "dominant_country_listeners": "top.listeners"}
+
+
+def _named(columns: dict[str, str]) -> list[Column]:
+    return [F.col(path).alias(name) for name, path in columns.items()]
+
+
+def _stats() -> list[Column]:
+    return [
+        _scene("artists").alias("total_artists"),
+        _scene("listeners").alias("total_listeners"),
+        _scene("max_listeners").alias("max_listeners"),
+        _scene("breakout").alias("breakout_artists"),
+        _scene("underground").alias("underground_artists"),
+        _scene("rising").alias("rising_artists"),
+        _scene("year_sum").alias("_years"),
+        _scene("oldest").alias("oldest_band_year"),
+        _scene("dated").alias("artists_with_formed_year"),
+        F.count_if(F.col("facet") == COUNTRY).alias("country_count"),
+        _scene("placed").alias("artists_with_country"),
+    ]
+
+
+def _ratios(df: DataFrame) -> DataFrame:
+    years = F.col("_years") / F.nullif(F.col("artists_with_formed_year"), F.lit(0))
+    return df.withColumns(
         {
             "avg_listeners": F.col("total_listeners") / F.col("total_artists"),
             "breakout_pct": share_pct(F.col("breakout_artists"), F.col("total_artists")),
-            "avg_formed_year": F.when(
-                F.col("artists_with_formed_year") > 0, F.col("_years") / F.col("artists_with_formed_year")
-            ),
+            "avg_formed_year": years,
         }
     ).drop("_years")
 
 
+def scene_stats(facets: DataFrame) -> DataFrame:
+    return _ratios(facets.groupBy("subgenre").agg(*_stats()))
+
+
 def scene_quantiles(artists: DataFrame) -> DataFrame:
     return artists.groupBy("subgenre").agg(
         F.percentile_approx("listeners", 0.5, ACCURACY).alias("median_listeners"),
@@ -66,57 +132,44 @@ def scene_quantiles(artists: DataFrame) -> DataFrame:
     )
 
 
-def decade_totals(cells: DataFrame) -> DataFrame:
-    return (
-        cells.where(F.col("formation_decade").isNotNull())
-        .groupBy("subgenre", "formation_decade")
-        .agg(F.sum("listeners").alias("decade_total_listeners"), F.sum("artists").alias("decade_artist_count"))
+def decade_totals(facets: DataFrame) -> DataFrame:
+    return facets.where(F.col("facet") == DECADE).select(
+        "subgenre",
+        F.col("in_decade").alias("formation_decade"),
+        F.col("listeners").alias("decade_total_listeners"),
+        F.col("artists").alias("decade_artist_count"),
     )
 
 
-def country_totals(cells: DataFrame) -> DataFrame:
-    return (
-        cells.where(F.col("country").isNotNull())
-        .groupBy("subgenre", "country")
-        .agg(F.sum("listeners").alias("country_listeners"), F.sum("artists").alias("country_artist_count"))
+def country_totals(facets: DataFrame) -> DataFrame:
+    return facets.where(F.col("facet") == COUNTRY).select(
+        "subgenre",
+        F.col("in_country").alias("country"),
+        F.col("listeners").alias("country_listeners"),
+        F.col("artists").alias("country_artist_count"),
     )
 
 
-def golden_era(cells: DataFrame) -> DataFrame:
+def golden_era(facets: DataFrame) -> DataFrame:
     """The decade with most listeners per scene, the earlier one on ties."""
-    top = first_per_key(
-        decade_totals(cells), ["subgenre"], [F.col("decade_total_listeners").desc(), F.col("formation_decade")]
-    )
-    return top.select(
-        "subgenre",
-        F.col("formation_decade").alias("golden_era_decade"),
-        F.col("decade_total_listeners").alias("golden_era_total_listeners"),
-        F.col("decade_artist_count").alias("golden_era_artist_count"),
-    )
+    dated = facets.where(F.col("facet") == DECADE)
+    return dated.groupBy("subgenre").agg(_golden()).select("subgenre", *_named(GOLDEN_COLUMNS))
 
 
-def top_country(cells: DataFrame) -> DataFrame:
+def top_country(facets: DataFrame) -> DataFrame:
     """The country with most listeners per scene, the first by name on ties."""
-    top = first_per_key(country_totals(cells), ["subgenre"], [F.col("country_listeners").desc(), F.col("country")])
-    return top.select(
-        "subgenre",
-        F.col("country").alias("dominant_country"),
-        F.col("country_listeners").alias("dominant_country_listeners"),
-    )
+    placed = facets.where(F.col("facet") == COUNTRY)
+    return placed.groupBy("subgenre").agg(_top()).select("subgenre", *_named(TOP_COLUMNS))
 
 
 def subgenre_health(artists: DataFrame, s: Settings = DEFAULTS) -> DataFrame:
-    cells = scene_cells(artists, s)
-    joined = (
-        scene_stats(cells)
-        .join(scene_quantiles(artists), "subgenre")
-        .join(golden_era(cells), "subgenre", "left")
-        .join(top_country(cells), "subgenre", "left")
-    )
+    facets = scene_facets(scene_cells(artists, s))
+    per_scene = _ratios(facets.groupBy("subgenre").agg(*_stats(), _golden(), _top()))
+    joined = per_scene.join(scene_quantiles(artists), "subgenre")
+    golden, top = _named(GOLDEN_COLUMNS), _named(TOP_COLUMNS)
     return joined.select(
         "subgenre", "total_artists", "total_listeners", "avg_listeners", "median_listeners", "p90_listeners",
         "max_listeners", "breakout_artists", "rising_artists", "underground_artists", "breakout_pct",
-        "avg_formed_year", "median_formed_year", "oldest_band_year", "artists_with_formed_year",
-        "golden_era_decade", "golden_era_total_listeners", "golden_era_artist_count", "country_count",
-        "artists_with_country", "dominant_country", "dominant_country_listeners",
+        "avg_formed_year", "median_formed_year", "oldest_band_year", "artists_with_formed_year", *golden,
+        "country_count", "artists_with_country", *top,
     )
