@@ -48,7 +48,11 @@ def with_row_number(df: DataFrame, order: list[Column], name: str) -> DataFrame:
 
 def with_running_totals(df: DataFrame, order: list[Column], sums: dict[str, Column]) -> DataFrame:
     """Inclusive running totals over the whole-table order, one column per entry of ``sums``."""
-    rows = _sorted(df, order).withColumns({f"_v_{n}": c for n, c in sums.items()})
+    return _running(_sorted(df, order), sums)
+
+
+def _running(fixed: DataFrame, sums: dict[str, Column]) -> DataFrame:
+    rows = fixed.withColumns({f"_v_{n}": c for n, c in sums.items()})
     before = _before(rows, {n: F.col(f"_v_{n}") for n in sums})
     upto = W.partitionBy("_part").orderBy("_pos").rowsBetween(W.unboundedPreceding, 0)
     local = rows.withColumns({f"_l_{n}": F.sum(f"_v_{n}").over(upto) for n in sums})
@@ -69,12 +73,15 @@ def exact_medians(df: DataFrame, cols: list[str]) -> DataFrame:
     counts = (
         df.select(F.inline(pairs)).where(F.col("value").isNotNull()).groupBy("feature", "value").agg(F.count("*").alias("cnt"))
     )
-    ranked = with_running_totals(counts, [F.col("feature"), F.col("value")], {"upto": F.col("cnt")})
-    # One row per input column from here on.
-    totals = ranked.groupBy("feature").agg(F.sum("cnt").alias("n"), F.min(F.col("upto") - F.col("cnt")).alias("base"))
+    rows = _sorted(counts, [F.col("feature"), F.col("value")])
+    # One row per input column: its size, and how many values the columns before it have.
+    earlier = W.orderBy("feature").rowsBetween(W.unboundedPreceding, -1)
+    sizes = rows.groupBy("feature").agg(F.sum("cnt").alias("n"))
+    sizes = sizes.withColumn("base", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
     rank = F.col("upto") - F.col("base")
     return (
-        ranked.join(F.broadcast(totals), "feature")
+        _running(rows, {"upto": F.col("cnt")})
+        .join(F.broadcast(sizes), "feature")
         .groupBy("feature", "n")
         .agg(
             F.min(F.when(rank >= F.floor((F.col("n") + 1) / 2), F.col("value"))).alias("low"),
@@ -114,11 +121,11 @@ def hash_cuts(df: DataFrame, stratum: str, key: str, seed: int | str, wanted: Da
     )
 
 
-def apply_cuts(df: DataFrame, stratum: str, key: str, seed: int | str, cuts: DataFrame, name: str) -> DataFrame:
-    """``name`` = how many cuts lie strictly before the row (a row on a cut belongs before it)."""
+def cuts_ahead(df: DataFrame, stratum: str, key: str, seed: int | str, cuts: DataFrame, name: str) -> DataFrame:
+    """``name`` = how many cuts of its stratum the row does not lie behind (a row on a cut is not behind it)."""
     per_stratum = cuts.groupBy(stratum).agg(
         F.collect_list(F.struct(F.col("cut_hash").alias("h"), F.col("cut_key").alias("k"))).alias("_cuts")
     )
     here = F.struct(hash_of(F.col(key), seed).alias("h"), F.col(key).alias("k"))
-    passed = F.size(F.filter(F.coalesce(F.col("_cuts"), F.array()), lambda c: c < here))
-    return df.join(F.broadcast(per_stratum), stratum, "left").withColumn(name, passed).drop("_cuts")
+    ahead = F.when(F.col("_cuts").isNull(), 0).otherwise(F.size(F.filter("_cuts", lambda c: c >= here)))
+    return df.join(F.broadcast(per_stratum), stratum, "left").withColumn(name, ahead).drop("_cuts")

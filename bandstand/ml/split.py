@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from bandstand.functions.ordering import apply_cuts, hash_cuts
+from bandstand.functions.ordering import cuts_ahead, hash_cuts
+from bandstand.runtime import cut_lineage
 from bandstand.settings import DEFAULTS, Settings
 
 
@@ -28,29 +29,28 @@ def holdout_sizes(df: DataFrame, label: str, share: float) -> DataFrame:
 
 
 def stratified_split(df: DataFrame, label: str, key: str, s: Settings = DEFAULTS) -> DataFrame:
-    """Add ``is_test``: per class, the rows with the smallest hashes of ``key`` and the seed."""
-    sizes = holdout_sizes(df, label, s.test_share).select(label, F.lit(1).alias("cut"), "k").where(F.col("k") > 0)
-    cuts = hash_cuts(df, label, key, s.seed, sizes)
-    marked = apply_cuts(df, label, key, s.seed, cuts, "_passed")
-    has_cut = cuts.select(F.col(label).alias("_label")).distinct()
-    return (
-        marked.join(F.broadcast(has_cut), F.col(label) == F.col("_label"), "left")
-        .withColumn("is_test", F.col("_label").isNotNull() & (F.col("_passed") == 0))
-        .drop("_label", "_passed")
-    )
+    """Add ``is_test``: per class, the rows with the smallest hashes of ``key`` and the seed.
+
+    Only labels and keys are written down to find the cuts; the table itself is then filtered by a row
+    per class, without a shuffle.
+    """
+    keys = cut_lineage(df.select(label, key))
+    sizes = holdout_sizes(keys, label, s.test_share).select(label, F.lit(1).alias("cut"), "k").where(F.col("k") > 0)
+    cuts = cut_lineage(hash_cuts(keys, label, key, s.seed, sizes))
+    marked = cuts_ahead(df, label, key, s.seed, cuts, "_ahead")
+    return marked.withColumn("is_test", F.col("_ahead") > 0).drop("_ahead")
 
 
 def stratified_folds(df: DataFrame, label: str, key: str, folds: int, seed: int | str) -> DataFrame:
     """Add ``fold`` 0..folds-1: each class is cut into equal runs of its hash order."""
+    keys = cut_lineage(df.select(label, key))
     inner = F.explode(F.sequence(F.lit(1), F.lit(folds - 1))).alias("cut")
-    ranks = class_counts(df, label).select(label, "n", inner).select(
+    ranks = class_counts(keys, label).select(label, "n", inner).select(
         label, "cut", F.expr(f"(n * cut) div {folds}").alias("k")
     )
-    cuts = hash_cuts(df, label, key, seed, ranks.where(F.col("k") > 0))
-    # A class smaller than the number of folds has empty leading runs.
-    skipped = ranks.groupBy(label).agg(F.count_if(F.col("k") == 0).cast("int").alias("_skipped"))
-    marked = apply_cuts(df, label, key, seed, cuts, "fold")
-    return marked.join(F.broadcast(skipped), label).withColumn("fold", F.col("fold") + F.col("_skipped")).drop("_skipped")
+    cuts = cut_lineage(hash_cuts(keys, label, key, seed, ranks.where(F.col("k") > 0)))
+    marked = cuts_ahead(df, label, key, seed, cuts, "_ahead")
+    return marked.withColumn("fold", folds - 1 - F.col("_ahead")).drop("_ahead")
 
 
 def positive_weight(df: DataFrame, label: str) -> DataFrame:

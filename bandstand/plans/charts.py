@@ -57,7 +57,7 @@ def engagement_medians(rows: DataFrame) -> DataFrame:
 def engagement_points(features: DataFrame) -> DataFrame:
     """Plays per listener against listeners, with the quadrant of each artist."""
     rows = engagement_rows(features)
-    medians = engagement_medians(rows)
+    medians = engagement_medians(rows).first()
     return rows.select(
         "artist_name",
         "subgenre",
@@ -65,8 +65,8 @@ def engagement_points(features: DataFrame) -> DataFrame:
         F.col("current_listeners").alias("y"),
         "band_age_years",
         engagement_quadrant(
-            F.col("plays_per_listener") >= medians.select("med_engagement").scalar(),
-            F.col("current_listeners") >= medians.select("med_listeners").scalar(),
+            F.col("plays_per_listener") >= F.lit(medians["med_engagement"]),
+            F.col("current_listeners") >= F.lit(medians["med_listeners"]),
         ).alias("quadrant"),
     )
 
@@ -77,15 +77,9 @@ def engagement_boxes(features: DataFrame) -> DataFrame:
     edges = rows.agg(
         (F.max("current_listeners") * 1.3).alias("max_l"), (F.max("plays_per_listener") * 1.1).alias("max_e")
     )
-    medians = engagement_medians(rows)
-    one = edges.withColumns(
-        {
-            "med_listeners": medians.select("med_listeners").scalar(),
-            "med_engagement": medians.select("med_engagement").scalar(),
-        }
-    )
+    medians = engagement_medians(rows).first()
     zero, floor = F.lit(0.0), F.lit(float(FLOOR))
-    e, l = F.col("med_engagement"), F.col("med_listeners")
+    e, l = F.lit(medians["med_engagement"]), F.lit(medians["med_listeners"])
 
     def box(engaged: bool, large: bool):
         return F.struct(
@@ -96,7 +90,7 @@ def engagement_boxes(features: DataFrame) -> DataFrame:
             (F.col("max_l") if large else l).alias("y1"),
         )
 
-    return one.select(F.inline(F.array(box(True, True), box(False, True), box(True, False), box(False, False))))
+    return edges.select(F.inline(F.array(box(True, True), box(False, True), box(True, False), box(False, False))))
 
 
 def health_bars(health: DataFrame) -> DataFrame:
