@@ -55,15 +55,6 @@ def spread_match(matches: DataFrame) -> DataFrame:
     return matches.where(F.col("match").isNotNull()).select("lastfm_name", "match.*", "resolution_status")
 
 
-def _without_char(c: Column) -> Column:
-    """Every form of a string with one character left out, by position."""
-    places = F.sequence(F.lit(1), F.length(c))
-    return F.when(
-        F.length(c) > 0,
-        F.transform(places, lambda i: F.concat(c.substr(F.lit(1), i - 1), c.substr(i + 1, F.length(c)))),
-    ).otherwise(F.array().cast("array<string>"))
-
-
 def _without_token(c: Column) -> Column:
     """Every form of a name with one of its several tokens left out."""
     tokens = F.split(c, " ")
@@ -74,29 +65,40 @@ def _without_token(c: Column) -> Column:
     return F.when(F.size(tokens) > 1, F.array_distinct(shorter)).otherwise(F.array().cast("array<string>"))
 
 
-def _keys(c: Column, query_side: bool) -> Column:
-    """Join keys of one name. A query key and an entity key are equal exactly when a rule holds."""
-    shortened, dropped = _without_char(c), _without_token(c)
+def _keyed(names: DataFrame, column: str, query_side: bool) -> DataFrame:
+    """Join keys ``k`` of each name. A query key and an entity key are equal exactly when a rule holds.
 
-    def whole(rule: str) -> Column:
-        return F.array(F.concat(F.lit(rule), c))
+    Rule ``f``: the names are equal; ``s``: equal without the character at one place; ``x`` and ``y``: the
+    query (the entity) without a character is the other name; ``t`` and ``u``: the same without a token.
+    """
+    c, i = F.col(column), F.col("_i")
+    own, other = ("x", "y") if query_side else ("y", "x")
+    own_token, other_token = ("t", "u") if query_side else ("u", "t")
+
+    def key(*parts) -> Column:
+        return F.xxhash64(F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts]))
+
+    less = F.concat(c.substr(F.lit(1), i - 1), c.substr(i + 1, F.length(c)))
+    at_place = F.array(key("s", i.cast("string"), ":", less), key(own, less))
+    whole = F.concat(
+        F.array(key("f", c), key(other, c), key(other_token, c)),
+        F.transform(_without_token(c), lambda v: key(own_token, v)),
+    )
+    # Place 0 stands for the whole name, the others for the name without that character.
+    places = _spread(names, column).select(column, F.explode(F.sequence(F.lit(0), F.length(c))).alias("_i"))
+    return places.select(column, F.explode(F.when(i == 0, whole).otherwise(at_place)).alias("k"))
 
-    def each(rule: str, values: Column) -> Column:
-        return F.transform(values, lambda v: F.concat(F.lit(rule), v))
 
-    at_place = F.transform(shortened, lambda v, i: F.concat(F.lit("s"), i.cast("string"), F.lit(":"), v))
-    if query_side:
-        sides = [each("x", shortened), whole("y"), each("t", dropped), whole("u")]
-    else:
-        sides = [whole("x"), each("y", shortened), whole("t"), each("u", dropped)]
-    all_keys = F.concat(whole("f"), at_place, *sides)
-    return F.array_distinct(F.transform(all_keys, lambda k: F.xxhash64(k)))
+def _spread(names: DataFrame, column: str) -> DataFrame:
+    """Use all shuffle partitions: a name costs far more work than its bytes suggest, so the partitions must
+    not be merged by size (as the exchange of the preceding ``distinct`` would be)."""
+    tasks = int(names.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return names.select(column).repartition(tasks, F.xxhash64(column))
 
 
 def name_pairs(queries: DataFrame, entities: DataFrame) -> DataFrame:
     """Candidate pairs ``q, e`` of distinct token-sorted names (columns ``q`` and ``e`` in)."""
-    left = queries.select("q", F.explode(_keys(F.col("q"), True)).alias("k"))
-    right = entities.select("e", F.explode(_keys(F.col("e"), False)).alias("k"))
+    left, right = _keyed(queries, "q", True), _keyed(entities, "e", False)
     # Exploded keys are many times larger than their table's size estimate: never broadcast them.
     pairs = left.join(right.hint("merge"), "k").select("q", "e")
     # Equal hashes of different keys are told apart here.
