@@ -99,9 +99,9 @@ def x3(spark, d):
  SELECT artist_name, release_week, releases,
   (SELECT CAST(sum(listeners) AS BIGINT) FROM totals t WHERE t.artist_name = r.artist_name AND CAST(t.week_start AS DATE) >= CAST(release_week AS DATE) - 14 AND CAST(t.week_start AS DATE) < CAST(release_week AS DATE)) AS listeners_before,
   (SELECT CAST(sum(listeners) AS BIGINT) FROM totals t WHERE t.artist_name = r.artist_name AND CAST(t.week_start AS DATE) >= CAST(release_week AS DATE) AND CAST(t.week_start AS DATE) < CAST(release_week AS DATE) + 14) AS listeners_after
- FROM (SELECT 'artist ' || user_id AS artist_name, strftime(date_trunc('week', ts), '%Y-%m-%d') AS release_week, count(*) AS releases FROM events WHERE event_type = 'purchase' GROUP BY 1, 2) r""", "weekly", totals=_TOTALS))
+ FROM (SELECT 'artist ' || user_id AS artist_name, strftime(date_trunc('week', ts), '%Y-%m-%d') AS release_week, count(*) AS releases FROM events GROUP BY 1, 2) r""", "weekly", totals=_TOTALS))
 def x5(spark, d):
-    released = table(spark, d, "events").where("event_type = 'purchase'").selectExpr(
+    released = table(spark, d, "events").selectExpr(
         "concat('artist ', cast(user_id as string)) as artist_name", "date_format(ts, 'yyyy-MM-dd') as first_release_date"
     )
     return weekly.change_around_releases(weekly.flatten_weekly(shapes.raw_weekly(spark, d)), released, weeks=2)

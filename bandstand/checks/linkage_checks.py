@@ -195,7 +195,9 @@ def j4_profiles(spark, d):
 @check("j5_features_by_id", """
  SELECT l_orderkey, l_linenumber, CASE WHEN p_size % 9 <> 0 THEN p_size END AS tempo FROM lineitem LEFT JOIN part ON p_partkey = l_partkey""")
 def j5(spark, d):
-    known = table(spark, d, "part").where("p_size % 9 <> 0").selectExpr("p_partkey as id", "p_size as tempo", "p_partkey as _seq")
+    known = table(spark, d, "part").selectExpr(
+        "case when p_size % 9 <> 0 then p_partkey end as id", "p_size as tempo", "p_partkey as _seq"
+    )
     tracks = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
     out = merge.attach_by_id(tracks, known, "l_partkey", "id", "_audio_features", ["_seq"])
     return out.select("l_orderkey", "l_linenumber", "_audio_features.tempo")

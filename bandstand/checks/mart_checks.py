@@ -245,8 +245,8 @@ def mart_features(spark, d):
 
 
 @check("e_dt3_years_since", sql("""
- SELECT a.artist_name, 1999 - f.last_album_year AS years_since_last_release, f.last_album_year - a.formed_year AS active_career_years,
-  1999 - a.formed_year AS band_age_years FROM primary_artists a LEFT JOIN album_facts f USING (name_key)""", "primary_artists", "album_facts"))
+ SELECT a.artist_name, 2002 - f.last_album_year AS years_since_last_release, f.last_album_year - a.formed_year AS active_career_years,
+  2002 - a.formed_year AS band_age_years FROM primary_artists a LEFT JOIN album_facts f USING (name_key)""", "primary_artists", "album_facts"))
 def e_dt3(spark, d):
     rows = catalogue.with_album_facts(shapes.artists(spark, d), shapes.albums(spark, d))
     from bandstand.functions.dates import years_since

@@ -278,10 +278,10 @@ def t3_importance(spark, d):
 
 
 @check("m14_top_factor", """
- SELECT vec_id, ['f0', 'f1', 'f2', 'f3', 'f4', 'f5', 'f6', 'f7'][list_position(list_transform(embedding[1:8], lambda x: abs(x)), list_max(list_transform(embedding[1:8], lambda x: abs(x))))] AS factor FROM embeddings""")
+ SELECT vec_id, 'f' || list_position(list_transform(embedding, lambda x: abs(x)), list_max(list_transform(embedding, lambda x: abs(x)))) AS factor FROM embeddings""")
 def m14(spark, d):
-    names = F.array(*[F.lit(f"f{i}") for i in range(8)])
-    return table(spark, d, "embeddings").select("vec_id", top_factor(F.slice("embedding", 1, 8), names).alias("factor"))
+    names = F.array(*[F.lit(f"f{i}") for i in range(1, 65)])
+    return table(spark, d, "embeddings").select("vec_id", top_factor(F.col("embedding"), names).alias("factor"))
 
 
 def predictions(spark, d):

@@ -15,7 +15,7 @@ CHECK_SETTINGS = Settings(
     underground_listeners=1_800_000,
     giant_listeners=2_400_000,
     dormancy_years=3,
-    as_of_year=1999,
+    as_of_year=2002,
     last_text_year=2026,
 )
 RUN_DATE = "1999-06-17"
@@ -81,10 +81,14 @@ def _silver_artists_sql(history: bool) -> str:
 
 
 def raw_albums(spark: SparkSession, d: str) -> DataFrame:
-    """Orders as raw releases, with missing titles, missing, empty, partial and broken dates."""
+    """Orders as raw releases, with missing titles, missing, empty, partial and broken dates.
+
+    An artist's releases are moved back by up to five years, so that some are active and some dormant.
+    Some releases belong to names that are no artist's, or to a name with that one release only.
+    """
     return (
         table(spark, d, "orders")
-        .where("o_orderstatus = 'F' and o_orderdate < timestamp_ntz'1997-01-01 00:00:00'")
+        .withColumn("released", F.expr("add_months(o_orderdate, -12 * cast(o_custkey % 6 as int))"))
         .selectExpr(
             "concat('rg-', cast(o_orderkey as string)) as mbid",
             "case when o_orderkey % 97 <> 0 then concat('Release ', cast(o_orderkey as string)) end as title",
@@ -92,11 +96,12 @@ def raw_albums(spark: SparkSession, d: str) -> DataFrame:
             " when '3-MEDIUM' then 'Single' else 'Other' end as type",
             "case when o_orderkey % 101 = 0 then null when o_orderkey % 89 = 0 then ''"
             " when o_orderkey % 83 = 0 then 'unknown'"
-            " when o_orderkey % 13 = 0 then date_format(o_orderdate, 'yyyy')"
-            " when o_orderkey % 17 = 0 then date_format(o_orderdate, 'yyyy-MM')"
-            " else date_format(o_orderdate, 'yyyy-MM-dd') end as first_release_date",
-            "case when o_orderkey % 5 = 0 then concat(' CUSTOMER#', lpad(cast(o_custkey as string), 9, '0'))"
-            " else concat('Customer#', lpad(cast(o_custkey as string), 9, '0')) end as artist_name",
+            " when o_orderkey % 13 = 0 then date_format(released, 'yyyy')"
+            " when o_orderkey % 17 = 0 then date_format(released, 'yyyy-MM')"
+            " else date_format(released, 'yyyy-MM-dd') end as first_release_date",
+            "concat(case when o_orderkey % 5 = 0 then ' CUSTOMER#' else 'Customer#' end, lpad(cast(o_custkey as string), 9, '0'),"
+            " case o_custkey % 7 when 0 then ' trio' when 1 then concat(' guest ', cast(o_orderkey as string)) else '' end)"
+            " as artist_name",
             "concat('mb-', cast(o_custkey as string)) as artist_mbid",
             "o_orderkey as _seq",
             "'registry' as source",
@@ -111,11 +116,12 @@ _RAW_ALBUMS_SQL = """
   CASE WHEN o_orderkey % 97 <> 0 THEN 'Release ' || o_orderkey END AS title,
   CASE o_orderpriority WHEN '1-URGENT' THEN 'Album' WHEN '2-HIGH' THEN 'EP' WHEN '3-MEDIUM' THEN 'Single' ELSE 'Other' END AS type,
   CASE WHEN o_orderkey % 101 = 0 THEN NULL WHEN o_orderkey % 89 = 0 THEN '' WHEN o_orderkey % 83 = 0 THEN 'unknown'
-   WHEN o_orderkey % 13 = 0 THEN strftime(o_orderdate, '%Y') WHEN o_orderkey % 17 = 0 THEN strftime(o_orderdate, '%Y-%m')
-   ELSE strftime(o_orderdate, '%Y-%m-%d') END AS first_release_date,
-  CASE WHEN o_orderkey % 5 = 0 THEN ' CUSTOMER#' ELSE 'Customer#' END || lpad(CAST(o_custkey AS VARCHAR), 9, '0') AS artist_name,
+   WHEN o_orderkey % 13 = 0 THEN strftime(released, '%Y') WHEN o_orderkey % 17 = 0 THEN strftime(released, '%Y-%m')
+   ELSE strftime(released, '%Y-%m-%d') END AS first_release_date,
+  CASE WHEN o_orderkey % 5 = 0 THEN ' CUSTOMER#' ELSE 'Customer#' END || lpad(CAST(o_custkey AS VARCHAR), 9, '0')
+   || CASE o_custkey % 7 WHEN 0 THEN ' trio' WHEN 1 THEN ' guest ' || o_orderkey ELSE '' END AS artist_name,
   'mb-' || o_custkey AS artist_mbid, o_orderkey
- FROM orders WHERE o_orderstatus = 'F' AND o_orderdate < TIMESTAMP '1997-01-01'"""
+ FROM (SELECT *, o_orderdate - to_years(CAST(o_custkey % 6 AS INTEGER)) AS released FROM orders)"""
 
 _SILVER_ALBUMS_SQL = """
  SELECT artist_name, artist_mbid, mbid AS album_id, title, type, first_release_date,
@@ -272,9 +278,9 @@ _PRIMARY_SQL = """
   ORDER BY listeners DESC, subgenre, artist_name) AS rn FROM artists) WHERE rn = 1"""
 _FEATURES_SQL = """
  SELECT a.artist_name, a.musicbrainz_id, a.subgenre, a.country, a.formed_year, a.mb_resolution_score,
-  1999 - a.formed_year AS band_age_years, coalesce(f.total_albums, 0) AS total_albums, coalesce(f.studio_albums, 0) AS studio_albums,
+  2002 - a.formed_year AS band_age_years, coalesce(f.total_albums, 0) AS total_albums, coalesce(f.studio_albums, 0) AS studio_albums,
   f.debut_year, f.last_album_year AS latest_album_year, f.avg_years_between_albums,
-  1999 - f.last_album_year AS years_since_last_release, a.listeners AS current_listeners, a.play_count,
+  2002 - f.last_album_year AS years_since_last_release, a.listeners AS current_listeners, a.play_count,
   CASE WHEN a.listeners > 0 THEN round(CAST(a.play_count AS DOUBLE) / a.listeners, 1) END AS plays_per_listener,
   CASE WHEN a.listeners >= 3000000 THEN 1 WHEN a.listeners < 1800000 THEN 0 END AS is_breakout
  FROM primary_artists a LEFT JOIN album_facts f ON a.name_key = f.name_key"""

@@ -150,11 +150,11 @@ def s8(spark, d):
 _LEGACY_BODY = """
  SELECT a.artist_name, a.musicbrainz_id, a.subgenre, a.country, a.formed_year, a.listeners, a.play_count,
   f.total_albums, f.studio_albums, f.eps, f.singles, f.debut_year, f.last_album_year, f.last_release_date,
-  f.avg_years_between_albums, 1999 - f.last_album_year AS years_since_last_release,
+  f.avg_years_between_albums, 2002 - f.last_album_year AS years_since_last_release,
   f.last_album_year - a.formed_year AS active_career_years,
   CASE WHEN a.listeners >= 3000000 THEN 'breakout' WHEN a.listeners < 1800000 THEN 'underground' ELSE 'rising' END AS listener_tier,
-  CASE WHEN 1999 - f.last_album_year <= 3 THEN CASE WHEN a.listeners >= 2400000 THEN 'Active Giants' ELSE 'Hustling' END
-   WHEN 1999 - f.last_album_year > 3 THEN CASE WHEN a.listeners >= 2400000 THEN 'Legends' ELSE 'Fading' END END AS legacy_quadrant
+  CASE WHEN 2002 - f.last_album_year <= 3 THEN CASE WHEN a.listeners >= 2400000 THEN 'Active Giants' ELSE 'Hustling' END
+   WHEN 2002 - f.last_album_year > 3 THEN CASE WHEN a.listeners >= 2400000 THEN 'Legends' ELSE 'Fading' END END AS legacy_quadrant
  FROM primary_artists a LEFT JOIN album_facts f ON a.name_key = f.name_key"""
 LEGACY_SQL = sql(_LEGACY_BODY, "primary_artists", "album_facts")
 
