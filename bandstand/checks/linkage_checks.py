@@ -241,7 +241,7 @@ def j10(spark, d):
         "c_custkey", "case when c_custkey % 20 = 0 then '' else concat('band ', cast(c_custkey % 400 as string)) end as name"
     )
     info = table(spark, d, "supplier").selectExpr("s_suppkey", "concat('band ', cast(s_suppkey as string)) as name")
-    return merge.info_of_listed(listed, info, ["name"]).select("c_custkey", "s_suppkey")
+    return merge.info_of_listed(listed, info, ["name"], ["s_suppkey"]).select("c_custkey", "s_suppkey")
 
 
 def expanded(spark, d):

@@ -26,7 +26,7 @@ def trained(spark, d) -> predict.TrainedRun:
     """One training run per session and data folder, shared by the model checks."""
     key = (spark.sparkContext.applicationId, d)
     if key not in _RUNS:
-        _RUNS[key] = predict.train_run(shapes.features(spark, d), QUICK, S)
+        _RUNS[key] = predict.train_run(shapes.stored_features(spark, d), QUICK, S)
     return _RUNS[key]
 
 
@@ -53,7 +53,7 @@ def p4(spark, d):
 
 @check("a13_value_counts", sql("SELECT country, count(*) AS n FROM features WHERE country IS NOT NULL GROUP BY 1", "features"))
 def a13(spark, d):
-    return prep.value_counts(shapes.features(spark, d), "country")
+    return prep.value_counts(shapes.stored_features(spark, d), "country")
 
 
 _TOP = "SELECT country FROM (SELECT country, count(*) AS n FROM features WHERE country IS NOT NULL GROUP BY 1 ORDER BY n DESC, country LIMIT 10)"
@@ -61,7 +61,7 @@ _TOP = "SELECT country FROM (SELECT country, count(*) AS n FROM features WHERE c
 
 @check("m1_country_buckets", sql("SELECT country_bucketed, count(*) AS artists FROM (SELECT CASE WHEN country IN (SELECT country FROM top) THEN country ELSE 'Other' END AS country_bucketed FROM features) GROUP BY 1", "features", top=_TOP))
 def m1(spark, d):
-    rows = shapes.features(spark, d)
+    rows = shapes.stored_features(spark, d)
     return prep.bucket_country(rows, prep.top_values(rows, "country", S.top_countries)).groupBy("country_bucketed").agg(F.count("*").alias("artists"))
 
 
@@ -70,7 +70,7 @@ _CODES = """SELECT artist_name, (dense_rank() OVER (ORDER BY subgenre)) - 1 AS c
 
 @check("m2_label_codes", sql("SELECT subgenre AS label, CAST(dense_rank() OVER (ORDER BY subgenre) - 1 AS INTEGER) AS code FROM (SELECT DISTINCT subgenre FROM features)", "features"))
 def m2(spark, d):
-    return prep.label_codes(shapes.features(spark, d), "subgenre")
+    return prep.label_codes(shapes.stored_features(spark, d), "subgenre")
 
 
 _MEDIANS = " UNION ALL ".join(
@@ -80,7 +80,7 @@ _MEDIANS = " UNION ALL ".join(
 
 @check("a14_exact_medians", sql(_MEDIANS, "features"))
 def a14(spark, d):
-    return ordering.exact_medians(shapes.features(spark, d), list(NUMERIC_FEATURES))
+    return ordering.exact_medians(shapes.stored_features(spark, d), list(NUMERIC_FEATURES))
 
 
 @check("a14_medians_of_orders", """
@@ -97,14 +97,14 @@ _IMPUTED = "SELECT artist_name, " + ", ".join(
 
 @check("m3_median_imputation", sql(_IMPUTED, "features"))
 def m3(spark, d):
-    rows = shapes.features(spark, d)
+    rows = shapes.stored_features(spark, d)
     return prep.apply_features(rows, prep.fit_features(rows, S)).select("artist_name", *NUMERIC_FEATURES)
 
 
 @check("q5_imputation_report", sql(" UNION ALL ".join(
     f"SELECT '{c}' AS feature, median(CAST({c} AS DOUBLE)) AS median, count(*) - count({c}) AS imputed FROM features" for c in NUMERIC_FEATURES), "features"))
 def q5(spark, d):
-    rows = shapes.features(spark, d)
+    rows = shapes.stored_features(spark, d)
     return prep.imputation_report(rows, prep.fit_features(rows, S))
 
 
@@ -114,7 +114,7 @@ def q5(spark, d):
  FROM imputed JOIN features g USING (artist_name)""".replace("band_age_years +", "imputed.band_age_years +").replace(" total_albums", " imputed.total_albums").replace(" studio_albums", " imputed.studio_albums").replace(" avg_years", " imputed.avg_years").replace(" years_since", " imputed.years_since").replace(" plays_per", " imputed.plays_per").replace(" mb_res", " imputed.mb_res"),
  "features", imputed=_IMPUTED))
 def p8(spark, d):
-    rows = shapes.features(spark, d)
+    rows = shapes.stored_features(spark, d)
     matrix = prep.to_matrix(prep.apply_features(rows, prep.fit_features(rows, S)))
     v = vector_to_array("features")
     numeric = F.aggregate(F.slice(v, 1, len(NUMERIC_FEATURES)), F.lit(0.0), lambda a, x: a + x)
@@ -132,7 +132,7 @@ _SPLIT = """SELECT *, row_number() OVER (PARTITION BY label ORDER BY md5(key ||
 @check("m4_stratified_split", sql("SELECT artist_name, is_breakout, is_test FROM split", "features",
     rows="SELECT *, artist_name AS key, is_breakout AS label FROM features", split=_SPLIT))
 def m4(spark, d):
-    rows = shapes.features(spark, d).select("artist_name", "is_breakout")
+    rows = shapes.stored_features(spark, d).select("artist_name", "is_breakout")
     return split.stratified_split(rows, "is_breakout", "artist_name", S)
 
 
@@ -146,7 +146,7 @@ def m4_labels(spark, d):
 @check("a16_positive_rate", sql("SELECT is_test, count(*) AS n, avg(CAST(is_breakout AS DOUBLE)) AS positive_rate FROM split GROUP BY 1", "features",
     rows="SELECT *, artist_name AS key, is_breakout AS label FROM features", split=_SPLIT))
 def a16(spark, d):
-    rows = shapes.features(spark, d).select("artist_name", "is_breakout")
+    rows = shapes.stored_features(spark, d).select("artist_name", "is_breakout")
     return split.split_rates(split.stratified_split(rows, "is_breakout", "artist_name", S), "is_breakout")
 
 
@@ -363,7 +363,7 @@ def p12(spark, d):
   coalesce(CAST(band_age_years AS DOUBLE), (SELECT median(CAST(band_age_years AS DOUBLE)) FROM split WHERE NOT is_test)) AS band_age_years FROM split WHERE is_test""", "features",
     rows="SELECT *, artist_name AS key, is_breakout AS label FROM features", split=_SPLIT))
 def x8(spark, d):
-    rows = split.stratified_split(shapes.features(spark, d), "is_breakout", "artist_name", S)
+    rows = split.stratified_split(shapes.stored_features(spark, d), "is_breakout", "artist_name", S)
     path = scratch_path(spark, "spec")
     prep.fit_features(rows.where(~F.col("is_test")), S).save(spark, path)
     spec = prep.FeatureSpec.load(spark, path)

@@ -341,3 +341,11 @@ def features(spark: SparkSession, d: str, labelled_only: bool = True) -> DataFra
     from bandstand.plans.catalogue import artist_features
 
     return artist_features(artists(spark, d), albums(spark, d), CHECK_SETTINGS, labelled_only)
+
+
+def stored_features(spark: SparkSession, d: str) -> DataFrame:
+    """The labelled feature mart as a stored table, the way models read it."""
+    from bandstand.runtime import scratch_path
+    from bandstand.sources.marts import materialize
+
+    return materialize(features(spark, d), scratch_path(spark, "gold"), "mart_artist_features")

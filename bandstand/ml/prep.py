@@ -6,10 +6,10 @@ import json
 from dataclasses import asdict, dataclass
 
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from bandstand.functions.numbers import cast_numeric
-from bandstand.functions.ordering import exact_medians
+from bandstand.functions.ordering import exact_medians, with_row_number
 from bandstand.schemas import MODEL_COLUMNS
 from bandstand.settings import CATEGORICAL_FEATURES, DEFAULTS, NUMERIC_FEATURES, Settings
 
@@ -36,9 +36,9 @@ def top_values(df: DataFrame, column: str, n: int) -> DataFrame:
 
 
 def label_codes(df: DataFrame, column: str) -> DataFrame:
-    """Codes 0.. by sorted label: ``label, code``. Works on the distinct labels of a vocabulary."""
+    """Codes 0.. by sorted label: ``label, code``."""
     labels = df.select(F.col(column).alias("label")).distinct()
-    return labels.withColumn("code", F.row_number().over(W.orderBy("label")) - 1)
+    return with_row_number(labels, [F.col("label")], "place").select("label", (F.col("place") - 1).cast("int").alias("code"))
 
 
 @dataclass(frozen=True)
@@ -72,7 +72,10 @@ def bucket_country(df: DataFrame, top: DataFrame) -> DataFrame:
 
 
 def fit_features(train: DataFrame, s: Settings = DEFAULTS) -> FeatureSpec:
-    """Fit on the given rows (the training part). Only vocabularies and medians reach the driver."""
+    """Fit on the given rows (the training part), which should be a stored table: they are read three times.
+
+    Only the vocabularies and medians reach the driver.
+    """
     top = top_values(train, "country", s.top_countries)
     countries = [r["country"] for r in top.collect()]
     labels = sorted({*countries, OTHER})

@@ -41,9 +41,13 @@ def merge_metadata(
     return artists.join(found, keys, "left").withColumn("formed_year", year).drop("_hit", "_year")
 
 
-def info_of_listed(listed: DataFrame, info: DataFrame, keys: list[str]) -> DataFrame:
-    """Info records of the listed, named artists; artists without one are left out."""
-    return listed.where(F.coalesce("name", F.lit("")) != "").join(info, keys, "inner")
+def info_of_listed(listed: DataFrame, info: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """The info record of each listed, named artist; artists without one are left out.
+
+    Info is reduced to the last record per key, so a name that is landed often on both sides does not
+    multiply.
+    """
+    return listed.where(F.coalesce("name", F.lit("")) != "").join(last_per_key(info, keys, order), keys, "inner")
 
 
 def exact_then_folded(left: DataFrame, lookup: DataFrame, key: str, order: list[str]) -> DataFrame:

@@ -52,8 +52,10 @@ def create_external_table(spark: SparkSession, base: str, table: str) -> None:
 def latest_snapshot(df: DataFrame) -> DataFrame:
     """Rows of the newest ``date`` of each subgenre.
 
-    The inner aggregate reads partition columns only and has one row per subgenre.
+    The inner aggregate reads partition columns only. It has a row per subgenre, never more than the table
+    has partition folders, so it is broadcast: the table itself is filtered where it is scanned, and
+    older folders are pruned at run time.
     """
     newest = df.groupBy("subgenre").agg(F.max("date").alias("date"))
-    return df.join(newest, ["subgenre", "date"], "left_semi")
+    return df.join(F.broadcast(newest), ["subgenre", "date"], "left_semi")
 
