@@ -136,11 +136,10 @@ def a9(spark, d):
     return rows.select("subgenre", "lastfm_name", "listeners", "play_count", "source_tag", "formed_year", joined_tags().alias("tags"))
 
 
-@check("e_a3_merged_tag_arrays", sql("SELECT subgenre, name_key, tags FROM tag_lists", "flat_artists", tag_rows=_TAG_ROWS, tag_lists=_TAG_LISTS))
+@check("e_a3_merged_tag_arrays", sql("SELECT b.subgenre, b.name_key, coalesce(t.tags, '') AS tags FROM base b LEFT JOIN tag_lists t ON t.subgenre = b.subgenre AND t.name_key = b.name_key", "flat_artists", base=_BASE, tag_rows=_TAG_ROWS, tag_lists=_TAG_LISTS))
 def e_a3(spark, d):
-    keyed = cleaning.above_floor(flat(spark, d), S).withColumn("name_key", text.dedupe_key(F.col("lastfm_name")))
-    merged = cleaning.merged_tags(keyed, ["subgenre", "name_key"], ["_seq"])
-    return merged.select("subgenre", "name_key", joined_tags().alias("tags"))
+    merged = cleaning.deduplicate_artists(cleaning.above_floor(flat(spark, d), S), ["_seq"])
+    return merged.select("subgenre", text.dedupe_key(F.col("lastfm_name")).alias("name_key"), joined_tags().alias("tags"))
 
 
 @check("a10_distinct_by_key", """

@@ -4,10 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from bandstand.functions.ranking import first_per_key
 from bandstand.functions.tags import raw_tags, tag_structs
 from bandstand.functions.text import dedupe_key, first_text, founding_year, parse_count, strip_space, truncate
-from bandstand.schemas import TAG_STRUCT
 from bandstand.settings import DEFAULTS, Settings
 
 CONTEXT = ["subgenre", "date"]
@@ -42,39 +40,41 @@ def clean_artists(raw: DataFrame, s: Settings = DEFAULTS, keep: tuple[str, ...]
     return above_floor(flatten_artists(raw, s, keep), s)
 
 
-def merged_tags(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """All tags of a key, each once: at its first position, with its last value.
-
-    Tags are reduced per ``(key, tag)`` before they are gathered, so the array of a key that holds a
-    third of all rows is built from its distinct tags only.
-    """
-    place = F.struct(*order, "pos")
-    tags = df.select(*keys, *order, F.posexplode("subgenre_tags").alias("pos", "t")).withColumns(
-        {"tag": F.col("t.tag"), "at": place}
-    )
-    distinct = tags.groupBy(*keys, "tag").agg(F.min("at").alias("first_at"), F.max_by("t", "at").alias("t"))
-    gathered = distinct.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("first_at", "t"))).alias("_tags"))
-    return gathered.select(*keys, F.transform("_tags", lambda x: x["t"]).alias("subgenre_tags"))
-
-
 def deduplicate_artists(df: DataFrame, order: list[str], within: tuple[str, ...] = ("subgenre", "date")) -> DataFrame:
     """One row per artist name: the largest one (first on ties), with the tags of all its copies.
 
-    ``order`` is the encounter order of the records. ``within`` limits the merge to a partition; an
-    empty tuple merges across scenes.
+    Each tag is kept once, at its first position and with its last value. ``order`` is the encounter order
+    of the records. ``within`` limits the merge to a partition; an empty tuple merges across scenes.
+
+    One pass over the records: tags are exploded and reduced per ``(key, tag)``, and the record itself
+    rides along with its first tag only. The second step gathers the distinct tags of a key, so a name
+    that holds a third of all rows is never gathered row by row.
     """
-    keyed = df.withColumn("_key", dedupe_key(F.col("lastfm_name")))
     keys = [*within, "_key"]
-    base = first_per_key(
-        keyed.drop("subgenre_tags"), keys, [F.col("listeners").desc_nulls_last(), *[F.col(c).asc() for c in order]]
+    tags = "subgenre_tags"
+    rest = [c for c in df.columns if c not in (tags, *within, *order)]
+    smallest = F.lit(-(1 << 62)).cast("bigint")
+    rows = df.withColumn("_key", dedupe_key(F.col("lastfm_name"))).select(
+        *keys,
+        *order,
+        F.struct(*rest).alias("_record"),
+        # Smallest first: most listeners, then the order of the records.
+        F.struct((-F.coalesce("listeners", smallest)).alias("_less"), *order).alias("_rank"),
+        F.posexplode_outer(tags).alias("_pos", "_tag"),
+    )
+    carrier = F.coalesce("_pos", F.lit(0)) == 0
+    place = F.struct(*order, "_pos")
+    per_tag = rows.groupBy(*keys, F.col("_tag.tag").alias("_name")).agg(
+        F.min(F.when(F.col("_tag").isNotNull(), place)).alias("_first"),
+        F.max_by("_tag", place).alias("_tag"),
+        F.min_by("_record", F.when(carrier, F.col("_rank"))).alias("_record"),
+        F.min(F.when(carrier, F.col("_rank"))).alias("_rank"),
     )
-    tags = merged_tags(keyed, keys, order)
-    empty = F.array().cast(f"ARRAY<{TAG_STRUCT}>")
-    return (
-        base.join(tags, keys, "left")
-        .withColumn("subgenre_tags", F.coalesce("subgenre_tags", empty))
-        .select(*[c for c in df.columns if c not in order])
+    gathered = F.array_sort(F.collect_list(F.when(F.col("_first").isNotNull(), F.struct("_first", "_tag"))))
+    merged = per_tag.groupBy(*keys).agg(
+        F.min_by("_record", "_rank").alias("_record"), F.transform(gathered, lambda x: x["_tag"]).alias(tags)
     )
+    return merged.select(*within, tags, "_record.*").select(*[c for c in df.columns if c not in order])
 
 
 def distinct_last(values: Column, key: str) -> Column:
