@@ -117,29 +117,32 @@ def entities(spark, d):
 
 
 def spelled_names(spark, d):
-    """Names with swapped tokens, a lost, added or changed character, a lost or added token, or no match."""
+    """Names with swapped tokens, a lost, added, changed or moved character, a lost or added token, or no match."""
     name = "concat(p_name, ' ', p_type, ' ', p_brand)"
     return table(spark, d, "part").selectExpr(
-        f"case p_partkey % 8 when 0 then {name} when 1 then concat('  ', p_brand, ' ', upper(p_type), ' ', p_name)"
+        f"case p_partkey % 9 when 0 then {name} when 1 then concat('  ', p_brand, ' ', upper(p_type), ' ', p_name)"
         f" when 2 then concat(substr({name}, 1, 3), substr({name}, 5)) when 3 then concat(substr({name}, 1, 5), 'q', substr({name}, 6))"
         f" when 4 then concat(substr({name}, 1, 2), 'z', substr({name}, 4)) when 5 then concat(p_name, ' ', p_brand)"
-        f" when 6 then concat('The ', {name}) else concat('nobody ', cast(p_partkey as string)) end as lastfm_name"
+        f" when 6 then concat('The ', {name})"
+        f" when 7 then concat(substr({name}, 1, 1), substr({name}, 3, 1), substr({name}, 2, 1), substr({name}, 4)) else concat('nobody ', cast(p_partkey as string)) end as lastfm_name"
     )
 
 
 _NAME = "(p_name || ' ' || p_type || ' ' || p_brand)"
 _LINK_CTES = dict(
-    q=f"""SELECT DISTINCT lastfm_name, {tokens('lastfm_name')} AS q FROM (SELECT CASE p_partkey % 8 WHEN 0 THEN {_NAME} WHEN 1 THEN '  ' || p_brand || ' ' || upper(p_type) || ' ' || p_name
+    q=f"""SELECT DISTINCT lastfm_name, {tokens('lastfm_name')} AS q FROM (SELECT CASE p_partkey % 9 WHEN 0 THEN {_NAME} WHEN 1 THEN '  ' || p_brand || ' ' || upper(p_type) || ' ' || p_name
       WHEN 2 THEN left({_NAME}, 3) || substr({_NAME}, 5) WHEN 3 THEN left({_NAME}, 5) || 'q' || substr({_NAME}, 6)
       WHEN 4 THEN left({_NAME}, 2) || 'z' || substr({_NAME}, 4) WHEN 5 THEN p_name || ' ' || p_brand
-      WHEN 6 THEN 'The ' || {_NAME} ELSE 'nobody ' || p_partkey END AS lastfm_name FROM part)""",
+      WHEN 6 THEN 'The ' || {_NAME} WHEN 7 THEN left({_NAME}, 1) || {_NAME}[3] || {_NAME}[2] || substr({_NAME}, 4) ELSE 'nobody ' || p_partkey END AS lastfm_name FROM part)""",
     e=f"""SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY e ORDER BY type = 'Group' DESC, id) AS rn FROM (
       SELECT 'e' || lpad(CAST(p_partkey AS VARCHAR), 12, '0') AS id, {_NAME} AS name, {tokens(_NAME)} AS e,
        CASE WHEN p_size % 4 <> 0 THEN 'Group' ELSE 'Person' END AS type, p_brand AS country,
        CASE WHEN 1940 + p_size >= 1960 THEN 1940 + p_size END AS formed_year FROM part)) WHERE rn = 1""",
     dropped="""SELECT e, array_to_string(list_concat(t[:i - 1], t[i + 1:]), ' ') AS less FROM (SELECT e, string_split(e, ' ') AS t, unnest(range(1, len(string_split(e, ' ')) + 1)) AS i FROM e)""",
     shorter="""SELECT q, array_to_string(list_concat(t[:i - 1], t[i + 1:]), ' ') AS less FROM (SELECT q, string_split(q, ' ') AS t, unnest(range(1, len(string_split(q, ' ')) + 1)) AS i FROM (SELECT DISTINCT q FROM q)) WHERE len(t) > 1""",
-    pairs="""SELECT a.q, b.e FROM (SELECT DISTINCT q FROM q) a JOIN e b ON abs(length(a.q) - length(b.e)) <= 1 AND levenshtein(a.q, b.e) <= 1
+    less_q="SELECT q, left(q, i - 1) || substr(q, i + 1) AS less FROM (SELECT q, unnest(range(1, length(q) + 1)) AS i FROM (SELECT DISTINCT q FROM q))",
+    less_e="SELECT e, left(e, i - 1) || substr(e, i + 1) AS less FROM (SELECT e, unnest(range(1, length(e) + 1)) AS i FROM e)",
+    pairs="""SELECT l.q, m.e FROM less_q l JOIN less_e m ON m.less = l.less UNION SELECT a.q, b.e FROM (SELECT DISTINCT q FROM q) a JOIN e b ON abs(length(a.q) - length(b.e)) <= 1 AND levenshtein(a.q, b.e) <= 1
       UNION SELECT a.q, x.e FROM q a JOIN dropped x ON x.less = a.q UNION SELECT s.q, b.e FROM shorter s JOIN e b ON b.e = s.less""",
     scored=f"SELECT p.q, p.e, {ratio('p.q', 'p.e')} AS s FROM pairs p",
     best="""SELECT * FROM (SELECT s.q AS bq, s.s, e.*, row_number() OVER (PARTITION BY s.q ORDER BY e.type = 'Group' DESC, s.s DESC, s.e, e.id) AS pick FROM scored s JOIN e ON e.e = s.e) WHERE pick = 1""",

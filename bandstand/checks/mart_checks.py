@@ -86,7 +86,8 @@ _QUANTILES = """
 
 @check("a2_scene_percentiles", sql(_QUANTILES, "artists"))
 def a2(spark, d):
-    return health.scene_quantiles(shapes.artists(spark, d))
+    years = health.scene_stats(facets(spark, d)).select("subgenre", "median_formed_year")
+    return health.scene_quantiles(shapes.artists(spark, d)).join(years, "subgenre")
 
 
 @check("a3_conditional_counts", sql("""

@@ -54,13 +54,8 @@ def evaluate(scored: DataFrame) -> DataFrame:
     brier = scored.agg(
         F.avg(F.pow(F.col("breakout_probability") - F.col(prep.TARGET), F.lit(2.0))).alias("brier_score"),
         F.avg(F.pow(F.col("raw_probability") - F.col(prep.TARGET), F.lit(2.0))).alias("brier_score_uncalibrated"),
-    )
-    return ranking.select(
-        "roc_auc",
-        "avg_precision",
-        brier.select("brier_score").scalar().alias("brier_score"),
-        brier.select("brier_score_uncalibrated").scalar().alias("brier_score_uncalibrated"),
-    )
+    ).first()
+    return ranking.select("roc_auc", "avg_precision", *[F.lit(v).alias(k) for k, v in brier.asDict().items()])
 
 
 def prediction_table(features: DataFrame, spec: prep.FeatureSpec, fitted: boosting.Calibrated, s: Settings = DEFAULTS) -> DataFrame:

@@ -82,7 +82,3 @@ def distinct_last(values: Column, key: str) -> Column:
     keys = F.array_distinct(F.transform(values, lambda v: v[key]))
     last = F.reverse(values)
     return F.transform(keys, lambda k: F.element_at(F.filter(last, lambda v: v[key] == k), 1))
-
-
-def named_only(df: DataFrame, column: str = "name") -> DataFrame:
-    return df.where(F.coalesce(F.col(column), F.lit("")) != "")

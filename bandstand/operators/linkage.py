@@ -2,9 +2,11 @@
 
 With landed search results, ``match_landed`` grades the best candidate of each query. Without them,
 ``name_pairs`` finds candidates by a fixed rule whose fan-out is bounded: two names are candidates when
-their token-sorted forms are equal, differ by one character, or differ by one whole token. Each of these
-is an equality of derived keys, so one equi-join finds every such pair, no common token ever forms a
-group of pairs, and nothing is capped. Names are reduced to distinct ones first.
+their token-sorted forms are equal, differ by one character (left out, changed or moved), or differ by
+one whole token. Each of these is an equality of derived keys, so one equi-join finds every such pair. A key
+is a name with at most one character or token left out: the names that share it are as many as there are
+places and characters, whatever the size of the tables, so no common token forms a group of pairs and
+nothing is capped. Names are reduced to distinct ones first.
 """
 
 from __future__ import annotations
@@ -65,10 +67,15 @@ def _without_token(c: Column) -> Column:
     return F.when(F.size(tokens) > 1, F.array_distinct(shorter)).otherwise(F.array().cast("array<string>"))
 
 
+def _without_char(c: Column) -> Column:
+    places = F.sequence(F.lit(1), F.length(c))
+    return F.transform(places, lambda i: F.concat(c.substr(F.lit(1), i - 1), c.substr(i + 1, F.length(c))))
+
+
 def _keyed(names: DataFrame, column: str, query_side: bool) -> DataFrame:
     """Join keys ``k`` of each name. A query key and an entity key are equal exactly when a rule holds.
 
-    Rule ``f``: the names are equal; ``s``: equal without the character at one place; ``x`` and ``y``: the
+    Rule ``f``: the names are equal; ``d``: equal when each leaves out one character; ``x`` and ``y``: the
     query (the entity) without a character is the other name; ``t`` and ``u``: the same without a token.
     """
     c, i = F.col(column), F.col("_i")
@@ -79,7 +86,7 @@ def _keyed(names: DataFrame, column: str, query_side: bool) -> DataFrame:
         return F.xxhash64(F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts]))
 
     less = F.concat(c.substr(F.lit(1), i - 1), c.substr(i + 1, F.length(c)))
-    at_place = F.array(key("s", i.cast("string"), ":", less), key(own, less))
+    at_place = F.array(key("d", less), key(own, less))
     whole = F.concat(
         F.array(key("f", c), key(other, c), key(other_token, c)),
         F.transform(_without_token(c), lambda v: key(own_token, v)),
@@ -103,18 +110,20 @@ def name_pairs(queries: DataFrame, entities: DataFrame) -> DataFrame:
     pairs = left.join(right.hint("merge"), "k").select("q", "e")
     # Equal hashes of different keys are told apart here.
     one_char = F.levenshtein("q", "e", 1) >= 0
+    moved = (F.length("q") == F.length("e")) & F.arrays_overlap(_without_char(F.col("q")), _without_char(F.col("e")))
     one_token = F.array_contains(_without_token(F.col("q")), F.col("e")) | F.array_contains(
         _without_token(F.col("e")), F.col("q")
     )
-    return pairs.where(one_char | one_token).distinct()
+    return pairs.where(one_char | one_token | moved).distinct()
 
 
 def pair_score(q: Column, e: Column) -> Column:
     """Indel ratio of a candidate pair. By the rules the shorter name is a subsequence of the longer one, or
-    both have the same length and differ in one place, so the common subsequence needs no search."""
+    both have the same length and lose one character each, so the common subsequence needs no search."""
     differs = ((F.length(q) == F.length(e)) & (q != e)).cast("int")
     shared = F.least(F.length(q), F.length(e)) - differs
-    return F.lit(200.0) * shared / (F.length(q) + F.length(e))
+    total = F.length(q) + F.length(e)
+    return F.when(total == 0, F.lit(100.0)).otherwise(F.lit(200.0) * shared / F.nullif(total, F.lit(0)))
 
 
 def link_names(names: DataFrame, entities: DataFrame, s: Settings = DEFAULTS) -> DataFrame:

@@ -149,7 +149,3 @@ def denied_out(df: DataFrame, column: str, names: tuple[str, ...]) -> DataFrame:
 def with_color(df: DataFrame, colors: dict[str, str], default: str) -> DataFrame:
     table = F.create_map(*[F.lit(x) for kv in colors.items() for x in kv])
     return df.withColumn("color", F.coalesce(F.try_element_at(table, F.col("subgenre")), F.lit(default)))
-
-
-def lookup_index(df: DataFrame, key: str, order: list[str]) -> DataFrame:
-    return last_per_key(df.where(F.coalesce(F.col(key).cast("string"), F.lit("")) != ""), [key], order)

@@ -40,9 +40,6 @@ def non_null_profile(df: DataFrame, columns: list[str]) -> DataFrame:
     return counts.select(F.col("_rows").alias("total_rows"), F.inline(rows))
 
 
-def column_list(df: DataFrame) -> list[str]:
-    return df.columns
-
 
 def stage_counts(raw_flat: DataFrame, metadata: DataFrame, s: Settings = DEFAULTS) -> DataFrame:
     """Rows read, above the floor, after de-duplication and merged, per subgenre.

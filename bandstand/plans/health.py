@@ -1,10 +1,9 @@
 """Scene health mart: one row per subgenre.
 
-Two scans. The first reduces the artists to one row per ``(subgenre, decade, country)`` with a codegen
-hash aggregate; the totals, the decades and the countries of a scene are three facets of that small
-table, stacked and reduced in one chain, so no branch of the plan reads the artists again. The second
-scan keeps the quantile sketches, which are per subgenre only. Both aggregate before the shuffle: a scene
-with a third of all artists sends a few rows (or one sketch) per task.
+The artists are reduced to one row per ``(subgenre, formation year, country)`` with a codegen hash aggregate;
+the totals, years, decades and countries of a scene are facets of that small table, stacked and reduced in
+one chain, so no branch of it reads the artists again. The listener percentiles are exact and take two
+passes over two columns. All passes aggregate before the shuffle, and no task ever merges a whole scene.
 """
 
 from __future__ import annotations
@@ -12,53 +11,52 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from bandstand.functions.numbers import decade, share_pct
+from bandstand.functions.ordering import exact_percentiles
 from bandstand.settings import DEFAULTS, Settings
 
-ACCURACY = 10_000
-SCENE, DECADE, COUNTRY = "scene", "decade", "country"
-ADDED = ["artists", "listeners", "breakout", "underground", "rising", "year_sum"]
+SCENE, YEAR, DECADE, COUNTRY = "scene", "year", "decade", "country"
+SHARES = {"median_listeners": 0.5, "p90_listeners": 0.9}
+ADDED = ["artists", "listeners", "breakout", "underground", "rising"]
 
 
 def scene_cells(artists: DataFrame, s: Settings = DEFAULTS) -> DataFrame:
-    """Additive facts per subgenre, formation decade and country."""
+    """Additive facts per subgenre, formation year and country."""
     n = F.col("listeners")
-    return artists.groupBy("subgenre", decade(F.col("formed_year")).alias("formation_decade"), "country").agg(
+    return artists.groupBy("subgenre", "formed_year", "country").agg(
         F.count("*").alias("artists"),
         F.sum(n).alias("listeners"),
         F.max(n).alias("max_listeners"),
         F.count_if(n >= s.breakout_listeners).alias("breakout"),
         F.count_if(n < s.underground_listeners).alias("underground"),
         F.count_if((n >= s.underground_listeners) & (n < s.breakout_listeners)).alias("rising"),
-        F.sum(F.col("formed_year").cast("bigint")).alias("year_sum"),
-        F.min("formed_year").alias("oldest"),
     )
 
 
 def scene_facets(cells: DataFrame) -> DataFrame:
-    """One row per scene, per decade of a scene and per country of a scene; unknown values form no facet."""
-    no_decade, no_country = F.lit(None).cast("int"), F.lit(None).cast("string")
-
-    def facet(name: str, by_decade: bool, by_country: bool) -> Column:
-        return F.struct(
-            F.lit(name).alias("facet"),
-            (F.col("formation_decade") if by_decade else no_decade).alias("in_decade"),
-            (F.col("country") if by_country else no_country).alias("in_country"),
-        )
+    """One row per scene, and per year, decade and country of a scene; unknown values form no facet."""
+    year, no_years, no_country = F.col("formed_year"), F.lit(None).cast("int"), F.lit(None).cast("string")
+
+    def facet(name: str, years: Column, country: Column) -> Column:
+        return F.struct(F.lit(name).alias("facet"), years.alias("in_years"), country.alias("in_country"))
 
     kinds = F.array(
-        facet(SCENE, False, False),
-        F.when(F.col("formation_decade").isNotNull(), facet(DECADE, True, False)),
-        F.when(F.col("country").isNotNull(), facet(COUNTRY, False, True)),
+        facet(SCENE, no_years, no_country),
+        F.when(year.isNotNull(), facet(YEAR, year, no_country)),
+        F.when(year.isNotNull(), facet(DECADE, decade(year), no_country)),
+        F.when(F.col("country").isNotNull(), facet(COUNTRY, no_years, F.col("country"))),
     )
-    dated = F.when(F.col("formation_decade").isNotNull(), F.col("artists")).otherwise(0)
-    placed = F.when(F.col("country").isNotNull(), F.col("artists")).otherwise(0)
+    extra = {
+        "dated": F.when(year.isNotNull(), F.col("artists")).otherwise(0),
+        "placed": F.when(F.col("country").isNotNull(), F.col("artists")).otherwise(0),
+        "year_sum": year.cast("bigint") * F.col("artists"),
+    }
     return (
-        cells.withColumns({"dated": dated, "placed": placed, "f": F.explode(F.array_compact(kinds))})
-        .groupBy("subgenre", "f.facet", "f.in_decade", "f.in_country")
+        cells.withColumns({**extra, "f": F.explode(F.array_compact(kinds))})
+        .groupBy("subgenre", "f.facet", "f.in_years", "f.in_country")
         .agg(
-            *[F.sum(c).alias(c) for c in (*ADDED, "dated", "placed")],
+            *[F.sum(c).alias(c) for c in (*ADDED, *extra)],
             F.max("max_listeners").alias("max_listeners"),
-            F.min("oldest").alias("oldest"),
+            F.min("formed_year").alias("oldest"),
         )
     )
 
@@ -74,7 +72,7 @@ def _largest(facet: str, value: str, fields: list[str]) -> Column:
 
 
 def _golden() -> Column:
-    return _largest(DECADE, "in_decade", ["listeners", "artists"]).alias("golden")
+    return _largest(DECADE, "in_years", ["listeners", "artists"]).alias("golden")
 
 
 def _top() -> Column:
@@ -82,7 +80,7 @@ def _top() -> Column:
 
 
 GOLDEN_COLUMNS = {
-    "golden_era_decade": "golden.in_decade",
+    "golden_era_decade": "golden.in_years",
     "golden_era_total_listeners": "golden.listeners",
     "golden_era_artist_count": "golden.artists",
 }
@@ -106,9 +104,25 @@ def _stats() -> list[Column]:
         _scene("dated").alias("artists_with_formed_year"),
         F.count_if(F.col("facet") == COUNTRY).alias("country_count"),
         _scene("placed").alias("artists_with_country"),
+        F.array_sort(F.collect_list(F.when(F.col("facet") == YEAR, F.struct("in_years", "artists")))).alias("_by_year"),
     ]
 
 
+def _median_year() -> Column:
+    """Median of the years, each with its count: the first one at which half of the artists are reached.
+
+    The list has an entry per calendar year at most.
+    """
+    rank = F.expr("(artists_with_formed_year + 1) div 2")
+    start = F.struct(F.lit(0).cast("bigint").alias("seen"), F.lit(None).cast("int").alias("year"))
+
+    def step(acc: Column, x: Column) -> Column:
+        reached = F.when(acc["year"].isNull() & (acc["seen"] + x["artists"] >= rank), x["in_years"]).otherwise(acc["year"])
+        return F.struct((acc["seen"] + x["artists"]).alias("seen"), reached.alias("year"))
+
+    return F.aggregate("_by_year", start, step, lambda acc: acc["year"].cast("double"))
+
+
 def _ratios(df: DataFrame) -> DataFrame:
     years = F.col("_years") / F.nullif(F.col("artists_with_formed_year"), F.lit(0))
     return df.withColumns(
@@ -116,8 +130,9 @@ def _ratios(df: DataFrame) -> DataFrame:
             "avg_listeners": F.col("total_listeners") / F.col("total_artists"),
             "breakout_pct": share_pct(F.col("breakout_artists"), F.col("total_artists")),
             "avg_formed_year": years,
+            "median_formed_year": _median_year(),
         }
-    ).drop("_years")
+    ).drop("_years", "_by_year")
 
 
 def scene_stats(facets: DataFrame) -> DataFrame:
@@ -125,17 +140,13 @@ def scene_stats(facets: DataFrame) -> DataFrame:
 
 
 def scene_quantiles(artists: DataFrame) -> DataFrame:
-    return artists.groupBy("subgenre").agg(
-        F.percentile_approx("listeners", 0.5, ACCURACY).alias("median_listeners"),
-        F.percentile_approx("listeners", 0.9, ACCURACY).alias("p90_listeners"),
-        F.percentile_approx(F.col("formed_year").cast("double"), 0.5, ACCURACY).alias("median_formed_year"),
-    )
+    return exact_percentiles(artists, "subgenre", "listeners", SHARES)
 
 
 def decade_totals(facets: DataFrame) -> DataFrame:
     return facets.where(F.col("facet") == DECADE).select(
         "subgenre",
-        F.col("in_decade").alias("formation_decade"),
+        F.col("in_years").alias("formation_decade"),
         F.col("listeners").alias("decade_total_listeners"),
         F.col("artists").alias("decade_artist_count"),
     )

@@ -6,10 +6,7 @@ import json
 import os
 import time
 
-from pyspark.sql import functions as F
-
 from bandstand.checks import QUERIES
-from bandstand.functions.similarity import lcs_length
 from bandstand.runtime import local_session
 
 HEADLINE = [
@@ -44,10 +41,8 @@ def run(spark, name: str, d: str) -> float:
 def main() -> None:
     d = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     spark = local_session("bandstand-bench", os.environ.get("BENCH_CPUS", "8"))
-    # Starts the JVM's compilers and the Python workers; not counted.
-    run(spark, "mart_subgenre_health", d)
-    names = spark.range(64).select(F.col("id").cast("string").alias("n"))
-    names.repartition(8).select(lcs_length("n", "n")).write.format("noop").mode("overwrite").save()
+    # A first run of each query starts compilers and Python workers and is not counted.
+    first = {name: round(run(spark, name, d), 3) for name in HEADLINE}
     times = {name: round(run(spark, name, d), 3) for name in HEADLINE}
     print(
         json.dumps(
@@ -56,6 +51,7 @@ def main() -> None:
                 "value": round(sum(times.values()), 3),
                 "unit": "sec",
                 "queries": times,
+                "first_run": first,
                 "sf": os.path.basename(d.rstrip("/")),
             }
         )

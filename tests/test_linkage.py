@@ -66,14 +66,14 @@ def one_step(q, e):
     less = lambda s: {s[:i] + s[i + 1 :] for i in range(len(s))}
     if q in less(e) or e in less(q):
         return True
-    if len(q) == len(e) and sum(x != y for x, y in zip(q, e)) == 1:
+    if len(q) == len(e) and less(q) & less(e):
         return True
     drop = lambda s: {" ".join(t[:i] + t[i + 1 :]) for t in [s.split(" ")] for i in range(len(t)) if len(t) > 1}
     return q in drop(e) or e in drop(q)
 
 
 def test_name_pairs_equal_brute_force(spark):
-    names = ["".join(p) for p in itertools.product("ab ", repeat=4)] + ["the cold band", "cold band", "cold the band", "a", ""]
+    names = ["".join(p) for p in itertools.product("ab ", repeat=4)] + ["the cold band", "cold band", "cold the band", "slipknot", "slipkont", "a", ""]
     names = sorted({" ".join(sorted(n.split())) for n in names} - {""})
     q = spark.createDataFrame([(n,) for n in names], "q STRING")
     e = spark.createDataFrame([(n,) for n in names], "e STRING")
@@ -95,3 +95,13 @@ def test_exact_lookup_comes_before_folded(spark, rows):
     asked = spark.createDataFrame([("Abc",), ("ABC",), ("x",)], "lastfm_name STRING")
     lookup = spark.createDataFrame([("Abc", 1, 0), ("abc", 2, 1), ("Abc", 3, 2), ("aBC", 4, 3)], "lastfm_name STRING, v INT, _seq INT")
     assert rows(merge.exact_then_folded(asked, lookup, "lastfm_name", ["_seq"])) == [("ABC", 4), ("Abc", 3), ("x", None)]
+
+
+def test_every_name_comes_out_of_linking(spark):
+    names = spark.createDataFrame([("   ",), ("The Cold Band",), ("far away",), ("",), (None,)], "lastfm_name STRING")
+    known = spark.createDataFrame(
+        [("2", "cold band", "Person", "SE", "1999"), ("1", "Band Cold", "Group", "US", "1950"), ("3", "\t", None, None, None)],
+        "id STRING, name STRING, type STRING, country STRING, life_span_begin STRING",
+    )
+    got = {r["lastfm_name"]: (r["mbid"], r["similarity_score"], r["resolution_status"]) for r in linkage.link_names(names, known).collect()}
+    assert got == {"   ": ("3", 100.0, "auto_accepted"), "The Cold Band": ("1", 81.82, "review_required"), "far away": (None, None, "rejected")}

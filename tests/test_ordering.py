@@ -74,3 +74,22 @@ def test_folds_partition_each_class_evenly(spark):
         assert sum(parts) == total and max(parts) - min(parts) <= 1
     small = split.stratified_folds(df.where("key in ('k0', 'k1', 'k50')"), "y", "key", 5, "s").collect()
     assert len(small) == 3 and all(0 <= r["fold"] < 5 for r in small)
+
+
+def test_percentiles_are_exact_per_group(spark):
+    rng = random.Random(5)
+    data = [(f"g{rng.randrange(4)}", int(rng.lognormvariate(10, 3)) - 50) for _ in range(4_000)] + [("one", 7), ("none", None)]
+    data += [("hot", 1_000_000)] * 3_000
+    df = spark.createDataFrame(data, "g STRING, v BIGINT")
+    shares = {"low": 0.1, "half": 0.5, "high": 0.9, "top": 1.0}
+    got = {r["g"]: [r[n] for n in shares] for r in ordering.exact_percentiles(df, "g", "v", shares).collect()}
+    groups = {}
+    for g, v in data:
+        if v is not None:
+            groups.setdefault(g, []).append(v)
+    for g, values in groups.items():
+        values.sort()
+        n = len(values)
+        ranks = [max(1, -(-n * tenth // 10)) for tenth in (1, 5, 9, 10)]
+        assert got[g] == [values[k - 1] for k in ranks]
+    assert "none" not in got
