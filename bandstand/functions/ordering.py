@@ -1,9 +1,12 @@
 """Whole-table order statistics that never put the table into one task.
 
-A window without ``partitionBy`` sends every row to a single task. Here the rows are range-sorted into
-many partitions, that order is written down once (a reliable checkpoint, so it cannot change under a
-retry), and each partition gets an offset from the totals of the partitions before it. The only thing
-that is ever gathered is one row per partition.
+Ranks and running totals: a window without ``partitionBy`` sends every row to a single task. Here the rows
+are range-sorted into many partitions, that order is written down once (a reliable checkpoint, so it
+cannot change under a retry), and each partition gets an offset from the totals of the partitions before
+it. The only thing that is ever gathered is one row per partition.
+
+Percentiles, medians and exact hash splits need single ranks only: they count buckets and look at single
+rows in the one bucket that holds the rank, without sorting the table.
 """
 
 from __future__ import annotations
@@ -50,11 +53,7 @@ def with_row_number(df: DataFrame, order: list[Column], name: str) -> DataFrame:
 
 def with_running_totals(df: DataFrame, order: list[Column], sums: dict[str, Column]) -> DataFrame:
     """Inclusive running totals over the whole-table order, one column per entry of ``sums``."""
-    return _running(_sorted(df, order), sums)
-
-
-def _running(fixed: DataFrame, sums: dict[str, Column]) -> DataFrame:
-    rows = fixed.withColumns({f"_v_{n}": c for n, c in sums.items()})
+    rows = _sorted(df, order).withColumns({f"_v_{n}": c for n, c in sums.items()})
     before = _before(rows, {n: F.col(f"_v_{n}") for n in sums})
     upto = W.partitionBy("_part").orderBy("_pos").rowsBetween(W.unboundedPreceding, 0)
     local = rows.withColumns({f"_l_{n}": F.sum(f"_v_{n}").over(upto) for n in sums})
@@ -65,72 +64,67 @@ def _running(fixed: DataFrame, sums: dict[str, Column]) -> DataFrame:
     )
 
 
-def exact_medians(df: DataFrame, cols: list[str]) -> DataFrame:
-    """Interpolated median of each column in one pass: ``feature, n, median``.
+def value_bucket(value: Column) -> Column:
+    """Bucket number that grows with the value, some 16,000 buckets per factor of e.
 
-    Values are counted before they are ordered, so the sort sees distinct values only. A column
-    without values has no row.
+    Values up to a hundred million have 300,000 buckets at most, whatever the number of rows, and a bucket
+    of a trillion different values still holds few enough to be counted and ordered by one task.
     """
-    pairs = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("value")) for c in cols])
-    counts = (
-        df.select(F.inline(pairs)).where(F.col("value").isNotNull()).groupBy("feature", "value").agg(F.count("*").alias("cnt"))
-    )
-    rows = _sorted(counts, [F.col("feature"), F.col("value")])
-    # One row per input column: its size, and how many values the columns before it have.
-    earlier = W.orderBy("feature").rowsBetween(W.unboundedPreceding, -1)
-    sizes = rows.groupBy("feature").agg(F.sum("cnt").alias("n"))
-    sizes = sizes.withColumn("base", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
-    rank = F.col("upto") - F.col("base")
-    return (
-        _running(rows, {"upto": F.col("cnt")})
-        .join(F.broadcast(sizes), "feature")
-        .groupBy("feature", "n")
-        .agg(
-            F.min(F.when(rank >= F.floor((F.col("n") + 1) / 2), F.col("value"))).alias("low"),
-            F.min(F.when(rank >= F.floor(F.col("n") / 2) + 1, F.col("value"))).alias("high"),
-        )
-        .select("feature", "n", ((F.col("low") + F.col("high")) / 2).alias("median"))
-    )
+    return F.floor(F.signum(value) * F.log1p(F.abs(value)) * 16384)
 
 
-def value_bucket(value: Column) -> Column:
-    """Bucket number that grows with the value, about 2,000 buckets per factor of e: at most some 40,000 for
-    values up to a hundred million, whatever the number of rows."""
-    return F.floor(F.signum(value) * F.log1p(F.abs(value)) * 2048)
+def _at_ranks(rows: DataFrame, group: str, ranks: dict[str, str]) -> DataFrame:
+    """Per group, its size ``n`` and the values at the given ranks (SQL expressions of ``n``).
+
+    ``rows`` has ``group`` and ``value``. The rows are counted per value bucket, the buckets that hold the
+    wanted ranks are found, and a second pass counts the single values of those buckets only. A quantile
+    sketch would do with one pass, but all the sketches of a group have to be merged by one task.
+    ``group`` is a column of few values: a row per group and rank is broadcast.
+    """
+    rows = rows.withColumn("_bucket", value_bucket(F.col("value")))
+    whole = W.partitionBy(group)
+    upto = whole.orderBy("_bucket").rowsBetween(W.unboundedPreceding, 0)
+    edges = (
+        rows.groupBy(group, "_bucket")
+        .agg(F.count("*").alias("_c"))
+        .withColumns({"_upto": F.sum("_c").over(upto), "n": F.sum("_c").over(whole)})
+    )
+    wanted = F.array(*[F.struct(F.lit(name).alias("_name"), F.expr(rank).alias("_rank")) for name, rank in ranks.items()])
+    before = F.col("_upto") - F.col("_c")
+    places = (
+        edges.select("*", F.inline(wanted))
+        .where((F.col("_rank") > before) & (F.col("_rank") <= F.col("_upto")))
+        .select(group, "_bucket", "_name", "n", (F.col("_rank") - before).alias("_left"))
+    )
+    single = (
+        rows.join(F.broadcast(places), [group, "_bucket"])
+        .groupBy(group, "n", "_name", "_left", "value")
+        .agg(F.count("*").alias("_c"))
+    )
+    seen = F.sum("_c").over(W.partitionBy(group, "_name").orderBy("value").rowsBetween(W.unboundedPreceding, 0))
+    hit = single.withColumn("_seen", seen).where(F.col("_seen") >= F.col("_left"))
+    return hit.groupBy(group, "n").agg(*[F.min(F.when(F.col("_name") == name, F.col("value"))).alias(name) for name in ranks])
 
 
 def exact_percentiles(df: DataFrame, group: str, column: str, shares: dict[str, float]) -> DataFrame:
     """Discrete percentiles per group, exact at any size: ``group`` and one column per entry of ``shares``.
 
-    The rows are counted per value bucket, the bucket that holds the wanted rank is found, and a second
-    pass counts the single values of those buckets only. A quantile sketch would do with one pass, but
-    all the sketches of a group have to be merged by one task. ``group`` must be a column of few values
-    (a partition column): a row per group and share is broadcast.
+    ``group`` should be a partition column: it has no more values than the table has folders.
     """
-    rows = df.where(F.col(column).isNotNull()).select(group, F.col(column).alias("_v"), value_bucket(F.col(column)).alias("_bucket"))
-    counts = rows.groupBy(group, "_bucket").agg(F.count("*").alias("_n"))
-    edges = counts.withColumns(
-        {
-            "_upto": F.sum("_n").over(W.partitionBy(group).orderBy("_bucket").rowsBetween(W.unboundedPreceding, 0)),
-            "_all": F.sum("_n").over(W.partitionBy(group)),
-        }
-    )
-    ranks = []
+    ranks = {}
     for name, share in shares.items():
         part = Fraction(str(share))  # whole-number arithmetic: ceil(share * n)
-        rank = F.expr(f"greatest(1, (_all * {part.numerator} + {part.denominator - 1}) div {part.denominator})")
-        ranks.append(F.struct(F.lit(name).alias("_name"), rank.alias("_rank")))
-    before = F.col("_upto") - F.col("_n")
-    places = (
-        edges.select("*", F.inline(F.array(*ranks)))
-        .where((F.col("_rank") > before) & (F.col("_rank") <= F.col("_upto")))
-        .select(group, "_bucket", "_name", (F.col("_rank") - before).alias("_left"))
-    )
-    single = rows.join(F.broadcast(places), [group, "_bucket"]).groupBy(group, "_name", "_left", "_v").agg(F.count("*").alias("_n"))
-    seen = F.sum("_n").over(W.partitionBy(group, "_name").orderBy("_v").rowsBetween(W.unboundedPreceding, 0))
-    hit = single.withColumn("_seen", seen).where(F.col("_seen") >= F.col("_left"))
-    value = {name: F.min(F.when(F.col("_name") == name, F.col("_v"))).alias(name) for name in shares}
-    return hit.groupBy(group).agg(*value.values())
+        ranks[name] = f"greatest(1, (n * {part.numerator} + {part.denominator - 1}) div {part.denominator})"
+    rows = df.where(F.col(column).isNotNull()).select(group, F.col(column).alias("value"))
+    return _at_ranks(rows, group, ranks).drop("n")
+
+
+def exact_medians(df: DataFrame, cols: list[str]) -> DataFrame:
+    """Interpolated median of each column: ``feature, n, median``. A column without values has no row."""
+    pairs = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("value")) for c in cols])
+    rows = df.select(F.inline(pairs)).where(F.col("value").isNotNull() & ~F.isnan("value"))
+    middle = _at_ranks(rows, "feature", {"_low": "(n + 1) div 2", "_high": "n div 2 + 1"})
+    return middle.select("feature", "n", ((F.col("_low") + F.col("_high")) / 2).alias("median"))
 
 
 def hash_of(key: Column, seed: int | str) -> Column:
