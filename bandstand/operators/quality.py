@@ -44,8 +44,8 @@ def non_null_profile(df: DataFrame, columns: list[str]) -> DataFrame:
 def stage_counts(raw_flat: DataFrame, metadata: DataFrame, s: Settings = DEFAULTS) -> DataFrame:
     """Rows read, above the floor, after de-duplication and merged, per subgenre.
 
-    ``raw_flat`` is the flattened raw table before the floor. It is reduced to one row per artist key
-    first; counts of distinct keys then need no further shuffle of raw rows.
+    ``raw_flat`` is the flattened raw table before the floor, ``metadata`` the lookup with one row per name.
+    The raw rows are reduced to one row per artist key first; only those are joined and counted again.
     """
     passes = F.col("listeners") >= s.listener_floor
     per_key = (
