@@ -49,8 +49,45 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A path below the shared folder that no other call gets."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    """A path below the shared folder that no other call gets; it goes when the driver ends."""
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    fs, at = _file_system(spark, path)
+    fs.deleteOnExit(at)
+    return path
+
+
+def _file_system(spark: SparkSession, path: str):
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a scratch folder that nothing reads any more."""
+    fs, at = _file_system(spark, path)
+    fs.delete(at, True)
+
+
+class Scratch:
+    """Tables written to the shared folder between the steps of a job.
+
+    A written table cuts the lineage, survives lost executors and tells the optimizer its size.
+    """
+
+    def __init__(self, spark: SparkSession, name: str):
+        self._spark, self._name, self._paths = spark, name, {}
+
+    def write(self, df: DataFrame) -> DataFrame:
+        path = scratch_path(self._spark, self._name)
+        df.write.parquet(path)
+        out = self._spark.read.schema(df.schema).parquet(path)
+        self._paths[id(out)] = (out, path)
+        return out
+
+    def drop(self, *tables: DataFrame) -> None:
+        """Delete tables written here; nothing may read them any more."""
+        for table in tables:
+            if id(table) in self._paths:
+                remove_path(self._spark, self._paths.pop(id(table))[1])
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
