@@ -6,10 +6,16 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from bandstand.llm.bpe import decode_ids, encode_texts
+from bandstand.llm.near_text import NearText, near_text_components
 from bandstand.llm.registry import ORACLE, QUERIES, query, table  # noqa: F401
 from bandstand.llm.token_counts import over_limit, token_counts
 
 
+@query("op3_chosen_path_join")
+def op3_chosen_path_join(spark, d):
+    return near_text_components(table(spark, d, "documents"), "doc_id", "text", NearText(words=3, percent=85))
+
+
 @query("op4_token_counts")
 def op4_token_counts(spark, d):
     counted = token_counts(table(spark, d, "documents"), "doc_id", "text", public_tokenizers.path("byte_bpe_50k.json"))
