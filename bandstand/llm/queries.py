@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from bandstand.llm.bpe import decode_ids, encode_texts
 from bandstand.llm.near_text import NearText, near_text_components
+from bandstand.llm.near_vectors import Forest, near_vector_components
 from bandstand.llm.registry import ORACLE, QUERIES, query, table  # noqa: F401
 from bandstand.llm.token_counts import over_limit, token_counts
 
@@ -22,6 +23,30 @@ def op4_token_counts(spark, d):
     return counted.withColumn("over_limit", over_limit(512))
 
 
+OP8_SQL = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, list_transform(embedding, x -> x::DOUBLE) AS e FROM embeddings
+), usable AS (
+  SELECT vec_id, e, sqrt(list_inner_product(e, e)) AS norm FROM v
+  WHERE e IS NOT NULL AND len(e) > 0 AND len(list_filter(e, x -> x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(e, x -> x <> 0)) > 0
+), link AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_inner_product(a.e, b.e) / (a.norm * b.norm) >= 0.9
+), reach(a, b) AS (
+  SELECT a, b FROM link UNION SELECT r.a, l.b FROM reach r JOIN link l ON r.b = l.a
+), least AS (SELECT a, min(b) AS least FROM reach GROUP BY a), n AS (SELECT a, count(*) AS n FROM link GROUP BY a)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, least(vec_id, coalesce(least, vec_id)) AS component_id,
+  vec_id <= coalesce(least, vec_id) AS kept
+FROM v LEFT JOIN least ON least.a = vec_id LEFT JOIN n ON n.a = vec_id
+"""
+
+
+@query("op8_projection_forest", OP8_SQL)
+def op8_projection_forest(spark, d):
+    return near_vector_components(table(spark, d, "embeddings"), "vec_id", "embedding", Forest(cosine=0.9))
+
+
 @query("op9_byte_bpe")
 def op9_byte_bpe(spark, d):
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
