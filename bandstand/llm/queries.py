@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from bandstand.llm.bpe import decode_ids, encode_texts
+from bandstand.llm.line_dedup import LineRules, drop_frequent_lines
 from bandstand.llm.near_text import NearText, near_text_components
 from bandstand.llm.near_vectors import Forest, near_vector_components
 from bandstand.llm.registry import ORACLE, QUERIES, query, table  # noqa: F401
@@ -25,11 +26,11 @@ def op4_token_counts(spark, d):
 
 OP8_SQL = """
 WITH RECURSIVE v AS (
-  SELECT vec_id, list_transform(embedding, x -> x::DOUBLE) AS e FROM embeddings
+  SELECT vec_id, [x::DOUBLE FOR x IN embedding] AS e FROM embeddings
 ), usable AS (
   SELECT vec_id, e, sqrt(list_inner_product(e, e)) AS norm FROM v
-  WHERE e IS NOT NULL AND len(e) > 0 AND len(list_filter(e, x -> x IS NULL OR NOT isfinite(x))) = 0
-    AND len(list_filter(e, x -> x <> 0)) > 0
+  WHERE e IS NOT NULL AND len(e) > 0 AND len([x FOR x IN e IF x IS NULL OR NOT isfinite(x)]) = 0
+    AND len([x FOR x IN e IF x <> 0]) > 0
 ), link AS (
   SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
   WHERE list_inner_product(a.e, b.e) / (a.norm * b.norm) >= 0.9
@@ -52,3 +53,26 @@ def op9_byte_bpe(spark, d):
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
     encoded = encode_texts(table(spark, d, "documents"), "doc_id", "text", ranks, with_offsets=False)
     return decode_ids(encoded, ranks).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+
+
+OP10_SQL = """
+WITH line AS (
+  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+    generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos
+  FROM documents
+), keyed AS (
+  SELECT doc_id, pos, line, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM line
+), often AS (
+  SELECT key FROM keyed WHERE length(key) >= 1 GROUP BY key HAVING count(DISTINCT doc_id) >= 10
+)
+SELECT doc_id, count(*) AS n_lines, count(often.key) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE often.key IS NULL), '')) AS kept_sha256
+FROM keyed LEFT JOIN often USING (key) GROUP BY doc_id
+"""
+
+
+@query("op10_line_runs", OP10_SQL)
+def op10_line_runs(spark, d):
+    kept = drop_frequent_lines(table(spark, d, "documents"), "doc_id", "text", LineRules(min_docs=10, min_chars=1))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
