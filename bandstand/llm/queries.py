@@ -7,12 +7,19 @@ from pyspark.sql import functions as F
 
 from bandstand.llm.bpe import decode_ids, encode_texts
 from bandstand.llm.line_dedup import LineRules, drop_frequent_lines
+from bandstand.llm.mixing import Mix, mix_plan
 from bandstand.llm.near_text import NearText, near_text_components
 from bandstand.llm.near_vectors import Forest, near_vector_components
 from bandstand.llm.registry import ORACLE, QUERIES, query, table  # noqa: F401
 from bandstand.llm.token_counts import over_limit, token_counts
 
 
+@query("op2_pivotal_mix")
+def op2_pivotal_mix(spark, d):
+    plan = mix_plan(table(spark, d, "documents"), "doc_id", "text", "source", Mix(weights=(1, 2, 3), most=3, share=1.0))
+    return plan.select("doc_id", "size", "source_size", "target", "taken")
+
+
 @query("op3_chosen_path_join")
 def op3_chosen_path_join(spark, d):
     return near_text_components(table(spark, d, "documents"), "doc_id", "text", NearText(words=3, percent=85))
