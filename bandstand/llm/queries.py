@@ -10,6 +10,7 @@ from bandstand.llm.line_dedup import LineRules, drop_frequent_lines
 from bandstand.llm.mixing import Mix, mix_plan
 from bandstand.llm.near_text import NearText, near_text_components
 from bandstand.llm.near_vectors import Forest, near_vector_components
+from bandstand.llm.order_minhash import OrderMinHash, fingerprints
 from bandstand.llm.registry import ORACLE, QUERIES, query, table  # noqa: F401
 from bandstand.llm.token_counts import over_limit, token_counts
 
@@ -31,6 +32,11 @@ def op4_token_counts(spark, d):
     return counted.withColumn("over_limit", over_limit(512))
 
 
+@query("op5_order_minhash")
+def op5_order_minhash(spark, d):
+    return fingerprints(table(spark, d, "documents"), "doc_id", "text", OrderMinHash())
+
+
 OP8_SQL = """
 WITH RECURSIVE v AS (
   SELECT vec_id, [x::DOUBLE FOR x IN embedding] AS e FROM embeddings
