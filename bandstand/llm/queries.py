@@ -6,11 +6,13 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from bandstand.llm.bpe import decode_ids, encode_texts
+from bandstand.llm.language import LanguageRules, held_out, predict_languages, train_language_model
 from bandstand.llm.line_dedup import LineRules, drop_frequent_lines
 from bandstand.llm.mixing import Mix, mix_plan
 from bandstand.llm.near_text import NearText, near_text_components
 from bandstand.llm.near_vectors import Forest, near_vector_components
 from bandstand.llm.order_minhash import OrderMinHash, fingerprints
+from bandstand.llm.private_data import KINDS, count_of, private_spans, span_text
 from bandstand.llm.registry import ORACLE, QUERIES, query, table  # noqa: F401
 from bandstand.llm.token_counts import over_limit, token_counts
 
@@ -37,6 +39,26 @@ def op5_order_minhash(spark, d):
     return fingerprints(table(spark, d, "documents"), "doc_id", "text", OrderMinHash())
 
 
+@query("op6_output_codes")
+def op6_output_codes(spark, d):
+    docs = table(spark, d, "documents")
+    model = train_language_model(docs, "doc_id", "text", "lang", LanguageRules())
+    found = predict_languages(docs, "doc_id", "text", model)
+    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "ambiguous")
+
+
+@query("op7_private_data")
+def op7_private_data(spark, d):
+    found = private_spans(table(spark, d, "documents"), "doc_id", "text")
+    secret = F.transform("added", lambda x: F.struct(x["start"].alias("start"), F.lit(len(KINDS)).alias("place"), x["end"].alias("end")))
+    return found.select(
+        "doc_id",
+        *[count_of(F.col("base"), kind).alias(f"n_{kind}") for kind in KINDS],
+        F.sha2(span_text(F.col("base")), 256).alias("base_sha256"),
+        span_text(F.array_sort(F.concat("base", secret))).alias("spans"),
+    )
+
+
 OP8_SQL = """
 WITH RECURSIVE v AS (
   SELECT vec_id, [x::DOUBLE FOR x IN embedding] AS e FROM embeddings
