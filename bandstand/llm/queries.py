@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from bandstand.llm.bpe import decode_ids, encode_texts
+from bandstand.llm.html_text import BlockRules, extract_pages
 from bandstand.llm.language import LanguageRules, held_out, predict_languages, train_language_model
 from bandstand.llm.line_dedup import LineRules, drop_frequent_lines
 from bandstand.llm.mixing import Mix, mix_plan
@@ -17,6 +18,11 @@ from bandstand.llm.registry import ORACLE, QUERIES, query, table  # noqa: F401
 from bandstand.llm.token_counts import over_limit, token_counts
 
 
+@query("op1_block_rules")
+def op1_block_rules(spark, d):
+    return extract_pages(table(spark, d, "pages"), "page_id", "url", "html", BlockRules())
+
+
 @query("op2_pivotal_mix")
 def op2_pivotal_mix(spark, d):
     plan = mix_plan(table(spark, d, "documents"), "doc_id", "text", "source", Mix(weights=(1, 2, 3), most=3, share=1.0))
