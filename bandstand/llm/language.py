@@ -15,7 +15,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from bandstand.llm.ragged import mix, text_slices
 
@@ -179,14 +179,14 @@ def train_language_model(docs: DataFrame, id_column: str, text_column: str, labe
     return _fit(x[seen], label[seen], languages, rules)
 
 
-def predict_languages(docs: DataFrame, id_column: str, text_column: str, model: LanguageModel, keep: list[str] | None = None) -> DataFrame:
-    """Per row ``doc_id, lang_pred, score, ambiguous``, and the columns ``keep`` of ``docs`` as they are.
+def predict_languages(docs: DataFrame, id_column: str, text_column: str, model: LanguageModel, with_row: bool = False) -> DataFrame:
+    """Per row ``doc_id, lang_pred, score, ambiguous``, and with ``with_row`` the whole row as the struct ``row``.
 
     A null text, one without letters, and any text if no language was learned is ``und`` with score 0. Whole texts
     are read; repeated rows are predicted one by one; a null id stays null.
     """
-    keep = keep or []
-    picked = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("text"), F.struct(F.lit(1), *keep).alias("row"))
+    row = [F.struct(*docs.columns).alias("row")] if with_row else []
+    picked = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("text"), *row)
     names = np.array([*model.languages, UNKNOWN], dtype=object)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -201,10 +201,11 @@ def predict_languages(docs: DataFrame, id_column: str, text_column: str, model:
                     pa.array(names[best].tolist(), pa.string()),
                     pa.array(np.where(known, score, 0.0).astype(np.float64)),
                     pa.array(known & close),
-                    batch.column(2).slice(lo, hi - lo),
                 ]
-                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "lang_pred", "score", "ambiguous", "row"])
+                columns += [batch.column(2).slice(lo, hi - lo)] if with_row else []
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "lang_pred", "score", "ambiguous", "row"][: len(columns)])
 
-    kept = picked.schema["row"].dataType.simpleString()
-    out = picked.mapInArrow(run, f"doc_id long, lang_pred string, score double, ambiguous boolean, row {kept}")
-    return out.select("doc_id", "lang_pred", "score", "ambiguous", *[F.col("row").getField(c).alias(c) for c in keep])
+    schema = "doc_id long, lang_pred string, score double, ambiguous boolean"
+    if with_row:
+        schema = T.StructType([*T.StructType.fromDDL(schema).fields, T.StructField("row", picked.schema["row"].dataType)])
+    return picked.mapInArrow(run, schema)
