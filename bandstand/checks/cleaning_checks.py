@@ -186,7 +186,7 @@ def a20(spark, d):
   (SELECT count(*) FROM merged m WHERE m.subgenre = f.subgenre AND m.mbid IS NOT NULL) AS merged_rows
  FROM flat_artists f GROUP BY 1""", "flat_artists", "raw_metadata", base=_BASE, lookup=_LOOKUP, merged=_MERGED))
 def q4(spark, d):
-    return quality.stage_counts(flat(spark, d), merge.metadata_lookup(shapes.raw_metadata(spark, d), ["_seq"]), S)
+    return quality.stage_counts(flat(spark, d), merge.metadata_lookup(shapes.raw_metadata(spark, d), ["_seq"]), ["_seq"], S).drop("date")
 
 
 @check("e_a4_weekly_rows", sql("SELECT artist_name, week_start, subgenre, listeners FROM weekly", "weekly"))

@@ -309,9 +309,9 @@ def t1(spark, d):
     return ordering.with_row_number(rows, [F.col(order[0]).desc(), F.col(order[1])], "place")
 
 
-@check("t1_mart_top", sql("SELECT artist_name, current_listeners FROM features ORDER BY current_listeners DESC, artist_name LIMIT 100", "features"))
+@check("t1_mart_top", sql("SELECT artist_name, current_listeners FROM features ORDER BY current_listeners DESC, artist_name", "features"))
 def t1_top(spark, d):
-    return catalogue.in_mart_order(shapes.features(spark, d).select("artist_name", "current_listeners"), "mart_artist_features").limit(100)
+    return catalogue.in_mart_order(shapes.features(spark, d).select("artist_name", "current_listeners"), "mart_artist_features")
 
 
 @check("t3_sorted_health", sql("SELECT subgenre, total_listeners, row_number() OVER (ORDER BY total_listeners, subgenre) AS place FROM (SELECT subgenre, CAST(sum(listeners) AS BIGINT) AS total_listeners FROM artists GROUP BY 1)", "artists"))
@@ -334,7 +334,7 @@ def t5(spark, d):
  SELECT o_orderpriority AS tag, o_orderkey, place FROM (SELECT o_orderpriority, o_orderkey, CAST(row_number() OVER (PARTITION BY o_orderpriority ORDER BY o_totalprice DESC, o_orderkey) AS INTEGER) AS place FROM orders) WHERE place <= 500""")
 def t6(spark, d):
     rows = table(spark, d, "orders").select(F.col("o_orderpriority").alias("tag"), "o_orderkey", "o_totalprice")
-    kept = top_per_key(rows, ["tag"], [F.col("o_totalprice").desc(), F.col("o_orderkey")], S.max_artists_per_tag, "place")
+    kept = top_per_key(rows, ["tag"], [F.col("o_totalprice").desc(), F.col("o_orderkey")], 500, "place")
     return kept.select("tag", "o_orderkey", "place")
 
 

@@ -5,8 +5,8 @@ are range-sorted into many partitions, that order is written down once (a reliab
 cannot change under a retry), and each partition gets an offset from the totals of the partitions before
 it. The only thing that is ever gathered is one row per partition.
 
-Percentiles, medians and exact hash splits need single ranks only: they count buckets and look at single
-rows in the one bucket that holds the rank, without sorting the table.
+Percentiles and medians take single ranks out of such running totals over the different values. Exact hash
+splits count hash prefixes and look at single rows in the one bucket that holds the rank.
 """
 
 from __future__ import annotations
@@ -64,45 +64,23 @@ def with_running_totals(df: DataFrame, order: list[Column], sums: dict[str, Colu
     )
 
 
-def value_bucket(value: Column) -> Column:
-    """Bucket number that grows with the value, some 16,000 buckets per factor of e.
-
-    Values up to a hundred million have 300,000 buckets at most, whatever the number of rows, and a bucket
-    of a trillion different values still holds few enough to be counted and ordered by one task.
-    """
-    return F.floor(F.signum(value) * F.log1p(F.abs(value)) * 16384)
-
-
 def _at_ranks(rows: DataFrame, group: str, ranks: dict[str, str]) -> DataFrame:
     """Per group, its size ``n`` and the values at the given ranks (SQL expressions of ``n``).
 
-    ``rows`` has ``group`` and ``value``. The rows are counted per value bucket, the buckets that hold the
-    wanted ranks are found, and a second pass counts the single values of those buckets only. A quantile
-    sketch would do with one pass, but all the sketches of a group have to be merged by one task.
-    ``group`` is a column of few values: a row per group and rank is broadcast.
+    ``rows`` has ``group`` and ``value``. Equal values are counted first, so a frequent one is one row; the
+    different values are then range-sorted over many partitions with running totals, whatever their range,
+    and each rank lies in exactly one of them.
     """
-    rows = rows.withColumn("_bucket", value_bucket(F.col("value")))
-    whole = W.partitionBy(group)
-    upto = whole.orderBy("_bucket").rowsBetween(W.unboundedPreceding, 0)
-    edges = (
-        rows.groupBy(group, "_bucket")
-        .agg(F.count("*").alias("_c"))
-        .withColumns({"_upto": F.sum("_c").over(upto), "n": F.sum("_c").over(whole)})
-    )
+    counts = rows.groupBy(group, "value").agg(F.count("*").alias("_c"))
+    seen = with_running_totals(counts, [F.col(group), F.col("value")], {"upto": F.col("_c")})
+    whole = seen.groupBy(F.col(group).alias("_group")).agg(F.sum("_c").alias("n"), F.min(F.col("upto") - F.col("_c")).alias("_start"))
     wanted = F.array(*[F.struct(F.lit(name).alias("_name"), F.expr(rank).alias("_rank")) for name, rank in ranks.items()])
-    before = F.col("_upto") - F.col("_c")
-    places = (
-        edges.select("*", F.inline(wanted))
-        .where((F.col("_rank") > before) & (F.col("_rank") <= F.col("_upto")))
-        .select(group, "_bucket", "_name", "n", (F.col("_rank") - before).alias("_left"))
-    )
-    single = (
-        rows.join(F.broadcast(places), [group, "_bucket"])
-        .groupBy(group, "n", "_name", "_left", "value")
-        .agg(F.count("*").alias("_c"))
+    upto = F.col("upto") - F.col("_start")
+    hit = (
+        seen.join(whole, F.col(group).eqNullSafe(F.col("_group")))
+        .select(group, "n", "value", upto.alias("_upto"), "_c", F.inline(wanted))
+        .where((F.col("_rank") <= F.col("_upto")) & (F.col("_rank") > F.col("_upto") - F.col("_c")))
     )
-    seen = F.sum("_c").over(W.partitionBy(group, "_name").orderBy("value").rowsBetween(W.unboundedPreceding, 0))
-    hit = single.withColumn("_seen", seen).where(F.col("_seen") >= F.col("_left"))
     return hit.groupBy(group, "n").agg(*[F.min(F.when(F.col("_name") == name, F.col("value"))).alias(name) for name in ranks])
 
 

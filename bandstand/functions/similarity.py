@@ -36,8 +36,11 @@ def _lcs(a: str, b: str) -> int:
 
 
 def indel_ratio(a: Column, b: Column) -> Column:
+    """100 for equal names; only those that differ are handed to Python."""
     total = F.length(a) + F.length(b)
-    return F.when(total == 0, F.lit(100.0)).otherwise(F.lit(200.0) * lcs_length(a, b) / F.nullif(total, F.lit(0)))
+    differ = F.when(a != b, a)
+    ratio = F.lit(200.0) * lcs_length(differ, b) / F.nullif(total, F.lit(0))
+    return F.when(a == b, F.lit(100.0)).otherwise(ratio)
 
 
 def token_sort_ratio(a: Column, b: Column) -> Column:

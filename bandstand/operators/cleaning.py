@@ -47,20 +47,26 @@ def deduplicate_artists(df: DataFrame, order: list[str], within: tuple[str, ...]
     of the records. ``within`` limits the merge to a partition; an empty tuple merges across scenes.
 
     One pass over the records: tags are exploded and reduced per ``(key, tag)``, and the record itself
-    rides along with its first tag only. The second step gathers the distinct tags of a key, so a name
+    goes with its first tag only. The second step gathers the distinct tags of a key, so a name
     that holds a third of all rows is never gathered row by row.
     """
     keys = [*within, "_key"]
     tags = "subgenre_tags"
     rest = [c for c in df.columns if c not in (tags, *within, *order)]
     smallest = F.lit(-(1 << 62)).cast("bigint")
+    record = F.struct(*rest)
+    # The record is part of its first tag's entry, or of one entry without a tag; the others hold none.
+    tagged = F.transform(
+        tags, lambda t, i: F.struct(i.alias("_pos"), t.alias("_tag"), F.when(i == 0, record).alias("_record"))
+    )
+    tag_type = df.schema[tags].dataType.elementType.simpleString()
+    bare = F.array(F.struct(F.lit(None).cast("int").alias("_pos"), F.lit(None).cast(tag_type).alias("_tag"), record.alias("_record")))
     rows = df.withColumn("_key", dedupe_key(F.col("lastfm_name"))).select(
         *keys,
         *order,
-        F.struct(*rest).alias("_record"),
         # Smallest first: most listeners, then the order of the records.
         F.struct((-F.coalesce("listeners", smallest)).alias("_less"), *order).alias("_rank"),
-        F.posexplode_outer(tags).alias("_pos", "_tag"),
+        F.inline(F.when(F.coalesce(F.size(tags), F.lit(0)) > 0, tagged).otherwise(bare)),
     )
     carrier = F.coalesce("_pos", F.lit(0)) == 0
     place = F.struct(*order, "_pos")

@@ -97,10 +97,8 @@ def _keyed(names: DataFrame, column: str, query_side: bool) -> DataFrame:
 
 
 def _spread(names: DataFrame, column: str) -> DataFrame:
-    """Use all shuffle partitions: a name costs far more work than its bytes suggest, so the partitions must
-    not be merged by size (as the exchange of the preceding ``distinct`` would be)."""
-    tasks = int(names.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return names.select(column).repartition(tasks, F.xxhash64(column))
+    """Deal the names out anew; adaptive execution chooses the number of tasks and splits large ones."""
+    return names.select(column).hint("rebalance", column)
 
 
 def name_pairs(queries: DataFrame, entities: DataFrame) -> DataFrame:

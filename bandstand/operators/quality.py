@@ -24,12 +24,12 @@ def not_null_check(df: DataFrame, table: str, columns: list[str]) -> DataFrame:
 
 
 def freshness(df: DataFrame, as_of: Column, s: Settings = DEFAULTS) -> DataFrame:
-    """Age of the newest partition date, graded."""
-    age = F.datediff(as_of, F.to_date("newest"))
+    """Age of the newest partition date, graded; a newest date that cannot be read is an error."""
+    age = F.datediff(as_of, F.try_to_date("newest"))
     return df.agg(F.max("date").alias("newest")).select(
         "newest",
         age.alias("age_days"),
-        F.when(age > s.error_days, "error").when(age > s.warn_days, "warn").otherwise("pass").alias("status"),
+        F.when(age.isNull() & F.col("newest").isNotNull(), "error").when(age > s.error_days, "error").when(age > s.warn_days, "warn").otherwise("pass").alias("status"),
     )
 
 
@@ -41,27 +41,28 @@ def non_null_profile(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 
-def stage_counts(raw_flat: DataFrame, metadata: DataFrame, s: Settings = DEFAULTS) -> DataFrame:
-    """Rows read, above the floor, after de-duplication and merged, per subgenre.
+def stage_counts(raw_flat: DataFrame, metadata: DataFrame, order: list[str], s: Settings = DEFAULTS) -> DataFrame:
+    """Rows read, above the floor, after de-duplication and merged, per subgenre and date.
 
-    ``raw_flat`` is the flattened raw table before the floor, ``metadata`` the lookup with one row per name.
-    The raw rows are reduced to one row per artist key first; only those are joined and counted again.
+    ``raw_flat`` is the flattened raw table before the floor, ``metadata`` the lookup with one row per name and
+    date, ``order`` the encounter order of the records. The raw rows are reduced to one row per artist key and
+    date first; only those are joined and counted again. A match without an id counts as not merged.
     """
     passes = F.col("listeners") >= s.listener_floor
     per_key = (
         raw_flat.withColumn("_key", dedupe_key(F.col("lastfm_name")))
-        .groupBy("subgenre", "_key")
+        .groupBy("subgenre", "date", "_key")
         .agg(
             F.count("*").alias("n_read"),
             F.count_if(passes).alias("n_floor"),
-            F.max_by(F.when(passes, F.col("lastfm_name")), F.struct(F.coalesce(F.when(passes, F.col("listeners")), F.lit(-1)), -F.col("_seq"))).alias("lastfm_name"),
+            F.max_by(F.when(passes, F.col("lastfm_name")), F.struct(F.coalesce(F.when(passes, F.col("listeners")), F.lit(-1)), *[-F.col(c) for c in order])).alias("lastfm_name"),
         )
     )
-    accepted = metadata.where(F.col("resolution_status") == ACCEPTED).select(
-        "subgenre", "lastfm_name", F.lit(1).alias("_hit")
+    accepted = metadata.where((F.col("resolution_status") == ACCEPTED) & F.col("mbid").isNotNull()).select(
+        "subgenre", "date", "lastfm_name", F.lit(1).alias("_hit")
     )
-    merged = per_key.join(accepted, ["subgenre", "lastfm_name"], "left")
-    return merged.groupBy("subgenre").agg(
+    merged = per_key.join(accepted, ["subgenre", "date", "lastfm_name"], "left")
+    return merged.groupBy("subgenre", "date").agg(
         F.sum("n_read").alias("read_rows"),
         F.sum("n_floor").alias("floor_rows"),
         F.count_if(F.col("n_floor") > 0).alias("deduped_rows"),

@@ -54,7 +54,8 @@ def change_around_releases(weekly: DataFrame, albums: DataFrame, weeks: int = 4)
     """Listeners in the ``weeks`` before and after each release week.
 
     Releases are reduced to one row per artist and week, like the chart rows, so both sides of the
-    window hold one row per artist and calendar week at most, and no pairs are built.
+    window hold one row per artist and calendar week at most, and no pairs are built. A week that is no
+    date lies in no window and drops out.
     """
     totals = weekly_totals(weekly).select("artist_name", "week_start", "listeners", F.lit(0).cast("bigint").alias("releases"))
     released = (
@@ -68,7 +69,8 @@ def change_around_releases(weekly: DataFrame, albums: DataFrame, weeks: int = 4)
         totals.unionByName(released)
         .groupBy("artist_name", "week_start")
         .agg(F.sum("listeners").alias("listeners"), F.sum("releases").alias("releases"))
-        .withColumn("_day", F.unix_date(F.to_date("week_start")))
+        .withColumn("_day", F.unix_date(F.try_to_date("week_start")))
+        .where(F.col("_day").isNotNull())
     )
     span = W.partitionBy("artist_name").orderBy("_day")
     return (

@@ -72,7 +72,6 @@ class Settings:
     last_structured_year: int = 2025
     bio_chars: int = 500
     top_countries: int = 10
-    max_artists_per_tag: int = 500
     test_share: float = 0.2
     seed: int = 42
     folds: int = 5

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from bandstand.schemas import BRONZE, BRONZE_PARTITIONS
-from bandstand.runtime import scratch_path
+from bandstand.runtime import remove_path, scratch_path
 
 PARTITIONS = ["source", "subgenre", "date"]
 
@@ -101,15 +101,31 @@ def require(df: DataFrame, what: str) -> DataFrame:
     return df
 
 
-def rewrite_partitions(spark: SparkSession, base: str, dataset: str, change) -> None:
-    """Read, change and overwrite the same partitions.
+def rewrite_partitions(spark: SparkSession, base: str, dataset: str, change, **part: str) -> None:
+    """Read, change and replace exactly the partitions that ``part`` names, for example a subgenre and a day.
 
     Spark cannot overwrite files it is reading, so the changed rows are written beside the table first;
-    after a failure in the second step the staged copy is whole and the step can be repeated.
+    after a failure in the second step the staged copy is whole and the step can be repeated. A partition
+    that the change leaves without rows goes.
     """
+    rows = read_bronze(spark, base, dataset, **part)
+    # One row per folder that is about to be replaced.
+    before = {tuple(r) for r in rows.select(*PARTITIONS).distinct().collect()}
     staged = scratch_path(spark, f"staged-{dataset}")
-    write_bronze(change(read_bronze(spark, base, dataset)), staged, dataset)
-    write_bronze(read_bronze(spark, staged, dataset), base, dataset)
+    write_bronze(change(rows), staged, dataset)
+    changed = read_bronze(spark, staged, dataset)
+    after = {tuple(r) for r in changed.select(*PARTITIONS).distinct().collect()}
+    write_bronze(changed, base, dataset)
+    for gone in before - after:
+        folder = "/".join(f"{name}={_escaped(spark, value)}" for name, value in zip(PARTITIONS, gone))
+        remove_path(spark, f"{base}/{dataset}/{folder}")
+    remove_path(spark, staged)
+
+
+def _escaped(spark: SparkSession, value: str | None) -> str:
+    """A partition value as it stands in a folder's name."""
+    names = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    return "__HIVE_DEFAULT_PARTITION__" if value is None else names.escapePathName(value)
 
 
 def list_objects(spark: SparkSession, path: str) -> DataFrame:

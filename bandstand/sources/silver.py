@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from bandstand.schemas import SILVER, SILVER_PARTITIONS, columns_of
 
 PARTITIONS = ["subgenre", "date"]
+MOST_LISTED = 1000
 
 
 def write_silver(df: DataFrame, base: str, table: str) -> str:
@@ -52,10 +53,20 @@ def create_external_table(spark: SparkSession, base: str, table: str) -> None:
 def latest_snapshot(df: DataFrame) -> DataFrame:
     """Rows of the newest ``date`` of each subgenre.
 
-    The inner aggregate reads partition columns only. It has a row per subgenre, never more than the table
-    has partition folders, so it is broadcast: the table itself is filtered where it is scanned, and
-    older folders are pruned at run time.
+    The newest dates are read from the partition columns while the plan is built: a row per subgenre. As
+    literals in the filter they prune the older folders before the scan. With more subgenres than a filter
+    should list, the newest dates are joined instead.
     """
-    newest = df.groupBy("subgenre").agg(F.max("date").alias("date"))
-    return df.join(F.broadcast(newest), ["subgenre", "date"], "left_semi")
+    newest = df.where(F.col("subgenre").isNotNull()).groupBy("subgenre").agg(F.max("date").alias("date"))
+    rows = newest.limit(MOST_LISTED + 1).collect()
+    if len(rows) > MOST_LISTED:
+        return df.join(newest, ["subgenre", "date"], "left_semi")
+    by_date: dict[str, list[str]] = {}
+    for r in rows:
+        if r["date"] is not None:
+            by_date.setdefault(r["date"], []).append(r["subgenre"])
+    wanted = F.lit(False)
+    for date, subgenres in sorted(by_date.items()):
+        wanted = wanted | ((F.col("date") == date) & F.col("subgenre").isin(*subgenres))
+    return df.where(wanted)
 

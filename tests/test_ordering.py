@@ -93,3 +93,11 @@ def test_percentiles_are_exact_per_group(spark):
         ranks = [max(1, -(-n * tenth // 10)) for tenth in (1, 5, 9, 10)]
         assert got[g] == [values[k - 1] for k in ranks]
     assert "none" not in got
+
+
+def test_percentiles_of_narrow_ranges(spark):
+    """Values close to each other, and large ones, are as good as any."""
+    for low, step in ((0.0, 1e-10), (1.9e9, 1.0)):
+        rows = spark.range(20_001).selectExpr("cast(id % 2 as string) AS g", f"{low} + id * {step} AS v")
+        got = {r["g"]: r["mid"] for r in ordering.exact_percentiles(rows, "g", "v", {"mid": 0.5}).collect()}
+        assert got == {"0": low + 10_000 * step, "1": low + 9_999 * step}

@@ -91,6 +91,31 @@ def test_rewrite_of_the_partitions_it_reads(spark, tmp_path):
     assert sorted(r["name"] for r in bronze.read_artist_info(spark, base).collect()) == ["A", "B"]
 
 
+def test_rewrite_replaces_named_partitions_only_and_drops_emptied_ones(spark, tmp_path):
+    base = str(tmp_path)
+    bronze.write_bronze(info(spark, ("a", 1, "x y", "d"), ("b", 2, "y", "d"), ("c", 3, "y", "e")), base, "artist_info")
+    bronze.rewrite_partitions(spark, base, "artist_info", lambda df: df.where("name <> 'a'"), subgenre="x y")
+    assert sorted(r["name"] for r in bronze.read_artist_info(spark, base).collect()) == ["b", "c"]
+    bronze.rewrite_partitions(spark, base, "artist_info", lambda df: df.withColumn("name", F.upper("name")), subgenre="y", date="d")
+    assert sorted(r["name"] for r in bronze.read_artist_info(spark, base).collect()) == ["B", "c"]
+
+
+def test_latest_snapshot_reads_no_older_folder(spark, tmp_path):
+    base = str(tmp_path)
+    for date in ("2024-01-01", "2024-01-02", "2024-01-03"):
+        rows = spark.range(3).selectExpr("concat('n', id) AS lastfm_name", "id + 60000 AS listeners", "'a' AS subgenre", f"'{date}' AS date")
+        from bandstand.schemas import SILVER, columns_of
+
+        have = set(rows.columns)
+        typed = spark.createDataFrame([], SILVER["artists"]).schema
+        full = rows.select(*[F.col(f.name).cast(f.dataType) if f.name in have else F.lit(None).cast(f.dataType).alias(f.name) for f in typed if f.name in columns_of(SILVER["artists"])], "subgenre", "date")
+        silver.write_silver(full, base, "artists")
+    latest = silver.latest_snapshot(silver.read_silver(spark, base, "artists"))
+    files = latest.select("_metadata.file_path").distinct().collect()
+    assert files and all("date=2024-01-03" in r["file_path"] for r in files)
+    assert "date=2024-01-01" not in str(latest.inputFiles()) or "PartitionFilters: [" in latest._jdf.queryExecution().toString()
+
+
 def test_csv_keeps_text_as_it_is(spark, tmp_path):
     names = [' outer ', 'quote " and, comma', "Motörhead"]
     df = spark.createDataFrame([(n, 0.5) for n in names], "feature STRING, mean_abs_shap DOUBLE")
