@@ -7,11 +7,21 @@ from pyspark.sql import Column, DataFrame, functions as F
 from bandstand.functions.ranking import first_per_key, last_per_key
 from bandstand.functions.similarity import token_sort_ratio
 from bandstand.functions.tiers import match_status
+from bandstand.runtime import Scratch
 from bandstand.settings import DEFAULTS, Settings
 
 ACCEPTED = "auto_accepted"
 
 
+def stored_lookup(df: DataFrame) -> DataFrame:
+    """A lookup with one row per key, written down once.
+
+    Read back, it is shuffled for the join alone (or broadcast, if its size is small), so adaptive execution can
+    split the rows of a hot key on the other side over many tasks. Joined as the window leaves it, it could not.
+    """
+    return Scratch(df.sparkSession, "lookup").write(df)
+
+
 def metadata_lookup(metadata: DataFrame, order: list[str], within: tuple[str, ...] = ("subgenre", "date")) -> DataFrame:
     """One metadata row per exact artist name: the last one landed."""
     named = metadata.where(F.coalesce("lastfm_name", F.lit("")) != "")
@@ -47,7 +57,7 @@ def info_of_listed(listed: DataFrame, info: DataFrame, keys: list[str], order: l
     Info is reduced to the last record per key, so a name that is landed often on both sides does not
     multiply.
     """
-    return listed.where(F.coalesce("name", F.lit("")) != "").join(last_per_key(info, keys, order), keys, "inner")
+    return listed.where(F.coalesce("name", F.lit("")) != "").join(stored_lookup(last_per_key(info, keys, order)), keys, "inner")
 
 
 def exact_then_folded(left: DataFrame, lookup: DataFrame, key: str, order: list[str]) -> DataFrame:
@@ -57,11 +67,11 @@ def exact_then_folded(left: DataFrame, lookup: DataFrame, key: str, order: list[
     """
     named = lookup.where(F.coalesce(F.col(key), F.lit("")) != "")
     rest = [c for c in lookup.columns if c not in (key, *order)]
-    exact = last_per_key(named, [key], order).select(
-        F.col(key).alias("_exact"), F.struct(*rest).alias("_by_name")
+    exact = stored_lookup(
+        last_per_key(named, [key], order).select(F.col(key).alias("_exact"), F.struct(*rest).alias("_by_name"))
     )
-    folded = last_per_key(named.withColumn("_folded", F.lower(key)), ["_folded"], order).select(
-        "_folded", F.struct(*rest).alias("_by_fold")
+    folded = stored_lookup(
+        last_per_key(named.withColumn("_folded", F.lower(key)), ["_folded"], order).select("_folded", F.struct(*rest).alias("_by_fold"))
     )
     hit = F.coalesce("_by_name", "_by_fold")
     return (
@@ -95,8 +105,8 @@ def resolve_profiles(artists: DataFrame, profiles: DataFrame, order: list[str],
 def attach_by_id(tracks: DataFrame, features: DataFrame, track_id: str, feature_id: str, name: str, order: list[str]) -> DataFrame:
     """Embed the feature record with the track's id; unknown ids get null, null lookups are dropped."""
     known = last_per_key(features.where(F.col(feature_id).isNotNull()), [feature_id], order)
-    record = known.select(
-        F.col(feature_id).alias("_fid"), F.struct(*[c for c in features.columns if c not in order]).alias(name)
+    record = stored_lookup(
+        known.select(F.col(feature_id).alias("_fid"), F.struct(*[c for c in features.columns if c not in order]).alias(name))
     )
     return tracks.join(record, F.col(track_id) == F.col("_fid"), "left").drop("_fid")
 
@@ -108,7 +118,7 @@ def fill_missing(records: DataFrame, full: DataFrame, key: str, value: str) -> D
     )
     needs = F.col(value).isNull() & F.col(key).isNotNull() & F.coalesce("_hit", F.lit(False))
     return (
-        records.join(new, F.col(key) == F.col("_key"), "left")
+        records.join(stored_lookup(new), F.col(key) == F.col("_key"), "left")
         .withColumn("filled", needs)
         .withColumn(value, F.when(needs, F.col("_new")).otherwise(F.col(value)))
         .drop("_key", "_new", "_hit")
