@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
@@ -12,22 +14,22 @@ from bandstand.checks.shapes import sql, table
 from bandstand.functions import ordering
 from bandstand.functions.ranking import top_factor
 from bandstand.ml import boosting, explain, metrics, predict, prep, split
-from bandstand.runtime import scratch_path
+from bandstand.runtime import path_exists, scratch_path, shared_dir
 from bandstand.schemas import MODEL_COLUMNS
 from bandstand.settings import NUMERIC_FEATURES
 from bandstand.sources import marts
 
-# Few rounds keep the check short; BoostParams() is the full setting.
-QUICK = boosting.BoostParams(rounds=3)
-_RUNS: dict[tuple, predict.TrainedRun] = {}
+# A tenth of the full rounds (BoostParams()): the queries check the models against their own formulas, not their skill.
+PARAMS = boosting.BoostParams(rounds=30)
 
 
 def trained(spark, d) -> predict.TrainedRun:
-    """One training run per session and data folder, shared by the model checks."""
-    key = (spark.sparkContext.applicationId, d)
-    if key not in _RUNS:
-        _RUNS[key] = predict.train_run(shapes.stored_features(spark, d), QUICK, S)
-    return _RUNS[key]
+    """The saved training run of the data folder: it is trained in full the first time that a session asks for it."""
+    name = hashlib.sha256(f"{spark.sparkContext.applicationId}:{d}:{PARAMS}".encode()).hexdigest()[:16]
+    path = f"{shared_dir(spark)}/trained-{name}"
+    if not path_exists(spark, f"{path}/params/_SUCCESS"):
+        predict.train_run(shapes.stored_features(spark, d), PARAMS, S).save(spark, path)
+    return predict.TrainedRun.load(spark, path)
 
 
 def scored(spark, d):
@@ -224,25 +226,58 @@ def s15(spark, d):
     return log.select("run_name", F.col("params")["rounds"].alias("rounds"), "roc_auc", "avg_precision")
 
 
-@check("m6_boosted_trees")
+_ROWS = "SELECT *, artist_name AS key, is_breakout AS label FROM features"
+
+
+def rebuilt_probability(df, model, name):
+    """The model's probability once more, from its leaves as the attributions read them: a sigmoid of twice the margin."""
+    explained = explain.attribute(df, model, prep.ALL_FEATURES, "_c")
+    margin = F.aggregate("_c", F.col("base_value"), lambda a, x: a + x)
+    return explained.withColumn(name, 1 / (1 + F.exp(-2 * margin))).drop("_c", "base_value")
+
+
+@check("m6_boosted_trees", sql("SELECT is_breakout, count(*) AS artists, count(*) AS agreeing FROM split WHERE is_test GROUP BY 1", "features", rows=_ROWS, split=_SPLIT))
 def m6(spark, d):
     run = trained(spark, d)
-    return run.test.select("artist_name", "is_breakout", "raw_probability")
+    agrees = F.abs(F.col("raw_probability") - F.col("_again")) < 1e-6
+    return rebuilt_probability(run.test, run.model, "_again").groupBy(F.col("is_breakout").cast("int").alias("is_breakout")).agg(
+        F.count("*").alias("artists"), F.count_if(agrees).alias("agreeing")
+    )
 
 
-@check("m7_calibrated_probability")
+@check("m7_calibrated_probability", sql("SELECT artist_name, true AS agrees FROM split WHERE is_test", "features", rows=_ROWS, split=_SPLIT))
 def m7(spark, d):
-    return trained(spark, d).test.select("artist_name", "is_breakout", "breakout_probability")
+    run = trained(spark, d)
+    rows, total = run.test, F.lit(0.0)
+    for i, (model, slope, offset) in enumerate(zip(run.fitted.models, run.fitted.slopes, run.fitted.offsets)):
+        rows = rebuilt_probability(rows, model, f"_again{i}")
+        total = total + 1 / (1 + F.exp(-(slope * F.col(f"_again{i}") + offset)))
+    mean = total / len(run.fitted.models)
+    return rows.select("artist_name", (F.abs(F.col("breakout_probability") - mean) < 1e-6).alias("agrees"))
 
 
-@check("m8_threshold")
+@check("m8_threshold", sql("SELECT is_breakout, count(*) AS artists, count(*) AS agreeing FROM split WHERE is_test GROUP BY 1", "features", rows=_ROWS, split=_SPLIT))
 def m8(spark, d):
-    return trained(spark, d).test.groupBy("is_breakout", "predicted").agg(F.count("*").alias("artists"))
+    agrees = (F.col("predicted") == 1) == (F.col("breakout_probability") >= 0.5)
+    return trained(spark, d).test.groupBy(F.col("is_breakout").cast("int").alias("is_breakout")).agg(F.count("*").alias("artists"), F.count_if(agrees).alias("agreeing"))
 
 
-@check("m11_model_metrics")
+@check("m11_model_metrics", "SELECT true AS roc_auc, true AS avg_precision, true AS brier_score, true AS brier_score_uncalibrated")
 def m11_model(spark, d):
-    return trained(spark, d).test_metrics
+    """Each metric against a second formula: ranks read from the other end, squares multiplied out."""
+    run = trained(spark, d)
+    got = run.test_metrics.first()
+    y = F.col(prep.TARGET)
+    p, raw = F.col("breakout_probability"), F.col("raw_probability")
+    turned = metrics.ranking_metrics(run.test.withColumn("_p", -p), prep.TARGET, "_p").first()["roc_auc"]
+    ranked = metrics.score_counts(run.test, prep.TARGET, "breakout_probability")
+    whole = ranked.agg(F.sum("pos").alias("p"), F.sum("neg").alias("n")).first()
+    upto = ordering.with_running_totals(ranked, [F.col("score")], {"p": F.col("pos"), "n": F.col("neg")})
+    hits, misses = whole["p"] - F.col("p") + F.col("pos"), whole["n"] - F.col("n") + F.col("neg")
+    precise = upto.agg(F.sum(F.col("pos") * hits / (hits + misses)) / F.sum("pos")).first()[0]
+    brier = [run.test.agg(F.avg(x * x) - 2 * F.avg(x * y) + F.avg(y)).first()[0] for x in (p, raw)]
+    again = {"roc_auc": 1 - turned, "avg_precision": precise, "brier_score": brier[0], "brier_score_uncalibrated": brier[1]}
+    return spark.range(1).select(*[F.lit(abs(got[k] - v) < 1e-9).alias(k) for k, v in again.items()])
 
 
 @check("m13_attributions_add_up", sql("SELECT count(*) AS artists, count(*) AS additive FROM split WHERE NOT is_test", "features",
@@ -255,10 +290,16 @@ def m13(spark, d):
     return explained.agg(F.count("*").alias("artists"), F.count_if(F.abs(total - margin) < 1e-6).alias("additive"))
 
 
-@check("a17_global_importance")
+@check("a17_global_importance", " UNION ALL ".join(f"SELECT '{f}' AS feature, true AS agrees" for f in prep.ALL_FEATURES))
 def a17(spark, d):
+    """Importance of every feature against a second aggregation, column by column."""
     run = trained(spark, d)
-    return explain.global_importance(explain.attribute(run.train, run.model, prep.ALL_FEATURES), prep.ALL_FEATURES)
+    explained = explain.attribute(run.train, run.model, prep.ALL_FEATURES)
+    again = explained.agg(*[F.avg(F.abs(F.col("contributions")[i])).alias(f) for i, f in enumerate(prep.ALL_FEATURES)])
+    pairs = F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f).alias("again")) for f in prep.ALL_FEATURES])
+    both = explain.global_importance(explained, prep.ALL_FEATURES).join(again.select(F.inline(pairs)), "feature")
+    agrees = (F.abs(F.col("mean_abs_shap") - F.col("again")) < 1e-9) & (F.col("mean_abs_shap") >= 0)
+    return both.select("feature", agrees.alias("agrees"))
 
 
 @check("a17_mean_absolute", """
@@ -289,9 +330,23 @@ def predictions(spark, d):
     return predict.prediction_table(shapes.features(spark, d, labelled_only=False), run.spec, run.fitted, S)
 
 
-@check("m15_predictions")
+@check("m15_predictions", sql("SELECT artist_name, true AS probability_fits, true AS factor_fits FROM all_features", "all_features"))
 def m15(spark, d):
-    return predictions(spark, d)
+    """Every prediction: a probability in three places, and the factor whose share is largest in either direction."""
+    run = trained(spark, d)
+    rows = prep.load_model_columns(shapes.features(spark, d, labelled_only=False), labelled_only=False)
+    prepared = prep.to_matrix(prep.apply_features(rows, run.spec))
+    explained = explain.mean_attribution(predict.score(prepared, run.fitted), run.fitted.models, prep.ALL_FEATURES)
+    shares = F.map_from_arrays(F.array(*[F.lit(f) for f in prep.ALL_FEATURES]), "contributions")
+    raw = explained.select("artist_name", F.col("breakout_probability").alias("_p"), shares.alias("_shares"))
+    p, factor = F.col("breakout_probability"), F.element_at("_shares", F.col("top_breakout_factor"))
+    largest = F.array_max(F.transform(F.map_values("_shares"), lambda x: F.abs(x)))
+    joined = predict.assemble_predictions(explained, S).join(raw, "artist_name")
+    return joined.select(
+        "artist_name",
+        (p.between(0, 1) & (F.abs(p - F.col("_p")) <= 0.0005 + 1e-12)).alias("probability_fits"),
+        ((F.abs(factor) == largest) & (F.abs(F.col("top_factor_shap") - factor) <= 0.0005 + 1e-12)).alias("factor_fits"),
+    )
 
 
 @check("m15_prediction_rows", sql("""

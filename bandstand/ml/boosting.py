@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from pyspark import inheritable_thread_target
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier, LogisticRegression
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -66,7 +68,6 @@ def fit_boosted(train: DataFrame, label: str, params: BoostParams = BoostParams(
         subsamplingRate=params.row_share,
         featureSubsetStrategy=str(params.column_share),
         seed=params.seed,
-        cacheNodeIds=True,
         checkpointInterval=10,
     ).fit(rows)
 
@@ -95,20 +96,29 @@ def fit_sigmoid(scored: DataFrame, label: str, score: str) -> tuple[float, float
 def fit_calibrated(
     train: DataFrame, label: str, key: str, params: BoostParams = BoostParams(), s: Settings = DEFAULTS
 ) -> Calibrated:
-    """Per fold: boost on the other folds, fit the sigmoid on the probabilities of the fold itself."""
+    """Per fold: boost on the other folds, fit the sigmoid on the probabilities of the fold itself.
+
+    The folds do not depend on each other, so their jobs run side by side.
+    """
     rows = stratified_folds(train, label, key, s.folds, f"fold-{s.seed}").cache()
-    models, slopes, offsets = [], [], []
-    for i in range(s.folds):
+
+    def fit(i: int) -> tuple[GBTClassificationModel, float, float]:
         model = fit_boosted(rows.where(F.col("fold") != i), label, params)
         held_out = raw_probability(rows.where(F.col("fold") == i), model, "_p")
-        slope, offset = fit_sigmoid(held_out, label, "_p")
-        models.append(model)
-        slopes.append(slope)
-        offsets.append(offset)
+        return model, *fit_sigmoid(held_out, label, "_p")
+
+    fits = side_by_side(train.sparkSession, [lambda i=i: fit(i) for i in range(s.folds)])
     rows.unpersist()
+    models, slopes, offsets = (list(x) for x in zip(*fits))
     return Calibrated(models, slopes, offsets)
 
 
+def side_by_side(spark: SparkSession, tasks: list) -> list:
+    """Run independent driver functions in threads, so that Spark works on their jobs at the same time."""
+    with ThreadPoolExecutor(len(tasks)) as pool:
+        return [f.result() for f in [pool.submit(inheritable_thread_target(spark)(t)) for t in tasks]]
+
+
 def calibrated_probability(df: DataFrame, fitted: Calibrated, name: str) -> DataFrame:
     """Mean of the folds' calibrated probabilities."""
     out, parts = df, []

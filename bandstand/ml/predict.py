@@ -2,44 +2,80 @@
 
 from __future__ import annotations
 
+import json
 from dataclasses import asdict
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.ml.classification import GBTClassificationModel
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from bandstand.functions.ordering import with_row_number
 from bandstand.functions.ranking import arg_max_abs
 from bandstand.functions.tiers import prediction_tier
 from bandstand.ml import boosting, explain, metrics, prep, split
-from bandstand.runtime import cut_lineage
+from bandstand.runtime import Scratch
 from bandstand.settings import DEFAULTS, Settings
 
 KEY = "artist_name"
+ROWS_PER_TASK = 50_000
 
 
 class TrainedRun:
-    """Everything a training run produces; frames stay lazy."""
-
-    def __init__(self, spec, model, fitted, train, test, test_metrics, params):
-        self.spec, self.model, self.fitted = spec, model, fitted
-        self.train, self.test, self.test_metrics, self.params = train, test, test_metrics, params
+    """Everything a training run produces; frames stay lazy and read the stored split."""
+
+    def __init__(self, spec, model, fitted, rows, params):
+        self.spec, self.model, self.fitted, self.rows, self.params = spec, model, fitted, rows, params
+        self.train = self._matrix(~F.col("is_test"))
+        self.test = score(boosting.raw_probability(self._matrix(F.col("is_test")), model, "raw_probability"), fitted)
+
+    def _matrix(self, part) -> DataFrame:
+        return prep.to_matrix(prep.apply_features(self.rows.where(part), self.spec))
+
+    @property
+    def test_metrics(self) -> DataFrame:
+        return evaluate(self.test)
+
+    def record(self) -> DataFrame:
+        """The run as one row: sizes of both parts, the features and the metrics."""
+        sizes = self.rows.agg(F.count_if(~F.col("is_test")).alias("n_train"), F.count_if("is_test").alias("n_test")).first()
+        named = {k: F.lit(v) for k, v in sizes.asDict().items()} | {"features": F.lit(",".join(prep.ALL_FEATURES))}
+        return self.test_metrics.withColumns(named)
+
+    def save(self, spark: SparkSession, path: str) -> None:
+        """Models, preparation, parameters and the split; ``params`` is written last and marks a whole run."""
+        self.rows.write.mode("overwrite").parquet(f"{path}/rows")
+        self.model.write().overwrite().save(f"{path}/model")
+        self.fitted.save(spark, f"{path}/folds")
+        self.spec.save(spark, f"{path}/spec")
+        spark.createDataFrame([(json.dumps(self.params),)], "params STRING").write.mode("overwrite").parquet(f"{path}/params")
+
+    @staticmethod
+    def load(spark: SparkSession, path: str) -> "TrainedRun":
+        params = json.loads(spark.read.parquet(f"{path}/params").first()["params"])
+        model = GBTClassificationModel.load(f"{path}/model")
+        fitted = boosting.Calibrated.load(spark, f"{path}/folds")
+        return TrainedRun(prep.FeatureSpec.load(spark, f"{path}/spec"), model, fitted, spark.read.parquet(f"{path}/rows"), params)
 
 
 def train_run(features: DataFrame, params: boosting.BoostParams, s: Settings = DEFAULTS) -> TrainedRun:
     """Split, fit the preparation on the training part only, boost, calibrate and evaluate.
 
     The model columns and the split are written down once: every round of every fold reads them again,
-    and must not run the marts behind them again.
+    and must not run the marts behind them again. The base model and the folds are fitted side by side.
     """
-    columns = cut_lineage(prep.load_model_columns(features))
-    rows = cut_lineage(split.stratified_split(columns, prep.TARGET, KEY, s))
-    train_raw, test_raw = rows.where(~F.col("is_test")), rows.where(F.col("is_test"))
+    scratch = Scratch(features.sparkSession, "training")
+    columns = scratch.write(prep.load_model_columns(features))
+    rows = scratch.write(split.stratified_split(columns, prep.TARGET, KEY, s))
+    train_raw = rows.where(~F.col("is_test"))
     spec = prep.fit_features(train_raw, s)
-    train = prep.to_matrix(prep.apply_features(train_raw, spec)).cache()
-    test = prep.to_matrix(prep.apply_features(test_raw, spec))
-    model = boosting.fit_boosted(train, prep.TARGET, params)
-    fitted = boosting.fit_calibrated(train, prep.TARGET, KEY, params, s)
-    scored = score(boosting.raw_probability(test, model, "raw_probability"), fitted)
-    return TrainedRun(spec, model, fitted, train, scored, evaluate(scored), asdict(params))
+    # Every round runs a job per level: as many tasks as the rows ask for, not one per core.
+    tasks = max(1, -(-train_raw.count() // ROWS_PER_TASK))
+    train = prep.to_matrix(prep.apply_features(train_raw, spec)).coalesce(tasks).cache()
+    model, fitted = boosting.side_by_side(
+        features.sparkSession,
+        [lambda: boosting.fit_boosted(train, prep.TARGET, params), lambda: boosting.fit_calibrated(train, prep.TARGET, KEY, params, s)],
+    )
+    train.unpersist()
+    return TrainedRun(spec, model, fitted, rows, asdict(params))
 
 
 def score(df: DataFrame, fitted: boosting.Calibrated) -> DataFrame:

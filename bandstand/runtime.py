@@ -67,6 +67,11 @@ def remove_path(spark: SparkSession, path: str) -> None:
     fs.delete(at, True)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, at = _file_system(spark, path)
+    return fs.exists(at)
+
+
 class Scratch:
     """Tables written to the shared folder between the steps of a job.
 

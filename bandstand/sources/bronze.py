@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from bandstand.schemas import BRONZE, BRONZE_PARTITIONS
-from bandstand.runtime import remove_path, scratch_path
+from bandstand.runtime import path_exists, remove_path, scratch_path
 
 PARTITIONS = ["source", "subgenre", "date"]
 
@@ -54,7 +54,7 @@ def read_bronze(
         .option("multiLine", str(json_arrays).lower())
         .option("ignoreMissingFiles", "true")
         .json(path)
-        if _exists(spark, path)
+        if path_exists(spark, path)
         else spark.createDataFrame([], schema)
     )
     for column, value in (("source", source), ("subgenre", subgenre), ("date", date)):
@@ -142,9 +142,3 @@ def first_containing(df: DataFrame, column: str, text: str, order: list[Column])
     """The first record whose column contains ``text``, else the first record."""
     hit = F.coalesce(F.col(column).contains(text), F.lit(False))
     return df.orderBy(hit.desc(), *order).limit(1)
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)

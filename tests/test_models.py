@@ -113,6 +113,14 @@ def test_calibrated_run(spark, run, tmp_path):
     assert all(again[r["artist_name"]] == pytest.approx(r["breakout_probability"]) for r in test)
 
 
+def test_saved_run_is_the_run(spark, run, tmp_path):
+    run.save(spark, str(tmp_path / "run"))
+    again = predict.TrainedRun.load(spark, str(tmp_path / "run"))
+    assert again.params == run.params and again.spec == run.spec
+    one, two = run.record().first(), again.record().first()
+    assert one == two and (one["n_train"], one["n_test"]) == (run.train.count(), 60) and "country_encoded" in one["features"]
+
+
 def margin(model):
     return model.copy().setPredictionCol("").setProbabilityCol("")
 
