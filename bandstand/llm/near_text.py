@@ -1,8 +1,9 @@
 """Near-duplicate texts: a chosen-path join over sets of word shingles.
 
-Every set is reduced to minwise values. Independent trees branch the sets by chosen values: in the root of
-each tree by two of them, in a node that is still large by two more, chosen by the node's number. A node
-with few sets is compared exhaustively by sketches. In a large node all sets are compared with a pivot; sets
+Every set is reduced to minwise values. Independent trees branch the sets by chosen values, two in each node. The first
+levels, as many as the number of documents asks for, are walked where the text is read: a path is a hash of the
+chosen values, and only paths that several sets share go on. A node with few sets is compared exhaustively
+by sketches. In a large node all sets are compared with a pivot; sets
 that are then known to be connected need no comparison with each other, and the few that stand apart are
 compared with all. What passes the sketches is confirmed on the full sets. A node that is large to the end is
 compared in blocks, so nothing is dropped for being frequent.
@@ -22,42 +23,65 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from bandstand.llm.components import components
 from bandstand.llm.groups import fixed_rows, pairs_within, whole_groups
-from bandstand.llm.ragged import text_slices
+from bandstand.llm.ragged import mix, text_slices
 from bandstand.llm.shingles import minwise, set_keys, shingle_sets
 from bandstand.runtime import Scratch
 
 SKETCH = 256
+SHORT = 32  # first places of the sketch, compared before the whole
 CHILDREN = 2
 
 
 @dataclass(frozen=True)
 class NearText:
-    """Shingle length in words, likeness in per cent, trees, sets in a small node, levels, rows of a block."""
+    """Shingle length in words, likeness in per cent, trees, sets in a small node, sets that may stand apart in a
+    large node before it is branched, levels, shingles of a block."""
 
     words: int = 5
     percent: int = 80
     trees: int = 4
     small: int = 48
+    few: int = 4096
     levels: int = 6
-    block: int = 1024
+    block: int = 400_000
 
-    @property
-    def least_equal(self) -> int:
-        """Equal sketch places a pair must have: four standard deviations below the threshold."""
+    def least_equal(self, places: int) -> int:
+        """Equal places of a sketch that a pair must have: four standard deviations below the threshold."""
         p = self.percent / 100
-        return int(SKETCH * p - 4 * (SKETCH * p * (1 - p)) ** 0.5)
+        return int(places * p - 4 * (places * p * (1 - p)) ** 0.5)
 
 
-def _sketches(docs: DataFrame, p: NearText) -> DataFrame:
-    """Per row: set size, set keys, root values of the trees and a byte sketch."""
+def _depth(documents: int) -> int:
+    """Levels after which texts that share a thousandth of their shingles by chance seldom share a node."""
+    depth = 1
+    while 1000**depth < documents:
+        depth += 1
+    return depth
+
+
+def _paths(values: np.ndarray, trees: int, depth: int) -> np.ndarray:
+    """Nodes of each set after ``depth`` levels of all trees; every node branches by values of its own."""
+    column = iter(values.T)
+    out = []
+    for tree in range(trees):
+        nodes = [np.full(len(values), tree, np.uint64)]
+        for _ in range(depth):
+            nodes = [mix(node ^ next(column)) for node in nodes for _ in range(CHILDREN)]
+        out += nodes
+    return np.ascontiguousarray(np.stack(out, 1)).astype(np.int64)
+
+
+def _sketches(docs: DataFrame, depth: int, p: NearText) -> DataFrame:
+    """Per row: set size, set keys, nodes after the first levels and a byte sketch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        roots = p.trees * CHILDREN
+        roots = p.trees * CHILDREN**depth
+        chosen = p.trees * sum(CHILDREN**k for k in range(1, depth + 1))
         for batch in batches:
             for lo, hi, data, offsets in text_slices(batch.column(1)):
                 shingles, counts = shingle_sets(data, offsets, p.words)
-                values = minwise(shingles, counts, SKETCH + roots)
-                nodes = np.ascontiguousarray(values[:, SKETCH:]).astype(np.int64)
+                values = minwise(shingles, counts, SKETCH + chosen)
+                nodes = _paths(values[:, SKETCH:], p.trees, depth)
                 sketch = np.ascontiguousarray(values[:, :SKETCH].astype(np.uint8))
                 one, two = set_keys(shingles, counts)
                 columns = [
@@ -86,7 +110,7 @@ def _alike(ids, sizes, sketch, i, j, p: NearText) -> tuple[np.ndarray, np.ndarra
     ok = (100 * np.minimum(sizes[i], sizes[j]) >= p.percent * np.maximum(sizes[i], sizes[j])) & (ids[i] != ids[j])
     i, j = i[ok], j[ok]
     equal = (sketch[i] == sketch[j]).sum(1)
-    ok = equal >= p.least_equal
+    ok = equal >= p.least_equal(sketch.shape[1])
     return i[ok], j[ok], equal[ok]
 
 
@@ -96,7 +120,7 @@ def _compare_small(rows: DataFrame, p: NearText) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, edges in whole_groups(batches, 1):
             ids, sizes = (batch.column(k).to_numpy() for k in (1, 2))
-            sketch = fixed_rows(batch.column(3), SKETCH)
+            sketch = fixed_rows(batch.column(3), SHORT)
             found = [_alike(ids, sizes, sketch, i, j, p) for i, j in pairs_within(edges)]
             if not found:
                 continue
@@ -106,7 +130,7 @@ def _compare_small(rows: DataFrame, p: NearText) -> DataFrame:
             np.maximum.at(most, j, equal)
             yield _candidates(ids[i], ids[j], (equal == most[i]) | (equal == most[j]))
 
-    sorted_rows = rows.select("node", "rep", "n_shingles", "sketch").repartition("node").sortWithinPartitions("node")
+    sorted_rows = rows.select("node", "rep", "n_shingles", "short").repartition("node").sortWithinPartitions("node")
     return sorted_rows.mapInArrow(run, _CANDIDATES)
 
 
@@ -117,44 +141,78 @@ def _compare_pivot(rows: DataFrame, p: NearText) -> DataFrame:
         for batch in batches:
             ids, sizes, other, other_sizes = (batch.column(k).to_numpy() for k in (0, 1, 3, 4))
             n = len(ids)
-            sketch = np.concatenate([fixed_rows(batch.column(k), SKETCH) for k in (2, 5)])
+            sketch = np.concatenate([fixed_rows(batch.column(k), SHORT) for k in (2, 5)])
             both, both_sizes = np.concatenate([ids, other]), np.concatenate([sizes, other_sizes])
             i, j, _ = _alike(both, both_sizes, sketch, np.arange(n), np.arange(n) + n, p)
             yield _candidates(both[i], both[j], np.ones(len(i), bool))
 
-    return rows.select("rep", "n_shingles", "sketch", "pivot", "pivot_shingles", "pivot_sketch").mapInArrow(run, _CANDIDATES)
+    return rows.select("rep", "n_shingles", "short", "pivot", "pivot_shingles", "pivot_short").mapInArrow(run, _CANDIDATES)
+
+
+def _by_whole_sketch(pairs: DataFrame, known: DataFrame, p: NearText) -> DataFrame:
+    """The pairs that also pass by their whole sketches."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            one, two = (fixed_rows(batch.column(k), SKETCH) for k in (3, 4))
+            passes = (one == two).sum(1) >= p.least_equal(SKETCH)
+            yield batch.select([0, 1, 2]).filter(pa.array(passes))
+
+    ends = [known.select(F.col("rep").alias(end), F.col("sketch").alias(f"of_{end}")).hint("merge") for end in "ab"]
+    return pairs.join(ends[0], "a").join(ends[1], "b").select("a", "b", "best", "of_a", "of_b").mapInArrow(run, _CANDIDATES)
 
-def _compare_apart(rows: DataFrame, p: NearText) -> DataFrame:
-    """Pairs of the rows that stand apart from their node's main label with all rows of the node, in blocks.
 
-    ``rows``: node, rep, n_shingles, sketch, label, main, n (rows of the node), apart (those that stand apart).
+def _link_apart(rows: DataFrame, texts: DataFrame, p: NearText) -> DataFrame:
+    """Links of the rows that stand apart from their node's main label, with any row of another label, in blocks.
+
+    ``rows``: node, rep, n_shingles, sketch, label, main, whole (shingles of the node), apart (those of the rows that
+    stand apart). Each block of asking rows meets each block of all rows once, with their texts. What passes the
+    sketches is confirmed at once, the likeliest first; one link to a label is enough.
     """
-    shares = F.ceil(F.col("n") / p.block).cast("int")
-    parts = F.ceil(F.col("apart") / p.small).cast("int")
-    columns = ["node", "rep", "n_shingles", "sketch", "label"]
-    place = F.xxhash64("rep", "node")
-    everyone = rows.select(*columns, F.pmod(place, shares).alias("share"), F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"), F.lit(False).alias("asks"))
-    apart = rows.where("label <> main").select(
-        *columns, F.explode(F.sequence(F.lit(0), shares - 1)).alias("share"), F.pmod(F.xxhash64("rep", F.lit(1)), parts).alias("part"), F.lit(True).alias("asks")
-    )
-    dealt = everyone.select("node", "share", "part", "asks", "rep", "n_shingles", "sketch", "label").unionByName(apart)
+    shares, parts = (F.greatest(F.lit(1), F.ceil(F.col(c) / p.block).cast("int")) for c in ("whole", "apart"))
+    columns = ["node", "share", "part", "asks", "rep", "n_shingles", "sketch", "label", "text"]
+    met = rows.join(texts.withColumnRenamed("id", "rep"), "rep")
+    asked = met.withColumns({"share": F.pmod(F.xxhash64("rep", "node"), shares), "asks": F.lit(False)}).withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1)))
+    asking = met.where("label <> main").withColumns({"part": F.pmod(F.xxhash64("rep", F.lit(1)), parts), "asks": F.lit(True)}).withColumn("share", F.explode(F.sequence(F.lit(0), shares - 1)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, edges in whole_groups(batches, 3):
+        for batch, edges in whole_groups(batches, 3, 1):
             asks, ids, sizes, label = (batch.column(k).to_numpy(zero_copy_only=False) for k in (3, 4, 5, 7))
             sketch = fixed_rows(batch.column(6), SKETCH)
+            one: list[int] = []
+            two: list[int] = []
             for lo, hi in zip(edges[:-1], edges[1:]):
-                asking = lo + np.flatnonzero(asks[lo:hi])
-                asked = lo + np.flatnonzero(~asks[lo:hi])
-                for row in asking:
-                    others = asked[label[asked] != label[row]]
-                    i, j, equal = _alike(ids, sizes, sketch, np.full(len(others), row), others, p)
-                    if len(i):
-                        yield _candidates(ids[i], ids[j], equal == equal.max())
-
+                sets = _Sets(batch.column(8), lo, hi, p.words)
+                asked_here = lo + np.flatnonzero(~asks[lo:hi])
+                for row in (lo + np.flatnonzero(asks[lo:hi])).tolist():
+                    others = asked_here[label[asked_here] != label[row]]
+                    _, j, equal = _alike(ids, sizes, sketch, np.full(len(others), row), others, p)
+                    met_labels: set[int] = set()
+                    for other in j[np.argsort(-equal, kind="stable")].tolist():
+                        if label[other] not in met_labels and _reaches(sets[row], sets[other], p.percent):
+                            met_labels.add(label[other])
+                            one.append(ids[row])
+                            two.append(ids[other])
+            yield pa.RecordBatch.from_arrays([pa.array(one, pa.int64()), pa.array(two, pa.int64())], names=["a", "b"])
+
+    dealt = asked.select(*columns).unionByName(asking.select(*columns))
     sorted_rows = dealt.repartition("node", "share", "part").sortWithinPartitions("node", "share", "part")
-    return sorted_rows.mapInArrow(run, _CANDIDATES)
+    return sorted_rows.mapInArrow(run, "a long, b long")
+
+
+class _Sets:
+    """Shingle sets of the rows of a group, made when first asked for."""
+
+    def __init__(self, texts: pa.Array, lo: int, hi: int, words: int):
+        self._texts, self._lo, self._hi, self._words, self._made = texts, lo, hi, words, {}
+
+    def __getitem__(self, row: int) -> np.ndarray:
+        if not self._made:
+            for lo, hi, data, offsets in text_slices(self._texts.slice(self._lo, self._hi - self._lo)):
+                shingles, counts = shingle_sets(data, offsets, self._words)
+                for k, part in enumerate(np.split(shingles, np.cumsum(counts)[:-1])):
+                    self._made[self._lo + lo + k] = part
+        return self._made[row]
 
 
 def _confirmed(scratch: Scratch, pairs: DataFrame, texts: DataFrame, p: NearText) -> DataFrame:
@@ -217,15 +275,15 @@ class _Join:
     """The state of one join: texts to confirm on and the components found so far."""
 
     def __init__(self, spark: SparkSession, docs: DataFrame, p: NearText):
-        self.spark, self.docs, self.p = spark, docs, p
+        self.docs, self.p = docs, p
         self.scratch = Scratch(spark, "near-text")
         self.labels = spark.createDataFrame([], "node long, label long")
+        self.known: DataFrame | None = None
         self.texts: DataFrame | None = None
         self.ids_repeat = False
 
-    def confirm(self, pairs: DataFrame) -> None:
-        """Add the pairs that hold on the full sets, and join their components."""
-        found = self.scratch.write(_confirmed(self.scratch, pairs, self.texts, self.p))
+    def join_links(self, found: DataFrame) -> None:
+        """Join the components that confirmed links connect."""
         if found.isEmpty():
             return
         before = self.labels
@@ -233,15 +291,20 @@ class _Join:
         self.labels = components(self.scratch, found.union(before.select(F.col("node").alias("a"), F.col("label").alias("b"))))
         self.scratch.drop(before)
 
-    def take(self, candidates: DataFrame) -> None:
-        """Likeliest pairs first; of the others only those between different components."""
-        pairs = self.scratch.write(candidates.groupBy("a", "b").agg(F.max("best").alias("best")))
-        self.confirm(pairs.where("best"))
+    def confirmed(self, pairs: DataFrame, texts: DataFrame) -> DataFrame:
+        return self.scratch.write(_confirmed(self.scratch, pairs, texts, self.p))
+
+    def take(self, candidates: DataFrame) -> DataFrame:
+        """Confirm the likeliest pairs and join their components; of the others return the links between different ones."""
+        distinct = candidates.groupBy("a", "b").agg(F.max("best").alias("best"))
+        pairs = self.scratch.write(_by_whole_sketch(distinct, self.known, self.p))
+        # The likeliest pairs ask for most of the texts, what is left of the others for few.
+        self.join_links(self.confirmed(pairs.where("best"), self.texts.hint("merge")))
         rest = _labelled(_labelled(pairs.where("not best"), self.labels, "a").withColumnRenamed("label", "label_a"), self.labels, "b")
         rest = self.scratch.write(rest.where("label_a <> label").select("a", "b"))
-        if not rest.isEmpty():
-            self.confirm(rest)
-        self.scratch.drop(pairs, rest)
+        links = rest if rest.isEmpty() else self.confirmed(rest, self.texts)
+        self.scratch.drop(pairs)
+        return links
 
 
 def near_text_components(docs: DataFrame, id_column: str, text_column: str, p: NearText = NearText()) -> DataFrame:
@@ -256,19 +319,21 @@ def near_text_components(docs: DataFrame, id_column: str, text_column: str, p: N
     picked = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("text"))
     join = _Join(spark, picked, p)
     scratch = join.scratch
-    sketches = scratch.write(_sketches(picked, p))
-    filled = sketches.where("n_shingles > 0 and doc_id is not null")
+    sketches = scratch.write(_sketches(picked, _depth(docs.count()), p))
+    rows = sketches.select("doc_id", "n_shingles", "k1", "k2")
+    filled = rows.where("n_shingles > 0 and doc_id is not null")
     repeated = filled.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1")
     join.ids_repeat = not repeated.isEmpty()
     classes = scratch.write(filled.groupBy("k1", "k2").agg(F.min("doc_id").alias("rep")))
     first = classes.select("k1", "k2", F.col("rep").alias("doc_id"))
     same = ["k1", "k2", "doc_id"]
-    reps = scratch.write(filled.join(first, same).dropDuplicates(same).withColumnRenamed("doc_id", "rep"))
+    of_class = sketches.where("n_shingles > 0").join(first.hint("merge"), same)
+    reps = scratch.write((of_class.dropDuplicates(same) if join.ids_repeat else of_class).withColumnRenamed("doc_id", "rep"))
     _search(join, reps)
-    labels = _with_repeated_ids(scratch, filled, classes, join.labels)
-    of_class = sketches.join(classes.withColumnRenamed("rep", "_rep"), ["k1", "k2"], "left")
+    labels = _with_repeated_ids(scratch, filled, classes, join.labels) if join.ids_repeat else join.labels
+    with_class = rows.join(classes.withColumnRenamed("rep", "_rep"), ["k1", "k2"], "left")
     rep = F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("_rep"))
-    out = _labelled(of_class.withColumn("rep", rep), labels, "rep")
+    out = _labelled(with_class.withColumn("rep", rep), labels, "rep")
     component = F.coalesce("label", "doc_id")
     return out.select("doc_id", "n_shingles", component.alias("component_id"), component.eqNullSafe(F.col("doc_id")).alias("kept"))
 
@@ -278,8 +343,6 @@ def _with_repeated_ids(scratch: Scratch, filled: DataFrame, classes: DataFrame,
     named = scratch.write(filled.join(classes, ["k1", "k2"]).select("doc_id", "rep"))
     spans = named.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).where("a <> b")
     several = scratch.write(spans.select("doc_id", "a"))
-    if several.isEmpty():
-        return labels
     more = named.join(several, "doc_id").select("a", F.col("rep").alias("b"))
     return components(scratch, more.union(labels.select(F.col("node").alias("a"), F.col("label").alias("b"))))
 
@@ -293,49 +356,54 @@ def _sizes(scratch: Scratch, rows: DataFrame) -> DataFrame:
 def _search(join: _Join, reps: DataFrame) -> None:
     """Find and confirm the links between classes, level by level."""
     p, scratch = join.p, join.scratch
-    known = reps.select("rep", "n_shingles", "sketch")
+    join.known = known = reps.select("rep", "n_shingles", "sketch")
+    short = known.select("rep", "n_shingles", F.substring("sketch", 1, SHORT).alias("short"))
     rows = reps.select("rep", F.explode("nodes").alias("node"))
     for level in range(p.levels):
         sizes = _sizes(scratch, rows)
         if sizes.isEmpty():
             return
-        met = scratch.write(rows.join(sizes, "node"))
+        met = scratch.write(rows.join(sizes.hint("merge"), "node"))
         if join.texts is None:
             join.texts = _texts(join, met)
-        with_sketch = met.join(known, "rep")
-        large = with_sketch.where(F.col("n") > p.small)
-        pivots = known.select(F.col("rep").alias("pivot"), F.col("n_shingles").alias("pivot_shingles"), F.col("sketch").alias("pivot_sketch"))
+        with_short = met.join(short.hint("merge"), "rep")
+        pivots = short.select(F.col("rep").alias("pivot"), F.col("n_shingles").alias("pivot_shingles"), F.col("short").alias("pivot_short"))
         centres = scratch.write(sizes.where(F.col("n") > p.small).select("node", "pivot").join(pivots, "pivot"))
-        found = _compare_small(with_sketch.where(F.col("n") <= p.small), p)
+        found = _compare_small(with_short.where(F.col("n") <= p.small), p)
         only_small = centres.isEmpty()
         if not only_small:
-            found = found.union(_compare_pivot(large.drop("pivot").join(centres, "node"), p))
-        join.take(found)
+            found = found.union(_compare_pivot(with_short.where(F.col("n") > p.small).drop("pivot").join(centres, "node"), p))
+        links = join.take(found)
         if only_small:
+            join.join_links(links)
             return
-        rows = _large(join, large.drop("n", "pivot"), level)
+        rows = _large(join, met.where(F.col("n") > p.small).select("node", "rep"), links, level)
         if rows is None:
             return
 
 
-def _large(join: _Join, rows: DataFrame, level: int) -> DataFrame | None:
-    """Compare what stands apart in large nodes, or branch them; returns the rows of the next level."""
+def _large(join: _Join, rows: DataFrame, links: DataFrame, level: int) -> DataFrame | None:
+    """Link what stands apart in large nodes, or branch them; returns the rows of the next level.
+
+    ``links`` are confirmed links that the labels do not show yet; they are joined with what is found here.
+    """
     p, scratch = join.p, join.scratch
-    rows = scratch.write(_labelled(rows, join.labels, "rep"))
-    counts = rows.groupBy("node", "label").agg(F.count("*").alias("c"))
-    nodes = counts.groupBy("node").agg(F.sum("c").alias("n"), F.max_by("label", "c").alias("main"), F.max("c").alias("most"))
-    nodes = scratch.write(nodes.select("node", "n", "main", (F.col("n") - F.col("most")).alias("apart")).where("apart > 0"))
-    if nodes.isEmpty():
-        return None
+    rows = scratch.write(_labelled(rows.join(join.known.select("rep", "n_shingles"), "rep"), join.labels, "rep"))
+    counts = rows.groupBy("node", "label").agg(F.count("*").alias("c"), F.sum("n_shingles").alias("s"))
+    nodes = counts.groupBy("node").agg(
+        F.sum("c").alias("n"), F.max("c").alias("most"), F.max_by("label", "c").alias("main"), F.sum("s").alias("whole"), F.max_by("s", "c").alias("main_s")
+    )
+    nodes = nodes.select("node", "main", "whole", (F.col("whole") - F.col("main_s")).alias("apart"), (F.col("n") - F.col("most")).alias("others"))
+    nodes = scratch.write(nodes.where("others > 0"))
     last = level + 1 == p.levels
-    few = F.lit(True) if last else F.col("apart") <= p.small
-    now = nodes.where(few)
+    now = nodes if last else nodes.where(F.col("others") <= p.few)
     if not now.isEmpty():
-        join.take(_compare_apart(rows.join(now, "node"), p))
-    later = nodes.where(~few)
+        links = links.union(scratch.write(_link_apart(rows.join(now, "node").join(join.known.select("rep", "sketch"), "rep"), join.texts, p)))
+    later = nodes.where(F.col("others") > p.few)
+    join.join_links(links)
     if last or later.isEmpty():
         return None
-    return scratch.write(_children(rows.join(later, "node"), p))
+    return scratch.write(_children(rows.join(later, "node").join(join.known.select("rep", "sketch"), "rep"), p))
 
 
 def _children(rows: DataFrame, p: NearText) -> DataFrame:
@@ -348,6 +416,6 @@ def _children(rows: DataFrame, p: NearText) -> DataFrame:
 
 def _texts(join: _Join, met: DataFrame) -> DataFrame:
     """Texts of all classes that share a node with another one; they are confirmed from these."""
-    ids = join.scratch.write(met.select(F.col("rep").alias("doc_id")).distinct())
-    kept = join.docs.join(ids, "doc_id", "left_semi").select(F.col("doc_id").alias("id"), "text")
+    ids = met.select(F.col("rep").alias("doc_id")).distinct()
+    kept = join.docs.join(ids.hint("merge"), "doc_id", "left_semi").select(F.col("doc_id").alias("id"), "text")
     return join.scratch.write(kept.dropDuplicates(["id", "text"]) if join.ids_repeat else kept)
