@@ -133,15 +133,15 @@ def em_posteriors(patterns: list[tuple[tuple[int, ...], int]], votes: list[int],
     """How likely each pattern of cast votes is private, and the share of right votes of each labeler.
 
     ``patterns``: which labelers voted (0/1 each) and how many candidates did so. The labelers are taken as
-    independent given the truth; their shares start at 0.8 and stay between 0.55 and 0.99, so that one
-    that is alone cannot turn the classes round. A pattern without votes has the prior.
+    independent given the truth; their shares start at 0.8 and stay between 0.55 and 0.99, and both classes are
+    taken as equally frequent: labelers that only ever vote one way cannot tell the frequency from their errors.
+    A pattern without votes stays at one half.
     """
     right = [0.8] * len(votes)
-    prior = 0.5
-    likely = [prior] * len(patterns)
+    likely = [0.5] * len(patterns)
     for _ in range(rounds):
         for k, (cast, _) in enumerate(patterns):
-            score = math.log(prior / (1 - prior))
+            score = 0.0
             for j, c in enumerate(cast):
                 if c:
                     score += (1 if votes[j] else -1) * math.log(right[j] / (1 - right[j]))
@@ -151,9 +151,6 @@ def em_posteriors(patterns: list[tuple[tuple[int, ...], int]], votes: list[int],
             total = sum(n for n, _ in cast_by)
             agreed = sum(n * p for n, p in cast_by)
             right[j] = min(0.99, max(0.55, (agreed + 8.0) / (total + 10.0)))
-        voted = [(n, p) for (cast, n), p in zip(patterns, likely) if any(cast)]
-        total = sum(n for n, _ in voted)
-        prior = min(0.9, max(0.02, (sum(n * p for n, p in voted) + 1.0) / (total + 2.0)))
     return likely, right
 
 
