@@ -223,7 +223,6 @@ FILLED_SQL = """
 @check("s13_rewrite_raw_partitions", FILLED_SQL)
 def s13(spark, d):
     base, name = scratch_path(spark, "bronze"), "profiles"
-    BRONZE.setdefault(name, "record STRING, id STRING, popularity BIGINT")
     bronze.write_bronze(popularity_records(spark, d), base, name)
     full = full_profiles(spark, d)
     bronze.rewrite_partitions(spark, base, name, lambda df: fill_missing(df, full, "id", "popularity").drop("filled"))

@@ -8,6 +8,7 @@ TAG_STRUCT = "STRUCT<tag: STRING, valid_from: STRING, valid_to: STRING>"
 # nested text as it is and the cleaning step parses it.
 BRONZE = {
     "tag_artists": "name STRING, _seq BIGINT",
+    "profiles": "record STRING, id STRING, popularity BIGINT",
     "artist_info": (
         "name STRING, mbid STRING, stats STRUCT<listeners: STRING, playcount: STRING>, tags STRING, "
         "bio STRUCT<summary: STRING, content: STRING>, _source_tag STRING, _seq BIGINT"
