@@ -19,7 +19,7 @@ from bandstand.llm.merges import PairTable, merged_symbols, rank_pairs
 from bandstand.llm.pretokens import pretoken_starts
 from bandstand.llm.ragged import slice_hashes, spread, text_slices
 
-CACHE_SLICES = 200_000
+CACHE_SLICES = 60_000
 
 
 class Codec:
