@@ -1,7 +1,8 @@
 """Near-duplicate vectors: a forest of random-projection trees with overlapping splits.
 
 Each tree splits its nodes along random directions near the mean of the node; vectors within a margin of the
-split go to both sides, so that close pairs seldom part. Nodes are split level by level for all trees at
+split go to both sides, so that close pairs seldom part. The narrower a node, the wider its margin, and a node no
+wider than a linked pair is not split: a dense group stays whole. Nodes are split level by level for all trees at
 once; only counts and moments per node are gathered. Vectors are compared within leaves, in double
 precision. A pair that shares several leaves is counted in the smallest of them, so links are summed without
 writing pairs. A leaf that cannot be split any more is compared in blocks.
@@ -18,7 +19,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from bandstand.llm.components import components
 from bandstand.llm.groups import fixed_rows, whole_groups
-from bandstand.llm.ragged import mix, slice_hashes
+from bandstand.llm.ragged import mix, slice_hashes, spread
 from bandstand.runtime import Scratch
 
 
@@ -28,7 +29,8 @@ class Forest:
 
     The margin is in standard deviations of the distance that a pair at the least cosine has along a random
     direction. With a quarter of it a pair at the least cosine stays together in some nine of ten levels; eight
-    trees find 99 % of such pairs, and nearly all closer ones.
+    trees find 99 % of such pairs, and nearly all closer ones. That holds for scattered vectors; narrower nodes
+    take a wider margin, so that they part no more pairs.
     """
 
     cosine: float = 0.9
@@ -94,13 +96,13 @@ def _projected(classes: DataFrame, f: Forest) -> DataFrame:
                     [
                         pa.array(np.tile(roots, len(at))),
                         pa.array(np.repeat(ids[at], f.trees)),
-                        pa.array(np.full(len(places), (2 * (1 - f.cosine) / dim) ** 0.5 * f.margin)),
+                        pa.array(np.full(len(places), (2 * (1 - f.cosine) / dim) ** 0.5)),
                         pa.ListArray.from_arrays(pa.array(step), pa.array(places.ravel())),
                     ],
-                    names=["node", "cid", "margin", "places"],
+                    names=["node", "cid", "apart", "places"],
                 )
 
-    return classes.select("cid", "vector").mapInArrow(run, "node long, cid long, margin double, places array<float>")
+    return classes.select("cid", "vector").mapInArrow(run, "node long, cid long, apart double, places array<float>")
 
 
 def _leaves(scratch: Scratch, rows: DataFrame, f: Forest) -> DataFrame:
@@ -109,12 +111,16 @@ def _leaves(scratch: Scratch, rows: DataFrame, f: Forest) -> DataFrame:
     leaves = []
     for level in range(f.levels):
         place = F.get("places", F.lit(level)).cast("double")
-        stats = rows.groupBy("node").agg(F.count("*").alias("n"), F.avg(place).alias("mean"), F.stddev_pop(place).alias("sd"), F.max("margin").alias("most"))
+        stats = rows.groupBy("node").agg(F.count("*").alias("n"), F.avg(place).alias("mean"), F.stddev_pop(place).alias("sd"), F.max("apart").alias("far"))
         # Near the mean, but not the same for all: a share of the deviation, drawn by the node's number.
         drawn = F.pmod(F.xxhash64("node", F.lit("split")), F.lit(1001)) / 1000.0 - 0.5
-        # In a normal node 2 m / (2.5 sd) of the rows would go both ways; above a half the node stays whole.
-        ends = (F.col("n") <= f.leaf) | (1.6 * F.col("most") >= F.col("sd")) | F.lit(level + 1 == f.levels)
-        stats = scratch.write(stats.select("node", "n", (F.col("mean") + drawn * 0.5 * F.col("sd")).alias("cut"), ends.alias("ends")))
+        # With the distance a of a pair at the least cosine, a split parts 0.4 E(|a| - 2 m)+ / sd of such pairs; this m
+        # keeps that share where sd is less than the 2.2 a of scattered vectors.
+        margin = F.greatest(f.margin * F.col("far"), 0.68 * F.col("far") - 0.19 * F.col("sd"))
+        # At sd = a, four tenths of the rows would go both ways, and most pairs of the node may be links: it stays whole.
+        ends = (F.col("n") <= f.leaf) | (F.col("far") >= F.col("sd")) | F.lit(level + 1 == f.levels)
+        cut = F.col("mean") + drawn * 0.5 * F.col("sd")
+        stats = scratch.write(stats.select("node", "n", cut.alias("cut"), margin.alias("margin"), ends.alias("ends")))
         met = rows.join(stats, "node")
         leaves.append(scratch.write(met.where("ends").select(F.col("node").alias("leaf"), "n", "cid")))
         if stats.where("not ends").isEmpty():
@@ -126,7 +132,7 @@ def _leaves(scratch: Scratch, rows: DataFrame, f: Forest) -> DataFrame:
             ),
             lambda x: x.isNotNull(),
         )
-        below = scratch.write(met.where("not ends").select(F.explode(sides).alias("node"), "cid", "margin", "places"))
+        below = scratch.write(met.where("not ends").select(F.explode(sides).alias("node"), "cid", "apart", "places"))
         scratch.drop(rows, stats)
         rows = below
     out = leaves[0]
@@ -135,10 +141,27 @@ def _leaves(scratch: Scratch, rows: DataFrame, f: Forest) -> DataFrame:
     return out
 
 
-def _first_shared(one: np.ndarray, two: np.ndarray) -> np.ndarray:
-    """The smallest number that both rows hold; the rows are sorted and padded with different values."""
-    shared = (one[:, :, None] == two[:, None, :]).any(2)
-    return one[np.arange(len(one)), shared.argmax(1)]
+def _share_smaller(one: np.ndarray, two: np.ndarray, leaf: int, starts: np.ndarray, numbers: np.ndarray) -> np.ndarray:
+    """Which rows of ``one`` share with which of ``two`` a leaf with a smaller number than ``leaf``."""
+    sides = []
+    for rows in (one, two):
+        size = starts[rows + 1] - starts[rows]
+        held = numbers[spread(starts[rows].astype(np.int64), size.astype(np.int64))]
+        row = np.repeat(np.arange(len(rows)), size)
+        sides.append((row[held < leaf], held[held < leaf]))
+    both = np.intersect1d(sides[0][1], sides[1][1])
+    shared = np.zeros((len(one), len(two)), bool)
+    for k in range(0, len(both), 1024):
+        some = both[k : k + 1024]
+        marks = []
+        for rows, (row, held) in zip((one, two), sides):
+            at = np.minimum(np.searchsorted(some, held), len(some) - 1)
+            hit = some[at] == held
+            mark = np.zeros((len(rows), len(some)), np.float32)
+            mark[row[hit], at[hit]] = 1
+            marks.append(mark)
+        shared |= marks[0] @ marks[1].T > 0
+    return shared
 
 
 def _compared(leaves: DataFrame, vectors: DataFrame, f: Forest) -> DataFrame:
@@ -157,14 +180,13 @@ def _compared(leaves: DataFrame, vectors: DataFrame, f: Forest) -> DataFrame:
             leaf, low, high, mine, cid, weight = (batch.column(k).to_numpy() for k in range(6))
             column = batch.column(7)
             starts, numbers = column.offsets.to_numpy(), column.values.to_numpy()
-            size = np.diff(starts)
             unit = list(_unit(batch.column(6)))
             links, root = np.zeros(len(cid), np.int64), np.arange(len(cid))
             for at, x in unit:
                 where = np.searchsorted(at, edges)
                 for a, b in zip(where[:-1], where[1:]):
                     if b - a > 1:
-                        _compare_group(at[a:b], x[a:b], leaf, low, high, mine, weight, starts, numbers, size, links, root, f.cosine)
+                        _compare_group(at[a:b], x[a:b], leaf, low, high, mine, weight, starts, numbers, links, root, f.cosine)
             found = (links > 0) | (root != np.arange(len(cid)))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(cid[found]), pa.array(links[found]), pa.array(cid[root[found]])], names=["cid", "links", "near"]
@@ -175,7 +197,7 @@ def _compared(leaves: DataFrame, vectors: DataFrame, f: Forest) -> DataFrame:
     return sorted_rows.mapInArrow(run, "cid long, links long, near long")
 
 
-def _compare_group(rows, x, leaf, low, high, mine, weight, starts, numbers, size, links, root, cosine) -> None:
+def _compare_group(rows, x, leaf, low, high, mine, weight, starts, numbers, links, root, cosine) -> None:
     """Compare the vectors of one leaf or of two of its blocks; adds to ``links`` and ``root``."""
     two_blocks = low[rows[0]] != high[rows[0]]
     one, two = (rows, rows) if not two_blocks else (rows[mine[rows] == low[rows]], rows[mine[rows] != low[rows]])
@@ -185,15 +207,15 @@ def _compare_group(rows, x, leaf, low, high, mine, weight, starts, numbers, size
     near = left @ right.T >= cosine
     if not two_blocks:
         near = np.triu(near, 1)
+    some, others = np.flatnonzero(near.any(1)), np.flatnonzero(near.any(0))
+    if not len(some):
+        return
+    one, two, near = one[some], two[others], near[np.ix_(some, others)]
+    here = (near & ~_share_smaller(one, two, leaf[rows[0]], starts, numbers)).astype(np.float64)
+    links[one] += (here @ weight[two]).astype(np.int64)
+    links[two] += (weight[one] @ here).astype(np.int64)
     i, j = np.nonzero(near)
     i, j = one[i], two[j]
-    step = max(1, (1 << 22) // int(size[rows].max()) ** 2)
-    for k in range(0, len(i), step):
-        a, b = i[k : k + step], j[k : k + step]
-        shared = _first_shared(_padded(a, starts, numbers, size, -1), _padded(b, starts, numbers, size, -2))
-        here = shared == leaf[rows[0]]
-        np.add.at(links, a[here], weight[b[here]])
-        np.add.at(links, b[here], weight[a[here]])
     # Within the group, every row takes the smallest row that it is connected with.
     while True:
         least = np.minimum(root[i], root[j])
@@ -205,14 +227,6 @@ def _compare_group(rows, x, leaf, low, high, mine, weight, starts, numbers, size
             return
 
 
-def _padded(rows: np.ndarray, starts: np.ndarray, numbers: np.ndarray, size: np.ndarray, pad: int) -> np.ndarray:
-    """Lists of the rows as a matrix; places behind a list's end hold a value that no other matrix has."""
-    width = int(size[rows].max())
-    at = starts[rows][:, None] + np.arange(width)
-    inside = np.arange(width) < size[rows][:, None]
-    return np.where(inside, numbers[np.minimum(at, len(numbers) - 1)], pad)
-
-
 def near_vector_components(rows: DataFrame, id_column: str, vector_column: str, f: Forest = Forest()) -> DataFrame:
     """Per row ``vec_id, n_links, component_id, kept``.
 

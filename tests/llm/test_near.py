@@ -134,6 +134,19 @@ def test_vectors_against_all_pairs(spark):
     assert sum(r == by_id[r[0]] for r in got) >= 0.99 * len(rows)
 
 
+@pytest.mark.parametrize("mutual", [0.93])
+def test_dense_group_keeps_its_links(spark, mutual):
+    rng = np.random.default_rng(3)
+    group = np.sqrt(mutual) * np.eye(64)[0] + np.sqrt((1 - mutual) / 64) * rng.standard_normal((2500, 64))
+    x = np.vstack([group, rng.standard_normal((5000, 64))])
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    want = (x @ x.T >= 0.9).sum(1) - 1
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = dict(near_vector_components(df, "vec_id", "embedding", Forest()).select("vec_id", "n_links").collect())
+    found = np.array([got[i] for i in range(len(x))])
+    assert (found <= want).all() and found.sum() >= 0.995 * want.sum()
+
+
 def test_odd_vectors(spark):
     nan, inf = float("nan"), float("inf")
     rows = [
