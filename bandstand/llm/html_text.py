@@ -3,7 +3,8 @@
 A page is cut into blocks at its block elements. The first pass decides blocks by themselves: parts that are never the
 article (menus, forms, adverts and so on) and blocks full of links are out, longer blocks with enough stop words
 are in, the rest stays open. In the second pass each open block takes the side of its nearest decided neighbour in the
-same part of the page; without one, the part decides.
+same part of the page; without one, the part decides. A class or id word does not silence an element that holds nearly
+all main text, and where no block is in, the open ones stay.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ import html
 import re
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from itertools import chain
 
 import pyarrow as pa
@@ -47,6 +48,7 @@ _NEVER_NAMES = frozenset(
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^\"'>]++|\"[^\"]*+\"|'[^']*+')*+|[^>]*)(?:>|\Z)", re.S)
 _ATTRIBUTE = re.compile(r"([a-zA-Z-]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 _WORD = re.compile(r"[^\W\d_]+")
+_NOTICE = re.compile(r"(?:copyright\W*)?\N{COPYRIGHT SIGN}", re.I)
 IN, OUT, OPEN = 1, -1, 0
 
 
@@ -68,21 +70,23 @@ class Block:
     never: bool
     article: bool
     part: int
+    # Open elements that a class or id word takes for no main text, outer ones first.
+    named: tuple[int, ...] = ()
 
 
-def _names(attributes: str) -> tuple[bool, dict[str, str]]:
-    """Whether the attributes say that the element is no main text, and the attributes."""
+def _names(attributes: str) -> tuple[bool, bool]:
+    """Whether the attributes say that the element is no main text, and whether its class or id has a word that says so."""
     found = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTRIBUTE.finditer(attributes)} if attributes.strip() else {}
     words = re.split(r"[^a-z0-9]+", re.sub(r"([a-z])([A-Z])", r"\1-\2", f"{found.get('class', '')} {found.get('id', '')}").lower())
     hidden = "hidden" in found or found.get("aria-hidden") == "true" or "display:none" in found.get("style", "").replace(" ", "").lower()
-    return hidden or not _NEVER_NAMES.isdisjoint(words) or found.get("role", "").lower() in _NEVER_ROLES, found
+    return hidden or found.get("role", "").lower() in _NEVER_ROLES, not _NEVER_NAMES.isdisjoint(words)
 
 
 def page_blocks(page: str) -> list[Block]:
     """Blocks of text in page order. Broken markup is read as far as it goes; an unfinished tag at the end is dropped."""
     blocks: list[Block] = []
-    # Open elements: name, inside something that is never main text, inside an article, part of the page.
-    stack: list[tuple[str, bool, bool, int]] = [("", False, False, 0)]
+    # Open elements: name, inside something that is never main text, inside an article, part of the page, named elements.
+    stack: list[tuple[str, bool, bool, int, tuple[int, ...]]] = [("", False, False, 0, ())]
     parts, breaks, linked_depth, linked = 0, 0, 0, 0
     pieces: list[str] = []
     here = never_p = False
@@ -91,8 +95,8 @@ def page_blocks(page: str) -> list[Block]:
         nonlocal linked, pieces
         text = " ".join(html.unescape("".join(pieces)).split())
         if text:
-            _, never, article, part = stack[-1]
-            blocks.append(Block(text, linked, never or never_p, article, part))
+            _, never, article, part, silent = stack[-1]
+            blocks.append(Block(text, linked, never or never_p, article, part, silent))
         pieces, linked = [], 0
 
     at, end = 0, len(page)
@@ -133,20 +137,24 @@ def page_blocks(page: str) -> list[Block]:
                         del stack[k:]
                         break
             else:
-                here, _ = _names(attributes)
+                here, named = _names(attributes)
                 if name in _NOT_PUSHED:
-                    never_p = here
+                    never_p = here or named
                     continue
                 never_p = False
-                _, never, article, part = stack[-1]
+                _, never, article, part, silent = stack[-1]
                 starts = name in ("article", "main")
                 if name == "header":
                     here = here or not article
-                never = here or name in _NEVER or (never and not (starts and not any(s[0] in ("article", "main") for s in stack)))
+                if starts and not any(s[0] in ("article", "main") for s in stack):
+                    never, silent = False, ()
+                never = never or here or name in _NEVER
+                if named and name not in ("html", "body"):
+                    silent = (*silent, tag.start())
                 if name in ("article", "main", "section", "nav", "aside", "header", "footer", "form"):
                     parts += 1
                     part = parts
-                stack.append((name, never, article or starts, part))
+                stack.append((name, never, article or starts, part, silent))
     flush()
     return blocks
 
@@ -161,13 +169,12 @@ def _page_words(words: Counter[str]) -> frozenset[str] | None:
 def _first_pass(blocks: list[Block], rules: BlockRules) -> list[int]:
     words = [[] if b.never else _WORD.findall(b.text.lower()) for b in blocks]
     stop_words = _page_words(Counter(chain.from_iterable(words)))
-    has_article = any(b.article and not b.never for b in blocks)
     side = []
     for b, own in zip(blocks, words):
         chars = len(b.text)
-        if b.never or (has_article and not b.article) or b.linked > rules.most_linked * chars:
+        if b.never or b.linked > rules.most_linked * chars:
             side.append(OUT)
-        elif "\N{COPYRIGHT SIGN}" in b.text and chars <= rules.notice_chars:
+        elif chars <= rules.notice_chars and (_NOTICE.match(b.text) if b.article else "\N{COPYRIGHT SIGN}" in b.text):
             side.append(OUT)
         elif chars < rules.least_chars or not own:
             side.append(OPEN)
@@ -175,12 +182,45 @@ def _first_pass(blocks: list[Block], rules: BlockRules) -> list[int]:
             side.append(IN)
         else:
             side.append(OPEN)
+    # An article rules out what is outside it if it holds most of the text that is in, or that is open where none is in.
+    kind = IN if IN in side else OPEN
+    inside = sum(len(b.text) for b, s in zip(blocks, side) if s == kind and b.article)
+    if 2 * inside > sum(len(b.text) for b, s in zip(blocks, side) if s == kind):
+        side = [s if b.article else OUT for b, s in zip(blocks, side)]
     return side
 
 
+def _heard(blocks: list[Block], rules: BlockRules) -> list[Block]:
+    """The blocks, silenced by those named elements only that do not hold nearly all main text.
+
+    An element is heard if it holds most of the page's text and what is in without it is less than a tenth of that.
+    """
+    held: Counter[int] = Counter()
+    for b in blocks:
+        if not b.never:
+            held.update(dict.fromkeys(b.named, len(b.text)))
+    total = sum(len(b.text) for b in blocks)
+    heard: set[int] = set()
+
+    def silenced() -> list[Block]:
+        return [replace(b, never=True) if not heard.issuperset(b.named) else b for b in blocks]
+
+    out = silenced()
+    # Elements with most of the text lie in each other; outer ones come first, those that hold the same text together.
+    for size in sorted({n for n in held.values() if 2 * n > total}, reverse=True):
+        if sum(len(b.text) for b, s in zip(out, _first_pass(out, rules)) if s == IN) * 10 >= size:
+            break
+        heard.update(k for k, n in held.items() if n == size)
+        out = silenced()
+    return out
+
+
 def classify(blocks: list[Block], rules: BlockRules = BlockRules()) -> list[bool]:
     """Which blocks are main text."""
+    blocks = _heard(blocks, rules)
     side = _first_pass(blocks, rules)
+    if IN not in side:
+        return [s == OPEN for s in side]
     # Neighbours in the article are those of the article; elsewhere those of the same part of the page.
     part = [-1 if b.article else b.part for b in blocks]
     distance = [len(blocks) + 1] * len(blocks)

@@ -30,6 +30,22 @@ def test_main_text(page, text):
     assert main_text(page) == text
 
 
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        (f"<body class='has-sidebar'><p>{PROSE}</p></body>", PROSE),
+        (f"<div id='page' class='no-sidebar comments-open'><h1>Title</h1><p>{PROSE}</p><div class='sidebar'>{MORE}</div></div>", f"Title\n{PROSE}"),
+        (f"<p>{PROSE}</p><div id='comments'><p>{MORE}</p><p>{MORE}</p><p>{MORE}</p></div>", PROSE),
+        ("<div><p>\u201cYes.\u201d</p><p>\u201cNo.\u201d</p><p><a href=x>Next page</a></p></div>", "\u201cYes.\u201d\n\u201cNo.\u201d"),
+        ("<nav>\u83dc\u5355</nav><p>\u732b\u5728\u57ab\u5b50\u4e0a\u3002</p><p>\u5b83\u7761\u7740\u4e86\u3002</p>", "\u732b\u5728\u57ab\u5b50\u4e0a\u3002\n\u5b83\u7761\u7740\u4e86\u3002"),
+        (f"<div><p>{PROSE}</p><p>{MORE}</p></div><article><h3>Teaser</h3></article>", f"{PROSE}\n{MORE}\nTeaser"),
+        (f"<article><p>{PROSE} The \N{COPYRIGHT SIGN} is a sign.</p><p>\N{COPYRIGHT SIGN} 2020 the paper</p></article>", f"{PROSE} The \N{COPYRIGHT SIGN} is a sign."),
+    ],
+)
+def test_whole_articles_stay(page, text):
+    assert main_text(page) == text
+
+
 def test_open_blocks_take_the_side_of_their_neighbours():
     page = f"<div><p>{PROSE}</p><p>Near it.</p></div><section><p>Far away.</p></section>"
     assert main_text(page) == f"{PROSE}\nNear it."
