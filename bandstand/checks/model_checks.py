@@ -19,8 +19,8 @@ from bandstand.schemas import MODEL_COLUMNS
 from bandstand.settings import NUMERIC_FEATURES
 from bandstand.sources import marts
 
-# A tenth of the full rounds (BoostParams()): the queries check the models against their own formulas, not their skill.
-PARAMS = boosting.BoostParams(rounds=30)
+# The full setting, all rounds.
+PARAMS = boosting.BoostParams()
 
 
 def trained(spark, d) -> predict.TrainedRun:

@@ -7,6 +7,7 @@ import pytest
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
+from bandstand.checks import model_checks
 from bandstand.functions.ranking import arg_max_abs
 from bandstand.ml import boosting, explain, metrics, predict, prep
 from bandstand.settings import NUMERIC_FEATURES, Settings
@@ -202,3 +203,7 @@ def test_first_of_equal_factors_wins(spark):
 
 def test_feature_order_is_fixed():
     assert prep.ALL_FEATURES == [*NUMERIC_FEATURES, "subgenre", "country_encoded"]
+
+
+def test_registered_queries_train_all_rounds():
+    assert model_checks.PARAMS == boosting.BoostParams() and model_checks.PARAMS.rounds == 300
