@@ -1,6 +1,7 @@
 """Order MinHash fingerprints. DataFrame functions only.
 
-The k-mers of a text are runs of blank-separated words, numbered by occurrence. A hash deals them to the
+The k-mers of a text are runs of words between white space, numbered by occurrence; words longer than usual, such as
+lines without blanks, are cut into runs of characters that start at each of their characters. A hash deals them to the
 places of a signature; each place keeps the least numbered k-mer of each of its parts, puts these back into the
 order they have in the text and hashes that tuple. Two texts agree in a place if they share its least k-mers and
 have them in the same order, so the share of equal places falls with moved text as well as with changed text.
@@ -17,29 +18,44 @@ from bandstand.runtime import Scratch
 
 _HEX = 8  # digits of a place
 _EMPTY = "-" * _HEX
+_SPACE_CHARS = r"\s\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
+_SPACE = rf"[{_SPACE_CHARS}]"
+_UNSPACED = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}\p{IsTibetan}]"
 
 
 @dataclass(frozen=True)
 class OrderMinHash:
-    """Words of a k-mer, places of a signature, k-mers of a tuple, characters of text for one task, seed."""
+    """Words of a k-mer, longest word that is not cut and characters of the runs of others, places of a signature,
+    k-mers of a tuple, characters of text for one task, seed."""
 
     words: int = 2
+    longest: int = 24
+    run: int = 4
     places: int = 32
     tuple_size: int = 2
     task_chars: int = 4_000_000
     seed: int = 5
 
 
-def _kmers(text: Column, words: int) -> Column:
+def _kmers(text: Column, p: OrderMinHash) -> Column:
     """Hashes of the k-mers at each word; at the end of the text they are shorter."""
-    tokens = F.split(text, " ")
+    tokens = F.split(text, _SPACE)
+    # Most texts have no long word and are not gone through again. Scripts without blanks have short words that are sentences.
+    cut = text.rlike(rf"[^{_SPACE_CHARS}]{{{p.longest + 1}}}") | text.rlike(_UNSPACED)
+    tokens = F.when(cut, F.flatten(F.transform(tokens, lambda w: _cut(w, p)))).otherwise(tokens)
     out = F.transform(tokens, lambda w: F.xxhash64(w))
-    for k in range(1, words):
+    for k in range(1, p.words):
         later = F.slice(tokens, k + 1, F.greatest(F.size(tokens) - k, F.lit(0)))
         out = F.zip_with(out, later, lambda h, w: F.xxhash64(h, w))
     return out
 
 
+def _cut(word: Column, p: OrderMinHash) -> Column:
+    """The word, or the runs of characters at each of its characters where it is long or of a script without blanks."""
+    runs = F.regexp_extract_all(word, F.lit(rf"(?s)(?=(.{{1,{p.run}}}))."), F.lit(1))
+    return F.when((F.char_length(word) > p.longest) | word.rlike(_UNSPACED), runs).otherwise(F.array(word))
+
+
 def signatures(texts: DataFrame, keys: list[str], text_columns: dict[str, str], p: OrderMinHash = OrderMinHash()) -> DataFrame:
     """``keys`` and, for each entry ``name: column``, the signature of that text as a string.
 
@@ -48,7 +64,7 @@ def signatures(texts: DataFrame, keys: list[str], text_columns: dict[str, str],
     """
     kinds = F.array(*[F.struct(F.lit(i).alias("kind"), F.col(c).alias("text")) for i, c in enumerate(text_columns.values())])
     each = texts.select(*keys, F.inline(kinds))
-    found = each.select(*keys, "kind", F.posexplode(_kmers(F.col("text"), p.words)).alias("pos", "kmer"))
+    found = each.select(*keys, "kind", F.posexplode(_kmers(F.col("text"), p)).alias("pos", "kmer"))
     same = "PARTITION BY kmer, " + ", ".join(keys) + ", kind ORDER BY pos"
     numbered = found.select(*keys, "kind", "pos", F.xxhash64("kmer", F.expr(f"row_number() OVER ({same})"), F.lit(p.seed)).alias("hash"))
     parts = p.places * p.tuple_size

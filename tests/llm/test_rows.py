@@ -101,6 +101,24 @@ def test_fingerprints(clashing, odd_rows):
     assert fingerprints(clashing.where("false"), "doc_id", "text").count() == 0
 
 
+def test_texts_without_blanks_have_kmers(spark):
+    rng = random.Random(8)
+    han = lambda n: "".join(chr(rng.randint(0x4E00, 0x9F00)) for _ in range(n))
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(5))
+    texts = [
+        han(2000),
+        "\u3002".join(han(9) for _ in range(200)),
+        "\n".join(word() for _ in range(400)),
+        "\t".join(word() for _ in range(400)),
+        "".join(word() for _ in range(400)),
+        "\n".join("https://example.com/" + word() + word() for _ in range(100)),
+    ]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r for r in fingerprints(docs, "doc_id", "text").collect()}
+    assert all(0.1 < got[i].near_edited < 0.9 for i in range(len(texts)))
+    assert all("-" not in got[i].fingerprint for i in range(len(texts)))
+
+
 def test_order_counts(spark):
     """Moved text lowers the likeness although the k-mers stay nearly the same."""
     rng = random.Random(9)
