@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from bandstand.llm.merges import PairTable, merged_symbols, rank_pairs
 from bandstand.llm.pretokens import pretoken_starts
-from bandstand.llm.ragged import slice_hashes, spread, text_slices
+from bandstand.llm.ragged import spread, text_slices, unique_slices
 
 CACHE_SLICES = 60_000
 
@@ -62,7 +62,7 @@ class Codec:
         """Ids of all texts, each text's offset among them, and each id's byte offset in ``data``."""
         starts = pretoken_starts(data, offsets)
         ends = np.append(starts[1:], len(data))
-        _, one, back = np.unique(slice_hashes(data, starts, ends), return_index=True, return_inverse=True)
+        one, back = unique_slices(data, starts, ends)
         blob, known = data.tobytes(), self._cache
         pieces = [blob[a:b] for a, b in zip(starts[one].tolist(), ends[one].tolist())]
         self._learn(pieces)

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from bandstand.llm.merges import PairTable, json_pairs, merged_counts
 from bandstand.llm.pretokens import pretoken_starts
-from bandstand.llm.ragged import slice_hashes, text_slices
+from bandstand.llm.ragged import text_slices, unique_slices
 
 SCHEMA = "doc_id long, n_bytes long, n_tokens long"
 
@@ -55,7 +55,7 @@ def count_tokens(table: PairTable, special: tuple[str, ...], data: np.ndarray, o
     starts = pretoken_starts(data, bounds)
     ends = np.append(starts[1:], len(data))
     # Equal pre-tokens of the run are merged once.
-    _, one, back = np.unique(slice_hashes(data, starts, ends), return_index=True, return_inverse=True)
+    one, back = unique_slices(data, starts, ends)
     counts = merged_counts(table, data, starts[one], (ends - starts)[one])[back]
     upto = np.concatenate([np.zeros(1, np.int64), np.cumsum(counts)])
     at = np.searchsorted(starts, bounds[first])

@@ -11,6 +11,7 @@ import tiktoken
 from tokenizers import Tokenizer
 
 from bandstand.llm import bpe, merges, pretokens, ragged, token_counts
+from bandstand.llm.near_text import NearText, near_text_components
 
 JSON = public_tokenizers.path("byte_bpe_50k.json")
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -79,3 +80,34 @@ def test_slices_of_equal_bytes_have_equal_hashes():
     data = np.frombuffer(b"abc abc cba aabc", np.uint8)
     got = ragged.slice_hashes(data, np.array([0, 4, 8, 13]), np.array([3, 7, 11, 16]))
     assert got[0] == got[1] == got[3] and got[0] != got[2]
+
+
+def thue_morse(length):
+    """Two strings over a and b that weak hashes confuse: each is the other with a and b exchanged."""
+    one = "a"
+    while len(one) < length:
+        one += one.translate(str.maketrans("ab", "ba"))
+    return one, one.translate(str.maketrans("ab", "ba"))
+
+
+def test_strings_that_cancel_out_in_weak_hashes_are_told_apart(spark, library):
+    rows = list(enumerate([x for n in (1024, 2048, 8192) for x in thue_morse(n)]))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    want = {k: library.encode_ordinary(t) for k, t in rows}
+    encoded = bpe.encode_texts(docs, "doc_id", "text", RANKS)
+    assert {r.doc_id: r.ids for r in encoded.collect()} == want
+    assert {r.doc_id: bytes(r.decoded).decode() for r in bpe.decode_ids(encoded, RANKS).collect()} == dict(rows)
+    counts = {k: len(e.ids) for k, e in enumerate(Tokenizer.from_file(JSON).encode_batch([t for _, t in rows], add_special_tokens=False))}
+    assert {r.doc_id: r.n_tokens for r in token_counts.token_counts(docs, "doc_id", "text", JSON).collect()} == counts
+    near = near_text_components(docs, "doc_id", "text", NearText(words=3, percent=85)).collect()
+    assert all(r.kept and r.component_id == r.doc_id for r in near)
+
+
+def test_slices_with_one_hash_are_compared_by_their_bytes(monkeypatch):
+    data = np.frombuffer(b"abc abd abc xy ab", np.uint8)
+    starts, ends = np.array([0, 4, 8, 12, 15]), np.array([3, 7, 11, 14, 17])
+    for hashes in (None, np.zeros(5, np.uint64), np.array([1, 1, 1, 2, 2], np.uint64)):
+        one, back = ragged.unique_slices(data, starts, ends, hashes)
+        content = [data[starts[k] : ends[k]].tobytes() for k in one]
+        assert len(set(content)) == 4
+        assert [content[b] for b in back] == [data[a:b].tobytes() for a, b in zip(starts, ends)]
