@@ -75,9 +75,15 @@ class Codec:
         sizes = self._length[ids]
         return ids, upto[np.searchsorted(starts, offsets)], np.cumsum(sizes) - sizes
 
-    def decode(self, ids: np.ndarray) -> np.ndarray:
-        """Bytes of the ids, one after the other."""
-        return self._blob[spread(self._start[ids], self._length[ids])]
+    def decode(self, ids: np.ndarray, at: np.ndarray | None = None) -> np.ndarray:
+        """Bytes of the ids, each at its offset; without offsets one after the other."""
+        lengths = self._length[ids]
+        taken = self._blob[spread(self._start[ids], lengths)]
+        if at is None:
+            return taken
+        out = np.zeros(int((at + lengths).max(initial=0)), np.uint8)
+        out[spread(at, lengths)] = taken
+        return out
 
 
 @cache
@@ -112,6 +118,28 @@ def _lists(values: np.ndarray, bounds: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(values))
 
 
+def token_digests(docs: DataFrame, id_column: str, text_column: str, vocabulary: str) -> DataFrame:
+    """Per row ``doc_id, n_tokens, ids_sha256, decoded_sha256``: the text encoded and, by the offsets kept, decoded again.
+
+    One worker does both, so the ids are not sent anywhere. Nulls, repeated rows and other columns are treated as by
+    ``encode_texts``, the ids hashed as by ``decode_ids``.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = codec(vocabulary)
+        for batch in batches:
+            for lo, hi, data, offsets in text_slices(batch.column(1)):
+                ids, bounds, at = known.encode(data, offsets)
+                ids, decoded = ids.astype("<u4"), known.decode(ids, at)
+                id_digests = [hashlib.sha256(ids[a:b]).hexdigest() for a, b in zip(bounds[:-1], bounds[1:])]
+                text_digests = [hashlib.sha256(decoded[a:b]).hexdigest() for a, b in zip(offsets[:-1], offsets[1:])]
+                columns = [batch.column(0).slice(lo, hi - lo), pa.array(np.diff(bounds)), pa.array(id_digests), pa.array(text_digests)]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+
+    picked = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("text"))
+    return picked.mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+
+
 def decode_ids(encoded: DataFrame, vocabulary: str) -> DataFrame:
     """Per row of ``doc_id, ids`` the ids' number, their bytes and the digests of both.
 

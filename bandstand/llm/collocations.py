@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +31,7 @@ _BLANK = np.zeros(256, bool)
 _BLANK[[0x20, 0x09]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A") : ord("Z") + 1] += 32
-_TASK_WORDS, _TASK_PHRASES = 400_000, 3_000_000
+_TASK_WORDS, _TASK_PHRASES = 400_000, 2_000_000
 _STORED = "shard int, part string, lang string, word string, key long, n long, keys binary, codes binary"
 
 
@@ -42,7 +43,7 @@ class PhraseRules:
     longest: int = 5
     least: int = 100
     top: int = 2000
-    shards: int = 3
+    shards: int = 2
     filter_bits: int = 1 << 26
     chunk_bytes: int = 1 << 20
 
@@ -67,24 +68,23 @@ def _spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 
 def _store(batches: Iterator[pa.RecordBatch], shards: int, chunk_bytes: int, seed: int) -> Iterator[pa.RecordBatch]:
-    """Chunks of numbered words for the shards in turn, and how often each word stands in the chunks of a shard."""
+    """Chunks of numbered words, dealt to the shards in turn, and how often each word stands in all chunks."""
     names = [f.split()[0] for f in _STORED.split(", ")]
     turn = TaskContext.get().partitionId()
-    seen: list[dict[int, int]] = [{} for _ in range(shards)]
+    seen: dict[int, int] = {}
     texts: dict[int, tuple[str, str]] = {}
-    clashes: list[tuple[int, str, str]] = []
+    clashes: list[tuple[int, tuple[str, str], int]] = []
 
     def words() -> Iterator[pa.RecordBatch]:
         # A second word under one key is told without a count; the words are then numbered anew.
-        rows = [(shard, *texts[key], key, n) for shard, counts in enumerate(seen) for key, n in counts.items()]
-        rows += [(0, lang, word, key, 0) for key, lang, word in clashes]
-        for lo in range(0, len(rows), 100_000):
-            shard, lang, word, key, n = zip(*rows[lo : lo + 100_000])
-            none = pa.nulls(len(shard), pa.binary())
-            columns = [pa.array(shard, pa.int32()), pa.array(["words"] * len(shard)), pa.array(lang), pa.array(word)]
-            columns += [pa.array(key, pa.int64()), pa.array(n, pa.int64()), none, none]
+        rows = chain(((key, texts[key], n) for key, n in seen.items()), clashes)
+        while some := list(islice(rows, 50_000)):
+            keys, named, n = zip(*some)
+            none = pa.nulls(len(some), pa.binary())
+            columns = [pa.nulls(len(some), pa.int32()), pa.array(["words"] * len(some)), *(pa.array(x) for x in zip(*named))]
+            columns += [pa.array(keys, pa.int64()), pa.array(n, pa.int64()), none, none]
             yield pa.RecordBatch.from_arrays(columns, names=names)
-        for held in (*seen, texts, clashes):
+        for held in (seen, texts, clashes):
             held.clear()
 
     for batch in batches:
@@ -94,32 +94,45 @@ def _store(batches: Iterator[pa.RecordBatch], shards: int, chunk_bytes: int, see
             starts, ends, new, text = _spans(data, offsets)
             if not len(starts):
                 continue
-            shard, turn = turn % shards, turn + 1
             hashes = slice_hashes(data, starts, ends, seed)
             one, back = unique_slices(data, starts, ends, hashes)
             here = sorted(set(langs[lo:hi]))
             number = {lang: k for k, lang in enumerate(here)}
             lang = np.array([number[x] for x in langs[lo:hi]], np.int64)[text]
             pairs, codes, counts = np.unique(back * len(here) + lang, return_inverse=True, return_counts=True)
+            # Frequent words get small numbers, which are stored in little space.
+            order = np.argsort(-counts, kind="stable")
+            place = np.empty(len(order), np.int64)
+            place[order] = np.arange(len(order))
+            pairs, counts, codes = pairs[order], counts[order], place[codes]
             word, lang_of = one[pairs // len(here)], pairs % len(here)
             salts = np.array([_text_hash(x, seed) for x in here], np.uint64)
             keys = mix(hashes[word] + mix(salts[lang_of])).view(np.int64)
             blob, first, end = data.tobytes(), starts[word].tolist(), ends[word].tolist()
-            mine = seen[shard]
             for k, (key, n) in enumerate(zip(keys.tolist(), counts.tolist())):
                 named = here[lang_of[k]], blob[first[k] : end[k]].decode("utf-8")
-                mine[key] = mine.get(key, 0) + n
+                seen[key] = seen.get(key, 0) + n
                 if texts.setdefault(key, named) != named:
-                    clashes.append((key, *named))
-            coded = (codes.astype(np.uint32) << np.uint32(1)) | new
+                    clashes.append((key, named, 0))
             none = [pa.nulls(1, t) for t in (pa.string(), pa.string(), pa.int64(), pa.int64())]
-            columns = [pa.array([shard], pa.int32()), pa.array(["texts"]), *none, pa.array([keys.tobytes()], pa.binary()), pa.array([coded.tobytes()], pa.binary())]
+            columns = [pa.array([turn % shards], pa.int32()), pa.array(["texts"]), *none, pa.array([keys.tobytes()], pa.binary()), pa.array([_packed(codes, new)], pa.binary())]
+            turn += 1
             yield pa.RecordBatch.from_arrays(columns, names=names)
             if len(texts) > _TASK_WORDS:
                 yield from words()
     yield from words()
 
 
+def _packed(codes: np.ndarray, new: np.ndarray) -> bytes:
+    """Word numbers with the mark of a new piece, byte by byte: all lowest bytes first, so that they compress well."""
+    coded = ((codes.astype("<u4") << np.uint32(1)) | new).astype("<u4")
+    return np.ascontiguousarray(coded.view(np.uint8).reshape(-1, 4).T).tobytes()
+
+
+def _unpacked(packed: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(packed, np.uint8).reshape(4, -1).T).view("<u4").ravel()
+
+
 def _text_hash(text: str, seed: int) -> int:
     raw = np.frombuffer(text.encode(), np.uint8)
     return int(slice_hashes(raw, np.zeros(1, np.int64), np.full(1, len(raw)), seed)[0])
@@ -208,7 +221,7 @@ def _scan(batches: Iterator[pa.RecordBatch], known: _Filter, longest: int) -> It
 
     for batch in batches:
         for keys, coded in zip(batch.column(0), batch.column(1)):
-            keys, coded = np.frombuffer(keys.as_py(), np.uint64), np.frombuffer(coded.as_py(), np.uint32)
+            keys, coded = np.frombuffer(keys.as_py(), np.uint64), _unpacked(coded.as_py())
             for hashes, words in _active_phrases(keys, coded, known, longest):
                 if len(hashes):
                     held[words.shape[1]][0].append(hashes)
@@ -257,7 +270,7 @@ def _stored(docs: DataFrame, lang_column: str, text_column: str, p: PhraseRules,
     lang = F.coalesce(F.col(lang_column).cast("string"), F.lit(UNNAMED)).alias("lang")
     picked = docs.select(lang, F.col(text_column).cast("string").alias("text"))
     stored = picked.mapInArrow(lambda batches: _store(batches, p.shards, p.chunk_bytes, seed), _STORED)
-    stored.write.partitionBy("part", "shard").parquet(path)
+    stored.write.partitionBy("part", "shard").option("compression", "zstd").parquet(path)
     return path
 
 

@@ -21,6 +21,7 @@ from bandstand.llm.ragged import mix, text_slices
 
 UNKNOWN = "und"
 FEATURES = 4096
+ROWS = 256  # texts whose features are held at once
 
 
 @dataclass(frozen=True)
@@ -158,7 +159,7 @@ def train_language_model(docs: DataFrame, id_column: str, text_column: str, labe
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo, hi, data, offsets in text_slices(batch.column(1)):
+            for lo, hi, data, offsets in text_slices(batch.column(1), rows=ROWS):
                 cp, at = _letter_runs(data, offsets)
                 # The segment starts somewhere in the text, by its length.
                 room = np.maximum(np.diff(at) - rules.segment_letters, 0)
@@ -191,7 +192,7 @@ def predict_languages(docs: DataFrame, id_column: str, text_column: str, model:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo, hi, data, offsets in text_slices(batch.column(1)):
+            for lo, hi, data, offsets in text_slices(batch.column(1), rows=ROWS):
                 x = _features(*_letter_runs(data, offsets))
                 known = x.any(1) & (len(model.languages) > 0)
                 best, score, close = model.predict(x)

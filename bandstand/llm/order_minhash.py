@@ -18,9 +18,9 @@ from bandstand.runtime import Scratch
 
 _HEX = 8  # digits of a place
 _EMPTY = "-" * _HEX
-_SPACE_CHARS = r"\s\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
-_SPACE = rf"[{_SPACE_CHARS}]"
-_UNSPACED = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}\p{IsTibetan}]"
+_SPACE = r"\p{IsWhite_Space}"
+# Scripts written without blanks: Thai to Tibetan, Burmese, Khmer, kana and Han characters.
+_UNSPACED = r"[\x{E00}-\x{FFF}\x{1000}-\x{109F}\x{1780}-\x{17FF}\x{2E80}-\x{2FDF}\x{3005}-\x{3007}\x{3040}-\x{30FF}\x{31F0}-\x{31FF}\x{3400}-\x{9FFF}\x{F900}-\x{FAFF}\x{20000}-\x{3FFFF}]"
 
 
 @dataclass(frozen=True)
@@ -37,23 +37,34 @@ class OrderMinHash:
     seed: int = 5
 
 
-def _kmers(text: Column, p: OrderMinHash) -> Column:
-    """Hashes of the k-mers at each word; at the end of the text they are shorter."""
-    tokens = F.split(text, _SPACE)
-    # Most texts have no long word and are not gone through again. Scripts without blanks have short words that are sentences.
-    cut = text.rlike(rf"[^{_SPACE_CHARS}]{{{p.longest + 1}}}") | text.rlike(_UNSPACED)
-    tokens = F.when(cut, F.flatten(F.transform(tokens, lambda w: _cut(w, p)))).otherwise(tokens)
-    out = F.transform(tokens, lambda w: F.xxhash64(w))
-    for k in range(1, p.words):
-        later = F.slice(tokens, k + 1, F.greatest(F.size(tokens) - k, F.lit(0)))
-        out = F.zip_with(out, later, lambda h, w: F.xxhash64(h, w))
-    return out
+def _once(value: Column) -> Column:
+    """A generator of one row that holds the value: later uses read it instead of working it out again."""
+    return F.explode(F.array(value))
+
+
+def _unspaced(text: Column) -> Column:
+    """Whether the text has signs of scripts without blanks; ASCII is not searched."""
+    return (F.octet_length(text) > F.char_length(text)) & text.rlike(_UNSPACED)
 
 
 def _cut(word: Column, p: OrderMinHash) -> Column:
     """The word, or the runs of characters at each of its characters where it is long or of a script without blanks."""
     runs = F.regexp_extract_all(word, F.lit(rf"(?s)(?=(.{{1,{p.run}}}))."), F.lit(1))
-    return F.when((F.char_length(word) > p.longest) | word.rlike(_UNSPACED), runs).otherwise(F.array(word))
+    return F.when((F.char_length(word) > p.longest) | _unspaced(word), runs).otherwise(F.array(word))
+
+
+def _with_kmers(texts: DataFrame, keys: list[str], p: OrderMinHash) -> DataFrame:
+    """``keys, kmers`` for a column ``text``: hashes of the k-mers at each word; at the end of a text they are shorter."""
+    split = texts.select(*keys, _unspaced(F.col("text")).alias("unspaced"), _once(F.split("text", _SPACE)).alias("words"))
+    # Most texts have no word to cut and are not gone through again.
+    some = F.col("unspaced") | F.exists("words", lambda w: F.char_length(w) > p.longest)
+    tokens = F.when(some, F.flatten(F.transform("words", lambda w: _cut(w, p)))).otherwise(F.col("words"))
+    cut = split.select(*keys, _once(tokens).alias("tokens"))
+    out = F.transform("tokens", lambda w: F.xxhash64(w))
+    for k in range(1, p.words):
+        later = F.slice("tokens", F.lit(k + 1), F.greatest(F.size("tokens") - k, F.lit(0)))
+        out = F.zip_with(out, later, lambda h, w: F.xxhash64(h, w))
+    return cut.select(*keys, _once(out).alias("kmers"))
 
 
 def signatures(texts: DataFrame, keys: list[str], text_columns: dict[str, str], p: OrderMinHash = OrderMinHash()) -> DataFrame:
@@ -64,7 +75,7 @@ def signatures(texts: DataFrame, keys: list[str], text_columns: dict[str, str],
     """
     kinds = F.array(*[F.struct(F.lit(i).alias("kind"), F.col(c).alias("text")) for i, c in enumerate(text_columns.values())])
     each = texts.select(*keys, F.inline(kinds))
-    found = each.select(*keys, "kind", F.posexplode(_kmers(F.col("text"), p)).alias("pos", "kmer"))
+    found = _with_kmers(each, [*keys, "kind"], p).select(*keys, "kind", F.posexplode("kmers").alias("pos", "kmer"))
     same = "PARTITION BY kmer, " + ", ".join(keys) + ", kind ORDER BY pos"
     numbered = found.select(*keys, "kind", "pos", F.xxhash64("kmer", F.expr(f"row_number() OVER ({same})"), F.lit(p.seed)).alias("hash"))
     parts = p.places * p.tuple_size

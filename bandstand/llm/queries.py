@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from bandstand.llm.bpe import decode_ids, encode_texts
+from bandstand.llm.bpe import token_digests
 from bandstand.llm.collocations import PhraseRules, collocations
 from bandstand.llm.html_text import BlockRules, extract_pages
 from bandstand.llm.language import LanguageRules, held_out, predict_languages, train_language_model
@@ -95,8 +95,7 @@ def op8_projection_forest(spark, d):
 @query("op9_byte_bpe")
 def op9_byte_bpe(spark, d):
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    encoded = encode_texts(table(spark, d, "documents"), "doc_id", "text", ranks, with_offsets=False)
-    return decode_ids(encoded, ranks).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+    return token_digests(table(spark, d, "documents"), "doc_id", "text", ranks)
 
 
 OP10_SQL = """

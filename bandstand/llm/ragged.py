@@ -84,8 +84,10 @@ def spread(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.repeat(starts - before, lengths) + np.arange(total)
 
 
-def text_slices(column: pa.Array, most: int = SLICE_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """Runs of rows with about ``most`` bytes of text: first row, end row, their bytes, their offsets.
+def text_slices(
+    column: pa.Array, most: int = SLICE_BYTES, rows: int | None = None
+) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """Runs of rows with about ``most`` bytes of text, of at most ``rows`` rows: first row, end row, their bytes, their offsets.
 
     A null is an empty text. A text above ``most`` is a run of its own and is not cut.
     """
@@ -96,5 +98,6 @@ def text_slices(column: pa.Array, most: int = SLICE_BYTES) -> Iterator[tuple[int
     lo = 0
     while lo < len(column):
         hi = max(lo + 1, int(np.searchsorted(offsets, offsets[lo] + most, "right")) - 1)
+        hi = hi if rows is None else min(hi, lo + rows)
         yield lo, hi, data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo]
         lo = hi

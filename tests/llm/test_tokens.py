@@ -71,6 +71,9 @@ def test_odd_rows(clashing, odd_rows, library):
     encoded = bpe.decode_ids(bpe.encode_texts(clashing, "doc_id", "text", RANKS, with_offsets=False), RANKS).collect()
     want = sorted((d is not None, d or 0, len(library.encode_ordinary(t or ""))) for d, t, *_ in odd_rows)
     assert sorted((r.doc_id is not None, r.doc_id or 0, r.n_tokens) for r in encoded) == want
+    digests = bpe.token_digests(clashing, "doc_id", "text", RANKS)
+    columns = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+    assert sorted(map(str, digests.collect())) == sorted(str(r) for r in bpe.decode_ids(bpe.encode_texts(clashing, "doc_id", "text", RANKS), RANKS).select(*columns).collect())
     empty = clashing.where("false")
     assert token_counts.token_counts(empty, "doc_id", "text", JSON).count() == 0
     assert bpe.encode_texts(empty, "doc_id", "text", RANKS).count() == 0
