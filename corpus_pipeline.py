@@ -9,7 +9,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from bandstand.llm.bpe import decode_ids, encode_texts
+from bandstand.llm.bpe import token_digests
 from bandstand.llm.language import UNKNOWN, predict_languages, train_language_model
 from bandstand.llm.line_dedup import drop_frequent_lines
 from bandstand.llm.mixing import mixed
@@ -18,8 +18,10 @@ from bandstand.runtime import Scratch
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in one of the learned languages; those without letters go."""
+    """Documents in one of the learned languages; those without letters go, also where no row names a language."""
     model = train_language_model(docs, "doc_id", "text", "lang")
+    if not model.languages:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
     found = predict_languages(docs, "doc_id", "text", model, with_row=True)
     return found.where(F.col("lang_pred") != UNKNOWN).select("row.*")
 
@@ -50,8 +52,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every text, with the digests of the ids and of the decoded bytes."""
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    encoded = encode_texts(docs, "doc_id", "text", ranks, with_offsets=False)
-    return decode_ids(encoded, ranks).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+    return token_digests(docs, "doc_id", "text", ranks)
 
 
 STAGES = [
