@@ -150,7 +150,8 @@ _LINK_CTES = dict(
 
 
 @check("j8_link_names", sql(f"""
- SELECT lastfm_name, id AS mbid, name AS mb_name, type, country, formed_year, round_even(s, 2) AS similarity_score, {status('s')} AS resolution_status
+ SELECT lastfm_name, id AS mbid, name AS mb_name, type, country, formed_year, round_even(s, 2) AS similarity_score,
+  CASE WHEN s IS NULL THEN 'not_compared' ELSE {status('s')} END AS resolution_status
  FROM q LEFT JOIN best ON bq = q""", **_LINK_CTES))
 def j8_link(spark, d):
     return linkage.link_names(spelled_names(spark, d), entities(spark, d), S)

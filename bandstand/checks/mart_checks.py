@@ -14,7 +14,8 @@ from bandstand.functions.ranking import top_per_key
 from bandstand.ml import prep
 from bandstand.operators import quality
 from bandstand.plans import catalogue, health, staging
-from bandstand.sources.silver import latest_snapshot
+from bandstand.runtime import scratch_path
+from bandstand.sources import silver
 
 _NO_TAGS = "artist_name, musicbrainz_id, musicbrainz_name, listeners, play_count, subgenre, source_tag, country, formed_year, bio_summary, mb_resolution_score, ingestion_date"
 
@@ -42,24 +43,50 @@ def f3(spark, d):
     )
 
 
-@check("u3_all_partitions", sql("SELECT subgenre, date, count(*) AS artists FROM silver_history GROUP BY 1, 2", "silver_history"))
-def u3(spark, d):
-    from bandstand.runtime import scratch_path
-    from bandstand.sources import silver
-
+def stored_history(spark, d) -> str:
+    """Cleaned tables with two dates, stored the way the pipeline stores them."""
     base = scratch_path(spark, "silver")
     rows = shapes.silver_artists(spark, d, history=True).withColumns(
         {"lastfm_mbid": F.col("mbid"), "subgenre_tags": F.array().cast("array<struct<tag:string,valid_from:string,valid_to:string>>")}
     )
     silver.write_silver(rows, base, "artists")
-    return silver.read_silver(spark, base, "artists").groupBy("subgenre", "date").agg(F.count("*").alias("artists"))
+    releases = shapes.silver_albums(spark, d).withColumns({"subgenre": F.lit("all"), "date": F.lit("1999-06-17")})
+    silver.write_silver(releases, base, "albums")
+    older = releases.withColumns({"title": F.concat("title", F.lit(" (draft)")), "date": F.lit("1999-06-10")})
+    silver.write_silver(older.where(F.col("title").isNotNull()), base, "albums")
+    return base
+
+
+@check("u3_all_partitions", sql("SELECT subgenre, date, count(*) AS artists FROM silver_history GROUP BY 1, 2", "silver_history"))
+def u3(spark, d):
+    return silver.read_silver(spark, stored_history(spark, d), "artists").groupBy("subgenre", "date").agg(F.count("*").alias("artists"))
 
 
 @check("u3_latest_snapshot", sql("SELECT subgenre, max(date) AS date, count(*) AS artists FROM silver_history h WHERE date = (SELECT max(date) FROM silver_history i WHERE i.subgenre = h.subgenre) GROUP BY 1", "silver_history"))
 def u3_latest(spark, d):
-    return latest_snapshot(shapes.silver_artists(spark, d, history=True)).groupBy("subgenre").agg(
-        F.max("date").alias("date"), F.count("*").alias("artists")
-    )
+    latest = silver.read_latest(spark, stored_history(spark, d), "artists")
+    return latest.groupBy("subgenre").agg(F.max("date").alias("date"), F.count("*").alias("artists"))
+
+
+@check("u3_newest_of_a_frame", sql("SELECT subgenre, max(date) AS date, count(*) AS artists FROM silver_history h WHERE date = (SELECT max(date) FROM silver_history i WHERE i.subgenre = h.subgenre) GROUP BY 1", "silver_history"))
+def u3_frame(spark, d):
+    latest = silver.latest_snapshot(shapes.silver_artists(spark, d, history=True))
+    return latest.groupBy("subgenre").agg(F.max("date").alias("date"), F.count("*").alias("artists"))
+
+
+@check("p2_stage_latest_stored", sql("SELECT * FROM artists", "artists"))
+def p2_stored(spark, d):
+    return staging.stage_stored(spark, stored_history(spark, d))[0].drop("subgenre_tags")
+
+
+@check("p3_stage_latest_stored", sql("SELECT * FROM albums", "albums"))
+def p3_stored(spark, d):
+    return staging.stage_stored(spark, stored_history(spark, d))[1]
+
+
+@check("mart_artist_features_stored", sql("SELECT * FROM features", "features"))
+def features_stored(spark, d):
+    return catalogue.artist_features(*staging.stage_stored(spark, stored_history(spark, d)), S)
 
 
 def facets(spark, d):

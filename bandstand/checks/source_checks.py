@@ -137,6 +137,13 @@ def s7(spark, d):
     return out
 
 
+@check("s7_catalog_table", sql("""
+ SELECT subgenre, '1999-06-17' AS date, count(*) AS artists, max(listeners) AS top FROM deduped WHERE subgenre <> 'focus' GROUP BY 1""", "flat_artists", deduped=_DEDUPED))
+def s7_catalog(spark, d):
+    silver.create_external_table(spark, stored_artists(spark, d), "artists", "catalogued_artists")
+    return spark.sql("SELECT subgenre, date, count(*) AS artists, max(listeners) AS top FROM catalogued_artists WHERE subgenre <> 'focus' GROUP BY subgenre, date")
+
+
 @check("s8_declared_types", sql("""
  SELECT 'bigint' AS listeners_type, 'double' AS year_type, 'string' AS date_type,
   'array<struct<tag:string,valid_from:string,valid_to:string>>' AS tags_type, count(*) AS artists FROM deduped""",

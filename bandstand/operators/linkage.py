@@ -19,6 +19,7 @@ from bandstand.functions.similarity import sorted_tokens, token_sort_ratio
 from bandstand.functions.tiers import match_status
 from bandstand.settings import DEFAULTS, Settings
 
+NOT_COMPARED = "not_compared"
 
 def group_first(type_column: str = "type") -> Column:
     return F.coalesce(F.col(type_column) == "Group", F.lit(False)).desc()
@@ -127,8 +128,8 @@ def pair_score(q: Column, e: Column) -> Column:
 def link_names(names: DataFrame, entities: DataFrame, s: Settings = DEFAULTS) -> DataFrame:
     """Best entity per artist name by the candidate rule: groups first, then similarity.
 
-    ``entities`` has ``id, name, type, country, life_span_begin``. Every name comes out, without an
-    entity as rejected.
+    ``entities`` has ``id, name, type, country, life_span_begin``. Every name comes out. The rule is narrower than the
+    ratio: a name that it brings no entity is ``not_compared``, which says nothing about how similar others are.
     """
     named = names.where(F.coalesce("lastfm_name", F.lit("")) != "").select("lastfm_name").distinct()
     queries = named.withColumn("q", sorted_tokens(F.col("lastfm_name")))
@@ -148,5 +149,5 @@ def link_names(names: DataFrame, entities: DataFrame, s: Settings = DEFAULTS) ->
         "country",
         life_span_year(F.col("life_span_begin"), s.first_year, s.last_structured_year).alias("formed_year"),
         F.bround("_score", 2).alias("similarity_score"),
-        match_status(F.col("_score"), s).alias("resolution_status"),
+        F.when(F.col("_score").isNull(), NOT_COMPARED).otherwise(match_status(F.col("_score"), s)).alias("resolution_status"),
     )

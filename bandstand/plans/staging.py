@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from bandstand.sources.silver import latest_snapshot
+from bandstand.sources.silver import latest_snapshot, read_latest
 
 
 def stage_artists(artists: DataFrame, latest_only: bool = True) -> DataFrame:
@@ -39,3 +39,8 @@ def stage_albums(albums: DataFrame, latest_only: bool = True) -> DataFrame:
         "first_release_date",
         F.col("release_year").cast("int").alias("release_year"),
     )
+
+
+def stage_stored(spark: SparkSession, base: str) -> tuple[DataFrame, DataFrame]:
+    """Artists and albums of the newest snapshots of the stored tables; their dates come from the folders, not from rows."""
+    return stage_artists(read_latest(spark, base, "artists"), latest_only=False), stage_albums(read_latest(spark, base, "albums"), latest_only=False)

@@ -72,6 +72,20 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(at)
 
 
+def folder_names(spark: SparkSession, path: str, prefix: str) -> list[str]:
+    """Names of the folders in ``path`` that begin with ``prefix``; none where the path does not exist."""
+    fs, at = _file_system(spark, path)
+    if not fs.exists(at):
+        return []
+    return sorted(s.getPath().getName() for s in fs.listStatus(at) if s.isDirectory() and s.getPath().getName().startswith(prefix))
+
+
+def has_data(spark: SparkSession, path: str) -> bool:
+    """Whether a folder holds a file that readers do not skip."""
+    fs, at = _file_system(spark, path)
+    return any(s.isFile() and s.getLen() > 0 and not s.getPath().getName().startswith(("_", ".")) for s in fs.listStatus(at))
+
+
 class Scratch:
     """Tables written to the shared folder between the steps of a job.
 

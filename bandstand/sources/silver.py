@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from urllib.parse import unquote
 
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+
+from bandstand.runtime import folder_names, has_data
 from bandstand.schemas import SILVER, SILVER_PARTITIONS, columns_of
 
 PARTITIONS = ["subgenre", "date"]
 MOST_LISTED = 1000
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"  # folder of a null
 
 
 def write_silver(df: DataFrame, base: str, table: str) -> str:
@@ -40,33 +44,60 @@ def register(spark: SparkSession, base: str, tables: tuple[str, ...] = ("artists
         read_silver(spark, base, table).createOrReplaceTempView(table)
 
 
-def create_external_table(spark: SparkSession, base: str, table: str) -> None:
-    """Drop, create and discover partitions: the catalog variant of ``register``."""
-    spark.sql(f"DROP TABLE IF EXISTS {table}")
+def create_external_table(spark: SparkSession, base: str, table: str, name: str | None = None) -> None:
+    """Drop, create and discover partitions: the catalog variant of ``register``. ``name`` is the table's unless given."""
+    name = name or table
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
     spark.sql(
-        f"CREATE TABLE {table} ({SILVER[table]}, {SILVER_PARTITIONS}) USING parquet "
+        f"CREATE TABLE {name} ({SILVER[table]}, {SILVER_PARTITIONS}) USING parquet "
         f"PARTITIONED BY ({', '.join(PARTITIONS)}) LOCATION '{base}/{table}'"
     )
-    spark.sql(f"MSCK REPAIR TABLE {table}")
+    spark.sql(f"MSCK REPAIR TABLE {name}")
 
 
-def latest_snapshot(df: DataFrame) -> DataFrame:
-    """Rows of the newest ``date`` of each subgenre.
+def newest_dates(spark: SparkSession, base: str, table: str) -> list[tuple[str, str]]:
+    """Newest ``date`` of each ``subgenre`` of a stored table, from the names of its folders: no row is read.
 
-    The newest dates are read from the partition columns while the plan is built: a row per subgenre. As
-    literals in the filter they prune the older folders before the scan. With more subgenres than a filter
-    should list, the newest dates are joined instead.
+    A folder without data files does not count, nor does the folder of a null. There is one entry per subgenre.
     """
-    newest = df.where(F.col("subgenre").isNotNull()).groupBy("subgenre").agg(F.max("date").alias("date"))
-    rows = newest.limit(MOST_LISTED + 1).collect()
-    if len(rows) > MOST_LISTED:
-        return df.join(newest, ["subgenre", "date"], "left_semi")
+    found = []
+    for scene in folder_names(spark, f"{base}/{table}", "subgenre="):
+        dates = folder_names(spark, f"{base}/{table}/{scene}", "date=")
+        named = sorted(((unquote(x.removeprefix("date=")), x) for x in dates if x != f"date={NO_VALUE}"), reverse=True)
+        newest = next((date for date, folder in named if has_data(spark, f"{base}/{table}/{scene}/{folder}")), None)
+        if newest is not None and scene != f"subgenre={NO_VALUE}":
+            found.append((unquote(scene.removeprefix("subgenre=")), newest))
+    return found
+
+
+def read_latest(spark: SparkSession, base: str, table: str) -> DataFrame:
+    """The newest snapshot of each subgenre of a stored table: folders are listed, older ones are never scanned."""
+    stored, newest = read_silver(spark, base, table), newest_dates(spark, base, table)
+    if len(newest) > MOST_LISTED:
+        return stored.join(spark.createDataFrame(newest, "subgenre STRING, date STRING"), PARTITIONS, "left_semi")
+    return stored.where(_on_dates(newest))
+
+
+def _on_dates(newest: list[tuple[str, str]]) -> Column:
+    """Rows of the given subgenres on the given dates: literals that prune folders before the scan."""
     by_date: dict[str, list[str]] = {}
-    for r in rows:
-        if r["date"] is not None:
-            by_date.setdefault(r["date"], []).append(r["subgenre"])
+    for subgenre, date in newest:
+        by_date.setdefault(date, []).append(subgenre)
     wanted = F.lit(False)
     for date, subgenres in sorted(by_date.items()):
         wanted = wanted | ((F.col("date") == date) & F.col("subgenre").isin(*subgenres))
-    return df.where(wanted)
+    return wanted
+
 
+def latest_snapshot(df: DataFrame) -> DataFrame:
+    """Rows of the newest ``date`` of each subgenre of any frame; of a stored table ``read_latest`` finds them cheaper.
+
+    The newest dates are aggregated from the rows while the plan is built: a row per subgenre. As literals in the
+    filter they prune the older folders before the scan. With more subgenres than a filter should list, the newest dates
+    are joined instead.
+    """
+    newest = df.where(F.col("subgenre").isNotNull()).groupBy("subgenre").agg(F.max("date").alias("date"))
+    rows = newest.limit(MOST_LISTED + 1).collect()
+    if len(rows) > MOST_LISTED:
+        return df.join(newest, PARTITIONS, "left_semi")
+    return df.where(_on_dates([(r["subgenre"], r["date"]) for r in rows if r["date"] is not None]))

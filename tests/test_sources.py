@@ -116,6 +116,23 @@ def test_latest_snapshot_reads_no_older_folder(spark, tmp_path):
     assert "date=2024-01-01" not in str(latest.inputFiles()) or "PartitionFilters: [" in latest._jdf.queryExecution().toString()
 
 
+def test_newest_dates_come_from_folder_names_alone(spark, tmp_path):
+    base = str(tmp_path)
+    columns = "artist_name string, subgenre string, date string, week_start string, listeners long"
+    rows = [("n", scene, date, "w", 1) for scene, date in [("a/b c", "2024-01-01"), ("a/b c", "2024-02-01"), ("x", "2024-01-03"), (None, "2024-09-09"), ("y", None)]]
+    silver.write_silver(spark.createDataFrame(rows, columns), base, "weekly_charts")
+    (tmp_path / "weekly_charts" / "subgenre=x" / "date=2025-01-01").mkdir()
+    (tmp_path / "weekly_charts" / "subgenre=x" / "date=2025-01-01" / "_SUCCESS").touch()
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("newest", "listing")
+    assert sorted(silver.newest_dates(spark, base, "weekly_charts")) == [("a/b c", "2024-02-01"), ("x", "2024-01-03")]
+    assert list(tracker.getJobIdsForGroup("newest")) == []
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    latest = silver.read_latest(spark, base, "weekly_charts")
+    assert sorted((r["subgenre"], r["date"]) for r in latest.collect()) == [("a/b c", "2024-02-01"), ("x", "2024-01-03")]
+    assert silver.newest_dates(spark, base, "albums") == []
+
+
 def test_csv_keeps_text_as_it_is(spark, tmp_path):
     names = [' outer ', 'quote " and, comma', "Motörhead"]
     df = spark.createDataFrame([(n, 0.5) for n in names], "feature STRING, mean_abs_shap DOUBLE")
