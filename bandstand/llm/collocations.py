@@ -311,6 +311,8 @@ def frequent_phrases(scratch: Scratch, docs: DataFrame, lang_column: str, text_c
         start = F.coalesce("start", F.greatest("head_reach", "tail_reach") + 1)
         reach = F.coalesce("reach", F.when(F.col("n") >= p.least, F.lit(step)))
         active = met.select("w", "n", start.alias("start"), reach.alias("reach")).where(F.col("start") > step - p.shards)
+        # What has had its cycle and is not frequent is not needed any more.
+        active = active.where((F.col("n") >= p.least) | (F.col("start") > step - p.shards + 1))
         before, state = state, scratch.write(active)
         if before is not None:
             scratch.drop(before)
