@@ -24,6 +24,7 @@ from bandstand.llm.ragged import mix, slice_hashes, text_slices, unique_slices
 from bandstand.runtime import Scratch, scratch_path
 
 UNNAMED = "und"
+PARTS = 64
 # Signs that end a piece and signs that part words, fixed by the contract.
 _BREAK = np.zeros(256, bool)
 _BREAK[[*b".,;:!?", *range(0x0A, 0x0E)]] = True
@@ -353,6 +354,10 @@ def collocations(docs: DataFrame, lang_column: str, text_column: str, p: PhraseR
     spelled = left.select("w", F.posexplode("w").alias("place", "key")).join(common.select("key", "word"), "key")
     spelled = spelled.groupBy("w").agg(F.array_sort(F.collect_list(F.struct("place", "word"))).alias("words"))
     named = spelled.select("w", F.array_join(F.transform("words", lambda x: x["word"]), " ").alias("phrase"))
-    order = Window.partitionBy("lang").orderBy(F.col("of.score").desc(), F.col("a").desc(), F.col("phrase"))
-    ranked = scored.join(named, "w").withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= p.top)
+    order = [F.col("of.score").desc(), F.col("a").desc(), F.col("phrase")]
+    # A language's phrases are ranked in parts first, so that no task orders all of them.
+    part = F.pmod(F.xxhash64("w"), F.lit(PARTS))
+    ranked = scored.join(named, "w")
+    for keys in (["lang", part], ["lang"]):
+        ranked = ranked.withColumn("rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where(F.col("rank") <= p.top)
     return ranked.select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", F.col("of.l").alias("l"), F.col("of.r").alias("r"), "n", F.col("of.score").alias("score"))
