@@ -73,3 +73,16 @@ assert set(e.oracle_sql()) <= set(e.queries())
     root = Path(__file__).resolve().parents[2]
     done = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True, timeout=100)
     assert done.returncode == 0, done.stderr
+
+
+def test_without_learned_languages_lettered_documents_stay(spark, clashing):
+    unnamed = clashing.withColumn("lang", F.lit(None).cast("string"))
+    kept = corpus_pipeline.identify_language(spark, unnamed, FOLDER)
+    want = unnamed.where(F.col("text").rlike(r"\p{L}"))
+    assert kept.columns == unnamed.columns and kept.exceptAll(want).count() == want.exceptAll(kept).count() == 0
+    assert want.count() > 0 and corpus_pipeline.identify_language(spark, unnamed.where("false"), FOLDER).count() == 0
+
+
+def test_last_stage_of_clashing_and_empty_tables(spark, clashing):
+    assert corpus_pipeline.encode(spark, clashing, FOLDER).count() == clashing.count()
+    assert corpus_pipeline.encode(spark, clashing.where("false"), FOLDER).count() == 0
