@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import hashlib
 
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from bandstand.checks import shapes
@@ -230,10 +229,10 @@ _ROWS = "SELECT *, artist_name AS key, is_breakout AS label FROM features"
 
 
 def rebuilt_probability(df, model, name):
-    """The model's probability once more, from its leaves as the attributions read them: a sigmoid of twice the margin."""
+    """The model's probability once more, from its leaves as the attributions read them: the sigmoid of the margin."""
     explained = explain.attribute(df, model, prep.ALL_FEATURES, "_c")
     margin = F.aggregate("_c", F.col("base_value"), lambda a, x: a + x)
-    return explained.withColumn(name, 1 / (1 + F.exp(-2 * margin))).drop("_c", "base_value")
+    return explained.withColumn(name, 1 / (1 + F.exp(-margin))).drop("_c", "base_value")
 
 
 @check("m6_boosted_trees", sql("SELECT is_breakout, count(*) AS artists, count(*) AS agreeing FROM split WHERE is_test GROUP BY 1", "features", rows=_ROWS, split=_SPLIT))
@@ -284,9 +283,9 @@ def m11_model(spark, d):
     rows="SELECT *, artist_name AS key, is_breakout AS label FROM features", split=_SPLIT))
 def m13(spark, d):
     run = trained(spark, d)
-    explained = explain.attribute(run.model.copy().setPredictionCol("").setProbabilityCol("").transform(run.train), run.model, prep.ALL_FEATURES)
+    explained = explain.attribute(boosting.with_margins(run.train, [run.model], "_margins"), run.model, prep.ALL_FEATURES)
     total = F.aggregate("contributions", F.col("base_value"), lambda a, x: a + x)
-    margin = vector_to_array("rawPrediction")[1]
+    margin = F.col("_margins")[0]
     return explained.agg(F.count("*").alias("artists"), F.count_if(F.abs(total - margin) < 1e-6).alias("additive"))
 
 

@@ -6,38 +6,26 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark import inheritable_thread_target
-from pyspark.ml.classification import GBTClassificationModel, GBTClassifier, LogisticRegression
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.functions import array_to_vector
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from bandstand.ml.split import positive_weight, row_weight, stratified_folds
-from bandstand.runtime import ensure_checkpoints
+from bandstand.ml.split import positive_weight, stratified_folds
+from bandstand.ml.trees import BoostedTrees, BoostParams, fit_together, with_margins
 from bandstand.settings import DEFAULTS, Settings
 
 
-@dataclass(frozen=True)
-class BoostParams:
-    """The documented full setting; pass fewer rounds for a quick run."""
-
-    rounds: int = 300
-    depth: int = 4
-    rate: float = 0.05
-    row_share: float = 0.8
-    column_share: float = 0.8
-    seed: int = 42
-
-
 @dataclass(frozen=True)
 class Calibrated:
     """Fold models with the sigmoid ``1 / (1 + exp(-(slope * p + offset)))`` of each."""
 
-    models: list[GBTClassificationModel]
+    models: list[BoostedTrees]
     slopes: list[float]
     offsets: list[float]
 
     def save(self, spark: SparkSession, path: str) -> None:
         for i, model in enumerate(self.models):
-            model.write().overwrite().save(f"{path}/fold={i}")
+            model.save(spark, f"{path}/fold={i}")
         rows = [(i, a, b) for i, (a, b) in enumerate(zip(self.slopes, self.offsets))]
         spark.createDataFrame(rows, "fold INT, slope DOUBLE, offset DOUBLE").write.mode("overwrite").parquet(
             f"{path}/sigmoids"
@@ -46,37 +34,21 @@ class Calibrated:
     @staticmethod
     def load(spark: SparkSession, path: str) -> "Calibrated":
         rows = sorted(spark.read.parquet(f"{path}/sigmoids").collect())  # one row per fold
-        models = [GBTClassificationModel.load(f"{path}/fold={r['fold']}") for r in rows]
+        models = [BoostedTrees.load(spark, f"{path}/fold={r['fold']}") for r in rows]
         return Calibrated(models, [r["slope"] for r in rows], [r["offset"] for r in rows])
 
 
-def fit_boosted(train: DataFrame, label: str, params: BoostParams = BoostParams()) -> GBTClassificationModel:
-    """Fit on ``features`` and ``label``; positives weigh n_neg / n_pos.
+def fit_boosted(train: DataFrame, label: str, params: BoostParams = BoostParams(), key: str | None = None) -> BoostedTrees:
+    """Fit on ``features`` and ``label``; positives weigh n_neg / n_pos."""
+    return fit_together(train, label, [None], params, key)[0]
 
-    Each round depends on the last, so the learner checkpoints its residuals to the shared folder.
-    """
-    ensure_checkpoints(train.sparkSession)
-    weight = positive_weight(train, label).first()["weight"]
-    rows = train.withColumn("_weight", row_weight(F.col(label), float(weight or 1.0)))
-    return GBTClassifier(
-        featuresCol="features",
-        labelCol=label,
-        weightCol="_weight",
-        maxIter=params.rounds,
-        maxDepth=params.depth,
-        stepSize=params.rate,
-        subsamplingRate=params.row_share,
-        featureSubsetStrategy=str(params.column_share),
-        seed=params.seed,
-        checkpointInterval=10,
-    ).fit(rows)
-
-
-def raw_probability(df: DataFrame, model: GBTClassificationModel, name: str) -> DataFrame:
-    scored = (
-        model.copy().setProbabilityCol("_prob").setRawPredictionCol("").setPredictionCol("").transform(df)
-    )
-    return scored.withColumn(name, vector_to_array("_prob")[1]).drop("_prob")
+
+def raw_probability(df: DataFrame, model: BoostedTrees, name: str) -> DataFrame:
+    return with_margins(df, [model], "_margins").withColumn(name, _sigmoid(F.col("_margins")[0])).drop("_margins")
+
+
+def _sigmoid(x: Column) -> Column:
+    return 1 / (1 + F.exp(-x))
 
 
 def fit_sigmoid(scored: DataFrame, label: str, score: str) -> tuple[float, float]:
@@ -93,24 +65,24 @@ def fit_sigmoid(scored: DataFrame, label: str, score: str) -> tuple[float, float
     return float(fit.coefficients[0]), float(fit.intercept)
 
 
-def fit_calibrated(
+def fit_models(
     train: DataFrame, label: str, key: str, params: BoostParams = BoostParams(), s: Settings = DEFAULTS
-) -> Calibrated:
-    """Per fold: boost on the other folds, fit the sigmoid on the probabilities of the fold itself.
+) -> tuple[BoostedTrees, Calibrated]:
+    """The model of all rows and the calibrated models of the folds, grown in the same jobs.
 
-    The folds do not depend on each other, so their jobs run side by side.
+    Per fold: boost on the other folds, fit the sigmoid on the probabilities of the fold itself.
     """
     rows = stratified_folds(train, label, key, s.folds, f"fold-{s.seed}").cache()
-
-    def fit(i: int) -> tuple[GBTClassificationModel, float, float]:
-        model = fit_boosted(rows.where(F.col("fold") != i), label, params)
-        held_out = raw_probability(rows.where(F.col("fold") == i), model, "_p")
-        return model, *fit_sigmoid(held_out, label, "_p")
-
-    fits = side_by_side(train.sparkSession, [lambda i=i: fit(i) for i in range(s.folds)])
+    whole, *models = fit_together(rows, label, [None, *range(s.folds)], params, key)
+    own = _sigmoid(F.element_at("_margins", F.col("fold").cast("int") + 1))
+    held_out = with_margins(rows, models, "_margins").select("fold", label, own.alias("_p")).cache()
+    fits = side_by_side(
+        train.sparkSession, [lambda i=i: fit_sigmoid(held_out.where(F.col("fold") == i), label, "_p") for i in range(s.folds)]
+    )
+    held_out.unpersist()
     rows.unpersist()
-    models, slopes, offsets = (list(x) for x in zip(*fits))
-    return Calibrated(models, slopes, offsets)
+    slopes, offsets = (list(x) for x in zip(*fits))
+    return whole, Calibrated(models, slopes, offsets)
 
 
 def side_by_side(spark: SparkSession, tasks: list) -> list:
@@ -120,15 +92,13 @@ def side_by_side(spark: SparkSession, tasks: list) -> list:
 
 
 def calibrated_probability(df: DataFrame, fitted: Calibrated, name: str) -> DataFrame:
-    """Mean of the folds' calibrated probabilities."""
-    out, parts = df, []
-    for i, (model, a, b) in enumerate(zip(fitted.models, fitted.slopes, fitted.offsets)):
-        out = raw_probability(out, model, f"_p{i}")
-        parts.append(1 / (1 + F.exp(-(F.lit(a) * F.col(f"_p{i}") + F.lit(b)))))
-    total = parts[0]
-    for p in parts[1:]:
-        total = total + p
-    return out.withColumn(name, total / len(parts)).drop(*[f"_p{i}" for i in range(len(parts))])
+    """Mean of the folds' calibrated probabilities; the rows pass all models at once."""
+    parts = [
+        _sigmoid(F.lit(a) * _sigmoid(F.col("_margins")[i]) + F.lit(b))
+        for i, (a, b) in enumerate(zip(fitted.slopes, fitted.offsets))
+    ]
+    mean = sum(parts[1:], parts[0]) / len(parts)
+    return with_margins(df, fitted.models, "_margins").withColumn(name, mean).drop("_margins")
 
 
 def with_prediction(df: DataFrame, score: str, threshold: float = 0.5) -> DataFrame:

@@ -7,77 +7,60 @@ lookup per leaf. Trees are bounded by rounds and depth, which bounds what is shi
 
 from __future__ import annotations
 
-from itertools import combinations
 from math import factorial
 
 import numpy as np
-from pyspark.ml.classification import GBTClassificationModel
 from pyspark.sql import DataFrame, functions as F
 
-from bandstand.runtime import scratch_path
+from bandstand.ml.trees import BoostedTrees
 
 
-def tree_nodes(model: GBTClassificationModel, spark) -> DataFrame:
-    """The model's nodes, one row each, with the tree weights."""
-    path = scratch_path(spark, "trees")
-    model.write().save(path)
-    weights = spark.createDataFrame(list(enumerate(map(float, model.treeWeights))), "treeID INT, weight DOUBLE")
-    return spark.read.parquet(f"{path}/data").select("treeID", "nodeData.*").join(weights, "treeID")
-
-
-def leaf_tables(model: GBTClassificationModel, spark) -> tuple[list[tuple], float]:
+def leaf_tables(model: BoostedTrees) -> tuple[list[tuple], float]:
     """Per leaf ``(conditions, features, table)`` and the expected margin of the whole model."""
-    trees: dict[int, dict[int, tuple]] = {}
-    weight: dict[int, float] = {}
-    # At most rounds * 2^(depth + 1) small rows.
-    for r in tree_nodes(model, spark).collect():
-        split = r["split"]
-        threshold = split["leftCategoriesOrThreshold"][0] if r["leftChild"] >= 0 else None
-        trees.setdefault(r["treeID"], {})[r["id"]] = (
-            r["leftChild"], r["rightChild"], split["featureIndex"], threshold, r["prediction"], float(r["rawCount"]),
-        )
-        weight[r["treeID"]] = r["weight"]
     leaves, base = [], 0.0
-    for t, nodes in trees.items():
+    for features, thresholds, values, covers in zip(model.feature, model.threshold, model.value, model.cover):
         stack = [(0, (), {})]
         while stack:
             at, conditions, reach = stack.pop()
-            left, right, feature, threshold, value, count = nodes[at]
-            if left < 0:
-                value *= weight[t]
+            feature, value, count = int(features[at]), float(values[at]), covers[at]
+            if feature < 0:
                 base += value * float(np.prod(list(reach.values())) if reach else 1.0)
                 if reach:
                     leaves.append((conditions, list(reach), _pattern_table(value, list(reach.values()))))
                 continue
-            for child, is_left in ((left, True), (right, False)):
-                share = nodes[child][5] / count if count else 0.0
-                stack.append(
-                    (child, (*conditions, (feature, threshold, is_left)), {**reach, feature: reach.get(feature, 1.0) * share})
-                )
+            for child, is_left in ((2 * at + 1, True), (2 * at + 2, False)):
+                share = covers[child] / count if count else 0.0
+                condition = (feature, thresholds[at], is_left)
+                stack.append((child, (*conditions, condition), {**reach, feature: reach.get(feature, 1.0) * share}))
     return leaves, base
 
 
 def _pattern_table(value: float, reach: list[float]) -> np.ndarray:
-    """Row per agreement pattern (bit j: feature j agrees), column per feature of the path."""
+    """Row per agreement pattern (bit j: feature j agrees), column per feature of the path.
+
+    The products over all sets of ``size`` known features are the coefficients of a polynomial: each feature is a
+    factor of its share (unknown) plus its agreement times the variable (known).
+    """
     m = len(reach)
+    agrees = ((np.arange(1 << m)[:, None] >> np.arange(m)) & 1).astype(float)
+    share = np.array([factorial(k) * factorial(m - k - 1) / factorial(m) for k in range(m)])
     table = np.zeros((1 << m, m))
-    for pattern in range(1 << m):
-        agrees = [float(pattern >> j & 1) for j in range(m)]
-        for j in range(m):
-            others = [i for i in range(m) if i != j]
-            total = 0.0
-            for size in range(m):
-                share = factorial(size) * factorial(m - size - 1) / factorial(m)
-                for known in combinations(others, size):
-                    total += share * np.prod([agrees[i] if i in known else reach[i] for i in others])
-            table[pattern, j] = value * (agrees[j] - reach[j]) * total
+    for j in range(m):
+        sets = np.zeros((1 << m, m))
+        sets[:, 0] = 1.0
+        for i in range(m):
+            if i != j:
+                known = sets[:, :-1] * agrees[:, i, None]
+                sets *= reach[i]
+                sets[:, 1:] += known
+        table[:, j] = value * (agrees[:, j] - reach[j]) * (sets @ share)
     return table
 
 
-def attribute(df: DataFrame, model: GBTClassificationModel, features: list[str], name: str = "contributions") -> DataFrame:
+def attribute(df: DataFrame, model: BoostedTrees, features: list[str], name: str = "contributions") -> DataFrame:
     """Add the attribution of each feature to the model's margin; they and ``base`` add up to it."""
     spark = df.sparkSession
-    leaves, base = leaf_tables(model, spark)
+    leaves, base = leaf_tables(model)
     shipped = spark.sparkContext.broadcast(leaves)
 
     @F.pandas_udf("array<double>")
@@ -108,7 +91,7 @@ def global_importance(df: DataFrame, features: list[str], contributions: str = "
     )
 
 
-def mean_attribution(df: DataFrame, models: list[GBTClassificationModel], features: list[str]) -> DataFrame:
+def mean_attribution(df: DataFrame, models: list[BoostedTrees], features: list[str]) -> DataFrame:
     """Attributions averaged over the fold models."""
     out = df
     for i, model in enumerate(models):

@@ -5,18 +5,16 @@ from __future__ import annotations
 import json
 from dataclasses import asdict
 
-from pyspark.ml.classification import GBTClassificationModel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from bandstand.functions.ordering import with_row_number
 from bandstand.functions.ranking import arg_max_abs
 from bandstand.functions.tiers import prediction_tier
-from bandstand.ml import boosting, explain, metrics, prep, split
+from bandstand.ml import boosting, explain, metrics, prep, split, trees
 from bandstand.runtime import Scratch
 from bandstand.settings import DEFAULTS, Settings
 
 KEY = "artist_name"
-ROWS_PER_TASK = 50_000
 
 
 class TrainedRun:
@@ -43,7 +41,7 @@ class TrainedRun:
     def save(self, spark: SparkSession, path: str) -> None:
         """Models, preparation, parameters and the split; ``params`` is written last and marks a whole run."""
         self.rows.write.mode("overwrite").parquet(f"{path}/rows")
-        self.model.write().overwrite().save(f"{path}/model")
+        self.model.save(spark, f"{path}/model")
         self.fitted.save(spark, f"{path}/folds")
         self.spec.save(spark, f"{path}/spec")
         spark.createDataFrame([(json.dumps(self.params),)], "params STRING").write.mode("overwrite").parquet(f"{path}/params")
@@ -51,7 +49,7 @@ class TrainedRun:
     @staticmethod
     def load(spark: SparkSession, path: str) -> "TrainedRun":
         params = json.loads(spark.read.parquet(f"{path}/params").first()["params"])
-        model = GBTClassificationModel.load(f"{path}/model")
+        model = trees.BoostedTrees.load(spark, f"{path}/model")
         fitted = boosting.Calibrated.load(spark, f"{path}/folds")
         return TrainedRun(prep.FeatureSpec.load(spark, f"{path}/spec"), model, fitted, spark.read.parquet(f"{path}/rows"), params)
 
@@ -59,22 +57,15 @@ class TrainedRun:
 def train_run(features: DataFrame, params: boosting.BoostParams, s: Settings = DEFAULTS) -> TrainedRun:
     """Split, fit the preparation on the training part only, boost, calibrate and evaluate.
 
-    The model columns and the split are written down once: every round of every fold reads them again,
-    and must not run the marts behind them again. The base model and the folds are fitted side by side.
+    The model columns and the split are written down once, so that the marts behind them do not run again.
     """
     scratch = Scratch(features.sparkSession, "training")
     columns = scratch.write(prep.load_model_columns(features))
     rows = scratch.write(split.stratified_split(columns, prep.TARGET, KEY, s))
     train_raw = rows.where(~F.col("is_test"))
     spec = prep.fit_features(train_raw, s)
-    # Every round runs a job per level: as many tasks as the rows ask for, not one per core.
-    tasks = max(1, -(-train_raw.count() // ROWS_PER_TASK))
-    train = prep.to_matrix(prep.apply_features(train_raw, spec)).coalesce(tasks).cache()
-    model, fitted = boosting.side_by_side(
-        features.sparkSession,
-        [lambda: boosting.fit_boosted(train, prep.TARGET, params), lambda: boosting.fit_calibrated(train, prep.TARGET, KEY, params, s)],
-    )
-    train.unpersist()
+    train = prep.to_matrix(prep.apply_features(train_raw, spec))
+    model, fitted = boosting.fit_models(train, prep.TARGET, KEY, params, s)
     return TrainedRun(spec, model, fitted, rows, asdict(params))
 
 

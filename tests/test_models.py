@@ -4,7 +4,6 @@ import random
 
 import numpy as np
 import pytest
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from bandstand.checks import model_checks
@@ -122,18 +121,14 @@ def test_saved_run_is_the_run(spark, run, tmp_path):
     assert one == two and (one["n_train"], one["n_test"]) == (run.train.count(), 60) and "country_encoded" in one["features"]
 
 
-def margin(model):
-    return model.copy().setPredictionCol("").setProbabilityCol("")
-
-
 def test_attributions_add_up_to_the_margin(spark, run):
-    explained = explain.attribute(margin(run.model).transform(run.train), run.model, prep.ALL_FEATURES)
+    explained = explain.attribute(boosting.with_margins(run.train, [run.model], "m"), run.model, prep.ALL_FEATURES)
     total = F.aggregate("contributions", F.col("base_value"), lambda a, x: a + x)
-    worst = explained.agg(F.max(F.abs(total - vector_to_array("rawPrediction")[1]))).first()[0]
+    worst = explained.agg(F.max(F.abs(total - F.col("m")[0]))).first()[0]
     assert worst < 1e-6
 
 
-def expected_margin(nodes, weight, x, known):
+def expected_margin(nodes, x, known):
     """Path-dependent expectation of one tree when only ``known`` features are given."""
 
     def walk(at):
@@ -144,24 +139,22 @@ def expected_margin(nodes, weight, x, known):
             return walk(left if x[feature] <= threshold else right)
         return (nodes[left][5] * walk(left) + nodes[right][5] * walk(right)) / count
 
-    return weight * walk(0)
+    return walk(0)
 
 
 def test_attributions_equal_the_shapley_definition(spark, run):
-    nodes, weights = {}, {}
-    for r in explain.tree_nodes(run.model, spark).collect():
-        split = r["split"]
-        threshold = split["leftCategoriesOrThreshold"][0] if r["leftChild"] >= 0 else None
-        nodes.setdefault(r["treeID"], {})[r["id"]] = (
-            r["leftChild"], r["rightChild"], split["featureIndex"], threshold, r["prediction"], float(r["rawCount"]),
-        )
-        weights[r["treeID"]] = r["weight"]
+    model, nodes = run.model, {}
+    for t in range(len(model.feature)):
+        for n in range(model.feature.shape[1]):
+            f = model.feature[t, n]
+            children = (2 * n + 1, 2 * n + 2) if f >= 0 else (-1, -1)
+            nodes.setdefault(t, {})[n] = (*children, f, model.threshold[t, n], model.value[t, n], model.cover[t, n])
     rows = explain.attribute(run.train.orderBy("artist_name").limit(3), run.model, prep.ALL_FEATURES).collect()
     m = len(prep.ALL_FEATURES)
     for r in rows:
         x = [float(r[f]) for f in prep.ALL_FEATURES]
         worth = {
-            known: sum(expected_margin(nodes[t], weights[t], x, known) for t in nodes)
+            known: sum(expected_margin(nodes[t], x, known) for t in nodes)
             for size in range(m + 1)
             for known in itertools.combinations(range(m), size)
         }
