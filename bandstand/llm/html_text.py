@@ -71,7 +71,7 @@ class Block:
     article: bool
     part: int
     # Open elements that a class or id word takes for no main text, outer ones first.
-    named: tuple[int, ...] = ()
+    named: tuple | None = None  # the innermost named element and the chain around it, shared by its blocks
 
 
 def _names(attributes: str) -> tuple[bool, bool]:
@@ -86,7 +86,8 @@ def page_blocks(page: str) -> list[Block]:
     """Blocks of text in page order. Broken markup is read as far as it goes; an unfinished tag at the end is dropped."""
     blocks: list[Block] = []
     # Open elements: name, inside something that is never main text, inside an article, part of the page, named elements.
-    stack: list[tuple[str, bool, bool, int, tuple[int, ...]]] = [("", False, False, 0, ())]
+    stack: list[tuple[str, bool, bool, int, tuple | None]] = [("", False, False, 0, None)]
+    opened: Counter[str] = Counter()
     parts, breaks, linked_depth, linked = 0, 0, 0, 0
     pieces: list[str] = []
     here = never_p = False
@@ -132,9 +133,11 @@ def page_blocks(page: str) -> list[Block]:
             breaks = linked_depth = 0
             if closing:
                 never_p = False
-                for k in range(len(stack) - 1, 0, -1):
-                    if stack[k][0] == name:
-                        del stack[k:]
+                # An end tag without its start tag closes nothing; the others take off what they walk.
+                while opened[name]:
+                    last = stack.pop()[0]
+                    opened[last] -= 1
+                    if last == name:
                         break
             else:
                 here, named = _names(attributes)
@@ -146,14 +149,15 @@ def page_blocks(page: str) -> list[Block]:
                 starts = name in ("article", "main")
                 if name == "header":
                     here = here or not article
-                if starts and not any(s[0] in ("article", "main") for s in stack):
-                    never, silent = False, ()
+                if starts and not (opened["article"] or opened["main"]):
+                    never, silent = False, None
                 never = never or here or name in _NEVER
                 if named and name not in ("html", "body"):
-                    silent = (*silent, tag.start())
+                    silent = (tag.start(), silent)
                 if name in ("article", "main", "section", "nav", "aside", "header", "footer", "form"):
                     parts += 1
                     part = parts
+                opened[name] += 1
                 stack.append((name, never, article or starts, part, silent))
     flush()
     return blocks
@@ -195,15 +199,28 @@ def _heard(blocks: list[Block], rules: BlockRules) -> list[Block]:
 
     An element is heard if it holds most of the page's text and what is in without it is less than a tenth of that.
     """
+    around: dict[int, int | None] = {}
     held: Counter[int] = Counter()
     for b in blocks:
-        if not b.never:
-            held.update(dict.fromkeys(b.named, len(b.text)))
+        element = b.named
+        while element and element[0] not in around:
+            at, outer = element
+            around[at], element = outer and outer[0], outer
+        if b.named and not b.never:
+            held[b.named[0]] += len(b.text)
+    inward = sorted(around)  # an element starts after those around it
+    for k in reversed(inward):
+        if around[k] is not None:
+            held[around[k]] += held[k]
     total = sum(len(b.text) for b in blocks)
     heard: set[int] = set()
 
     def silenced() -> list[Block]:
-        return [replace(b, never=True) if not heard.issuperset(b.named) else b for b in blocks]
+        quiet: set[int] = set()
+        for k in inward:
+            if k not in heard or around[k] in quiet:
+                quiet.add(k)
+        return [replace(b, never=True) if b.named and b.named[0] in quiet else b for b in blocks]
 
     out = silenced()
     # Elements with most of the text lie in each other; outer ones come first, those that hold the same text together.

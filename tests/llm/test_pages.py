@@ -1,3 +1,6 @@
+import time
+import tracemalloc
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -30,6 +33,23 @@ def test_main_text(page, text):
     assert main_text(page) == text
 
 
+@pytest.mark.parametrize("opened, closed", [("<div>", "</section>"), ("<div class='menu'>", ""), ("<div>", "<article></article>"), ("<article>", "</main>")])
+def test_deep_pages_take_linear_time_and_memory(opened, closed):
+    """End tags that close nothing, and named elements in each other, 20,000 deep."""
+    page = opened * 20_000 + closed * 20_000
+    tracemalloc.start()
+    began = time.process_time()
+    assert main_text(page) == ""
+    assert time.process_time() - began < 20
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 100 * 2**20
+
+
+def test_unmatched_end_tags_close_nothing():
+    assert main_text(f"<article><p>{PROSE}</section></main></div><p>{MORE}</article>") == f"{PROSE}\n{MORE}"
+
+
 @pytest.mark.parametrize(
     "page, text",
     [
