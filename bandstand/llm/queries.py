@@ -65,6 +65,8 @@ def op7_private_data(spark, d):
         *[count_of(F.col("base"), kind).alias(f"n_{kind}") for kind in KINDS],
         F.sha2(span_text(F.col("base")), 256).alias("base_sha256"),
         span_text(F.array_sort(F.concat("base", secret))).alias("spans"),
+        F.size("added").cast("long").alias("n_added"),
+        (F.size("base") + F.size("added") > 0).alias("private"),
     )
 
 

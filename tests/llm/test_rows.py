@@ -2,6 +2,7 @@ import collections
 import hashlib
 import random
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 from bandstand.llm.line_dedup import LineRules, drop_frequent_lines
 from bandstand.llm.mixing import Mix, mix_plan, mixed
 from bandstand.llm.order_minhash import OrderMinHash, fingerprints
-from bandstand.llm.private_data import KINDS, em_posteriors, fit_logistic, private_spans, span_text
+from bandstand.llm.private_data import KINDS, _with_candidates, base_spans, em_posteriors, fit_logistic, private_spans, span_text
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -183,6 +184,58 @@ def test_secrets_are_added_and_plain_text_is_left_alone(spark):
     assert all(not rows[len(secret) + k].added for k in range(len(plain)))
 
 
+def test_values_numbers_and_addresses(spark):
+    rng = random.Random(9)
+    digits = lambda n: "".join(rng.choice("123456789") for _ in range(n))
+    planted = []
+    for k in range(40):
+        phone, ident = f"({digits(3)}) {digits(3)}-{digits(4)}", f"{digits(3)}-{digits(2)}-{digits(4)}"
+        street, word = f"{digits(3)} North {rng.choice(['Hill', 'Mill'])} {rng.choice(['Road', 'Street', 'Ave'])}", "q" + digits(2) + "!w"
+        planted += [(f"é so call {phone} today", phone), (f"her ssn is {ident} and", ident), (f"I live at {street} now", street)]
+        planted += [(f"my password is {word}", word), (f"Password: {word}, then", word), (f"pwd={word}; x", word)]
+    clean = [
+        "the war of 1914-1918 and 2024-05-06 at noon",
+        "page 12 34 of volume 3",
+        "she forgot the password and went home",
+        "a walk along 12 Long Lane Market",
+        "in 10 20 30 years",
+        "see ISBN 978 0306 40615",
+    ] * 20
+    docs = spark.createDataFrame([(k, t) for k, t in enumerate([t for t, _ in planted] + clean)], "doc_id long, text string")
+    rows = {r.doc_id: r for r in private_spans(docs, "doc_id", "text").collect()}
+    caught = [span in [text[x.start : x.end] for x in rows[k].added] for k, (text, span) in enumerate(planted)]
+    assert sum(caught) >= 0.9 * len(planted)
+    assert all(not rows[len(planted) + k].added for k in range(len(clean)))
+
+
+def test_candidates_touch_no_span(spark):
+    rng = random.Random(10)
+    texts = [" ".join(rng.choice(["10.0.0.1", "a1b2c3d4e5", "a@b.co", "pwd=x1@b.co", "555-010-2030", "w"]) for _ in range(rng.randint(0, 40))) for _ in range(200)]
+    docs = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id long, text string")
+    for r in _with_candidates(docs.withColumn("base", base_spans(F.col("text")))).collect():
+        spans = sorted([(b.start, b.end) for b in r.base] + [(c.start, c.end) for c in r.c])
+        own = sorted((c.start, c.end) for c in r.c)
+        assert all(r.text[c.start : c.end] == c.token for c in r.c)
+        assert all(not (a < y and x < b) for a, b in own for x, y in [(s.start, s.end) for s in r.base])
+        assert all(b <= x for (_, b), (x, _) in zip(own, own[1:])) and len(spans) == len(r.base) + len(r.c)
+        # Nothing apart from all others is lost.
+        for m in re.finditer(r"(?<!\S)a1b2c3d4e5(?!\S)", r.text):
+            assert (m.start(), m.end()) in own
+
+
+def test_long_texts_take_linear_time(spark):
+    def seconds(n):
+        docs = spark.createDataFrame([(1, "ab12cd34ef 10.0.0.1 " * n)], "doc_id long, text string")
+        began = time.perf_counter()
+        (row,) = private_spans(docs, "doc_id", "text").collect()
+        assert len(row.base) == n
+        return time.perf_counter() - began
+
+    seconds(10)
+    small, large = seconds(12_500), seconds(50_000)  # the larger one has a million characters
+    assert large < 6 * small + 2
+
+
 def test_odd_rows_have_spans_or_none(clashing, odd_rows):
     got = private_spans(clashing, "doc_id", "text").collect()
     assert len(got) == len(odd_rows) and [len(r.base) for r in got if r.doc_id == 13] == [4]
