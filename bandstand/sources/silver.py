@@ -75,10 +75,10 @@ def read_latest(spark: SparkSession, base: str, table: str) -> DataFrame:
     stored, newest = read_silver(spark, base, table), newest_dates(spark, base, table)
     if len(newest) > MOST_LISTED:
         return stored.join(spark.createDataFrame(newest, "subgenre STRING, date STRING"), PARTITIONS, "left_semi")
-    return stored.where(_on_dates(newest))
+    return stored.where(on_dates(newest))
 
 
-def _on_dates(newest: list[tuple[str, str]]) -> Column:
+def on_dates(newest: list[tuple[str, str]]) -> Column:
     """Rows of the given subgenres on the given dates: literals that prune folders before the scan."""
     by_date: dict[str, list[str]] = {}
     for subgenre, date in newest:
@@ -100,4 +100,4 @@ def latest_snapshot(df: DataFrame) -> DataFrame:
     rows = newest.limit(MOST_LISTED + 1).collect()
     if len(rows) > MOST_LISTED:
         return df.join(newest, PARTITIONS, "left_semi")
-    return df.where(_on_dates([(r["subgenre"], r["date"]) for r in rows if r["date"] is not None]))
+    return df.where(on_dates([(r["subgenre"], r["date"]) for r in rows if r["date"] is not None]))
