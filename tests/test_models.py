@@ -200,3 +200,13 @@ def test_feature_order_is_fixed():
 
 def test_registered_queries_train_all_rounds():
     assert model_checks.PARAMS == boosting.BoostParams() and model_checks.PARAMS.rounds == 300
+
+
+def test_feature_matrix_query_reads_the_matrix(spark, monkeypatch):
+    df = mart_rows(spark, 40)
+    monkeypatch.setattr(model_checks.shapes, "stored_features", lambda spark, d: df)
+    got = {r["artist_name"]: r for r in model_checks.p8(spark, "").collect()}
+    for r in prep.apply_features(df, prep.fit_features(df, model_checks.S)).collect():
+        numeric = sum(float(r[c]) for c in NUMERIC_FEATURES)
+        assert got[r["artist_name"]]["numeric_sum"] == pytest.approx(numeric, abs=1e-5)
+        assert (got[r["artist_name"]]["width"], got[r["artist_name"]]["subgenre_code"]) == (9, float(r["subgenre"]))
