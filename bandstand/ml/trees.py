@@ -1,9 +1,10 @@
 """Boosted trees on binned features; all models of a run grow side by side.
 
 A round adds one tree to every model, level by level, and a level is one job whatever the number of models: each
-task adds up gradients and curvatures per model, node, feature and bin of its rows, Spark adds the arrays of the tasks
-in a tree, and the driver picks the splits from the sums: models x nodes x features x bins of them, never a row.
-The margins are checkpointed every few rounds; in between, tasks walk the trees added since.
+task adds up gradients and curvatures per model, node, feature and bin of its rows, and the driver picks the splits
+from the sums of the tasks (beyond some tasks Spark adds them in a tree first): models x nodes x features x bins of
+them, never a row. Each round's first job also stores the blocks with the margins and the draw of the round, which its
+other jobs read; every few rounds they are checkpointed.
 
 The blocks of rows are an RDD of numpy arrays: some 1,200 short jobs that add arrays. Written with ``mapInArrow`` and
 ``groupBy`` the same job took 0.2 s on 752 rows, nearly all of it planning and conversion.
@@ -12,20 +13,23 @@ The blocks of rows are an RDD of numpy arrays: some 1,200 short jobs that add ar
 from __future__ import annotations
 
 from dataclasses import dataclass, field, replace
-from functools import partial
+from functools import partial, reduce
 from itertools import islice
 
 import numpy as np
 import pandas as pd
-from pyspark import RDD
+from pyspark import RDD, StorageLevel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from bandstand.runtime import Scratch, ensure_checkpoints
 
-ROWS_PER_TASK = 50_000
-ROWS_PER_BLOCK = 10_000
+# Rows of a task: up to the first number for each core, no more than the second beyond that.
+LEAST_ROWS, ROWS_PER_TASK = 5_000, 250_000
+ROWS_PER_BLOCK = 25_000
 ROUNDS_PER_STORE = 10
+# Tasks whose sums the driver adds itself: a job of one stage takes half the time of one that adds in a tree.
+SUMS_AT_ONCE = 48
 # Penalty on a leaf's value and least curvature of a leaf (the usual defaults of second-order boosting).
 PENALTY, LEAST_CURVATURE = 1.0, 1.0
 LEAST_GAIN = 1e-9
@@ -56,13 +60,19 @@ class BoostedTrees:
 
     def margins(self, x: np.ndarray) -> np.ndarray:
         """Sum of the leaves that each row reaches: the log odds."""
-        trees, rows = np.arange(len(self.feature)), np.arange(len(x))[:, None]
-        at = np.zeros((len(x), len(trees)), dtype=np.int64)
-        for _ in range(_depth(self.feature.shape[1])):
-            f = self.feature[trees, at]
-            right = x[rows, np.maximum(f, 0)] > self.threshold[trees, at]
-            at = np.where(f < 0, at, 2 * at + 1 + right)
-        return self.value[trees, at].sum(axis=1)
+        flat, first = np.ascontiguousarray(x, dtype=float).ravel(), np.arange(len(x)) * x.shape[1]
+        value, depth = _values_below(self.feature, self.value), _depth(self.feature.shape[1])
+        feature, threshold = np.maximum(self.feature, 0), np.where(self.feature < 0, np.inf, self.threshold)
+        out = np.zeros(len(x))
+        for f, t, v in zip(feature, threshold, value):
+            at = np.zeros(len(x), dtype=np.intp)
+            for _ in range(depth):
+                right = flat.take(first + f.take(at)) > t.take(at)
+                at *= 2
+                at += 1
+                at += right
+            out += v.take(at)
+        return out
 
     def save(self, spark: SparkSession, path: str) -> None:
         """One row per node; rounds x 2^(depth + 1) rows bound the table."""
@@ -125,14 +135,17 @@ class _Round:
         shape = (run.models, run.nodes)
         return _Round(np.full(shape, -1), np.zeros(shape, dtype=np.int64), np.zeros(shape), np.zeros(shape))
 
-    def reach(self, bins: np.ndarray, levels: int) -> np.ndarray:
-        """The node of each row and model after ``levels`` splits, or the leaf met before."""
-        models, rows = np.arange(len(self.feature)), np.arange(len(bins))[:, None]
-        at = np.zeros((len(bins), len(models)), dtype=np.int64)
+    def reach(self, m: int, bins: np.ndarray, rows: np.ndarray, levels: int) -> np.ndarray:
+        """The node of each of the ``rows`` in the tree of model ``m`` after ``levels`` splits. Below a leaf, rows go left."""
+        flat, width = bins.ravel(), bins.shape[1]
+        place = np.maximum(self.feature[m], 0) * width
+        cut = np.where(self.feature[m] < 0, 255, self.cut[m]).astype(np.uint8)
+        at = np.zeros(len(rows), dtype=np.intp)
         for _ in range(levels):
-            f = self.feature[models, at]
-            right = bins[rows, np.maximum(f, 0)] > self.cut[models, at]
-            at = np.where(f < 0, at, 2 * at + 1 + right)
+            right = flat.take(place.take(at) + rows) > cut.take(at)
+            at *= 2
+            at += 1
+            at += right
         return at
 
 
@@ -157,22 +170,29 @@ def fit_together(
     if not counts:
         raise ValueError("no rows to fit")
     run = _Run(params, _cuts(wide, counts[0]["width"], params.bins), np.array([-1 if e is None else e for e in excluded]), _weights(counts, excluded))
-    tasks = max(1, -(-sum(r["n"] for r in counts) // ROWS_PER_TASK))
-    held = _stored(wide.coalesce(tasks).rdd.mapPartitions(partial(_blocks, run)))
+    tasks = tasks_for(sum(r["n"] for r in counts), rows.sparkSession.sparkContext.defaultParallelism)
+    held = wide.repartition(tasks).rdd.mapPartitions(partial(_blocks, run))
     grown: list[_Round] = []
-    pending: list[_Round] = []
+    before = None
     for number in range(params.rounds):
-        pending.append(_grow(held, run, pending, number))
-        if len(pending) == ROUNDS_PER_STORE:
-            grown += pending
-            last, held, pending = held, _stored(held.map(partial(_add_trees, run, pending))), []
-            last.unpersist()
-    held.unpersist()
+        held = held.map(partial(_next_round, run, grown[-1] if grown else None, number)).persist(StorageLevel.MEMORY_AND_DISK)
+        if number % ROUNDS_PER_STORE == 0:
+            held.checkpoint()
+        grown.append(_grow(held, tasks, run, number))
+        if before is not None:
+            before.unpersist()
+        before = held
+    if before is not None:
+        before.unpersist()
     scratch.drop(wide)
-    grown += pending
     return [_model(run, grown, m) for m in range(run.models)]
 
 
+def tasks_for(n: int, cores: int) -> int:
+    """Tasks of ``n`` rows: every core takes part, unless rows are few; none has too many rows."""
+    return max(-(-n // ROWS_PER_TASK), min(cores, -(-n // LEAST_ROWS)))
+
+
 def _cuts(wide: DataFrame, width: int, bins: int) -> list[np.ndarray]:
     """Values between the bins of each feature, at about equal shares of the rows."""
     shares = [i / bins for i in range(1, bins)]
@@ -189,77 +209,71 @@ def _weights(counts: list, excluded: list[int | None]) -> np.ndarray:
     return np.array([w or 1.0 for w in out])
 
 
-def _stored(blocks: RDD) -> RDD:
-    """Blocks kept in memory and in the checkpoint folder: a lost executor reads them again, no round runs twice."""
-    blocks = blocks.persist()
-    blocks.checkpoint()
-    blocks.count()
-    return blocks
-
-
 @dataclass(frozen=True)
 class _Block:
-    """Rows of a task: ``bins`` [row, feature], ``margins`` [row, model] and columns ``positive, fold, draw`` [row, 1]."""
+    """Rows of a task: ``bins`` [feature, row], columns ``positive, fold, draw`` [row], and at the start of a round
+    ``margins`` and the rows drawn, ``part`` [model, row]."""
 
     bins: np.ndarray
     positive: np.ndarray
     fold: np.ndarray
     draw: np.ndarray
     margins: np.ndarray
+    part: np.ndarray | None = None
 
 
 def _blocks(run: _Run, rows):
     rows = iter(rows)
     while some := list(islice(rows, ROWS_PER_BLOCK)):
         x = np.array([r["x"] for r in some])
-        bins = np.column_stack([np.searchsorted(c, x[:, i], "left") for i, c in enumerate(run.cuts)]).astype(np.uint8)
-        positive, fold, draw = (np.array([r[c] for r in some])[:, None] for c in ("positive", "fold", "draw"))
-        yield _Block(bins, positive, fold, draw, np.zeros((len(some), run.models)))
-
-
-def _margins(run: _Run, pending: list[_Round], block: _Block) -> np.ndarray:
-    """The block's margins with the trees that are not stored yet."""
-    margins = block.margins.copy()
-    for trees in pending:
-        margins += trees.value[np.arange(run.models), trees.reach(block.bins, run.params.depth)]
-    return margins
-
-
-def _add_trees(run: _Run, pending: list[_Round], block: _Block) -> _Block:
-    return replace(block, margins=_margins(run, pending, block))
-
-
-def _drawn(run: _Run, draw: np.ndarray, number: int) -> np.ndarray:
-    """Whether a row takes part in the round of each model: a share of mixed hashes (``[row, model]``)."""
-    turn = np.array([run.params.seed * 1_000_003 + number * run.models + m + 1 for m in range(run.models)], dtype=np.uint64)
-    z = draw.astype(np.uint64) + turn * np.uint64(0x9E3779B97F4A7C15)
+        bins = np.stack([np.searchsorted(c, x[:, i], "left") for i, c in enumerate(run.cuts)]).astype(np.uint8)
+        positive, fold, draw = (np.array([r[c] for r in some]) for c in ("positive", "fold", "draw"))
+        yield _Block(bins, positive.astype(np.uint8), fold, draw, np.zeros((run.models, len(some))))
+
+
+def _next_round(run: _Run, last: _Round | None, number: int, block: _Block) -> _Block:
+    """The block at the start of a round: the last round's trees are added, the rows of each model drawn."""
+    margins = block.margins
+    if last is not None:
+        rows, values = np.arange(len(block.draw)), _values_below(last.feature, last.value)
+        margins = np.stack([margins[m] + values[m].take(last.reach(m, block.bins, rows, run.params.depth)) for m in range(run.models)])
+    part = np.stack([_drawn(run, block.draw, number, m) for m in range(run.models)])
+    part &= (block.fold != run.excluded[:, None]) | (run.excluded < 0)[:, None]
+    return replace(block, margins=margins, part=part)
+
+
+def _drawn(run: _Run, draw: np.ndarray, number: int, m: int) -> np.ndarray:
+    """Whether a row takes part in the round of a model: a share of mixed hashes."""
+    turn = np.uint64(run.params.seed * 1_000_003 + number * run.models + m + 1)
+    with np.errstate(over="ignore"):
+        z = draw.astype(np.uint64) + turn * np.uint64(0x9E3779B97F4A7C15)
     for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
-        z = (z ^ (z >> np.uint64(shift))) * np.uint64(factor)
+        z ^= z >> np.uint64(shift)
+        z *= np.uint64(factor)
     z ^= z >> np.uint64(31)
     return (z >> np.uint64(11)) / 2.0**53 < run.params.row_share
 
 
-def _sum_level(run: _Run, pending: list[_Round], trees: _Round, level: int, number: int, block: _Block) -> np.ndarray:
-    """Per model, node of the level, feature and bin: the sums of gradients and curvatures of the block's rows."""
+def _sum_level(run: _Run, trees: _Round, level: int, blocks):
+    """Per model, node of the level, feature and bin: the sums of gradients and curvatures of a task's rows."""
     width, bins, nodes = len(run.cuts), run.params.bins, 2**level
-    size = nodes * width * bins
-    sums = np.zeros((2, run.models, size))
-    p = 1 / (1 + np.exp(-_margins(run, pending, block)))
-    weight = np.where(block.positive == 1, run.weights, 1.0)
-    slope, curve = weight * (p - block.positive), weight * p * (1 - p)
-    at = trees.reach(block.bins, level) - (nodes - 1)
-    member = (block.fold != run.excluded) | (run.excluded < 0)
-    part = _drawn(run, block.draw, number) & member & (at >= 0)
-    places = np.arange(width) * bins + block.bins
-    for m in range(run.models):
-        own = part[:, m]
-        where = (at[own, m, None] * (width * bins) + places[own]).ravel()
-        sums[0, m] = np.bincount(where, np.repeat(slope[own, m], width), size)
-        sums[1, m] = np.bincount(where, np.repeat(curve[own, m], width), size)
-    return sums.reshape(2, run.models, nodes, width, bins)
-
-
-def _grow(held: RDD, run: _Run, pending: list[_Round], number: int) -> _Round:
+    sums = np.zeros((2, run.models, width, nodes * bins))
+    for block in blocks:
+        for m in range(run.models):
+            own = np.flatnonzero(block.part[m])
+            p = 1 / (1 + np.exp(-block.margins[m].take(own)))
+            positive = block.positive.take(own)
+            weight = np.where(positive == 1, run.weights[m], 1.0)
+            slope, curve = weight * (p - positive), weight * p * (1 - p)
+            at = (trees.reach(m, block.bins, own, level) - (nodes - 1)) * bins
+            for f in range(width):
+                where = at + block.bins[f].take(own)
+                sums[0, m, f] += np.bincount(where, slope, nodes * bins)
+                sums[1, m, f] += np.bincount(where, curve, nodes * bins)
+    yield sums.reshape(2, run.models, width, nodes, bins).swapaxes(2, 3)
+
+
+def _grow(held: RDD, tasks: int, run: _Run, number: int) -> _Round:
     """The next tree of every model: one job per level."""
     trees, p = _Round.start(run), run.params
     width, keep = len(run.cuts), max(1, round(p.column_share * len(run.cuts)))
@@ -267,7 +281,8 @@ def _grow(held: RDD, run: _Run, pending: list[_Round], number: int) -> _Round:
     for m in range(run.models):
         barred[m, np.random.default_rng([p.seed, number, m]).permutation(width)[:keep]] = False
     for level in range(p.depth):
-        sums = held.map(partial(_sum_level, run, list(pending), trees, level, number)).treeReduce(np.add)
+        parts = held.mapPartitions(partial(_sum_level, run, trees, level))
+        sums = parts.treeReduce(np.add) if tasks > SUMS_AT_ONCE else reduce(np.add, parts.collect())
         if not _split_level(trees, sums, barred, level, p.rate):
             break
     return trees
@@ -285,6 +300,9 @@ def _split_level(trees: _Round, sums: np.ndarray, barred: np.ndarray, level: int
     score = [g * g / (h + PENALTY) for g, h in (left, right, whole)]
     gain = score[0] + score[1] - score[2]
     gain[(left[1] < LEAST_CURVATURE) | (right[1] < LEAST_CURVATURE) | barred[:, None, :, None]] = -np.inf
+    if level:  # nodes below a leaf are none
+        parents = trees.feature[:, 2 ** (level - 1) - 1 : 2**level - 1]
+        gain[np.repeat(parents < 0, 2, axis=1)] = -np.inf
     models, nodes, _, bins = gain.shape
     best = gain.reshape(models, nodes, -1).argmax(axis=-1)
     first, any_split = 2**level - 1, False
@@ -314,5 +332,14 @@ def _model(run: _Run, grown: list[_Round], m: int) -> BoostedTrees:
     return BoostedTrees(feature, threshold, stacked("value"), stacked("cover"))
 
 
+def _values_below(feature: np.ndarray, value: np.ndarray) -> np.ndarray:
+    """Values ``[tree, node]`` where all nodes below a leaf have that of the leaf."""
+    out, leaf = value.copy(), feature < 0
+    for node in range(feature.shape[1] // 2):
+        for child in (2 * node + 1, 2 * node + 2):
+            out[leaf[:, node], child] = out[leaf[:, node], node]
+    return out
+
+
 def _depth(nodes: int) -> int:
     return (nodes + 1).bit_length() - 2

@@ -210,3 +210,39 @@ def test_feature_matrix_query_reads_the_matrix(spark, monkeypatch):
         numeric = sum(float(r[c]) for c in NUMERIC_FEATURES)
         assert got[r["artist_name"]]["numeric_sum"] == pytest.approx(numeric, abs=1e-5)
         assert (got[r["artist_name"]]["width"], got[r["artist_name"]]["subgenre_code"]) == (9, float(r["subgenre"]))
+
+
+def plain_margins(model, x):
+    out = []
+    for row in x:
+        total = 0.0
+        for t in range(len(model.feature)):
+            at = 0
+            while model.feature[t, at] >= 0:
+                at = 2 * at + 1 + int(row[model.feature[t, at]] > model.threshold[t, at])
+            total += model.value[t, at]
+        out.append(total)
+    return out
+
+
+def test_margins_and_attributions_of_early_leaves(spark):
+    nan = float("nan")
+    grid = lambda rows, kind=float: np.array(rows, dtype=kind)
+    model = boosting.BoostedTrees(
+        grid([[0, -1, 1, -1, -1, -1, -1], [-1] * 7, [1, 0, 0, -1, -1, -1, -1]], int),
+        grid([[0.5, nan, 2.0, nan, nan, nan, nan], [nan] * 7, [1.0, 0.2, 0.7, nan, nan, nan, nan]]),
+        grid([[0, 1.5, 0, 9, 9, -2, 4], [0.25, 7, 7, 7, 7, 7, 7], [0, 0, 0, 1, 2, 3, 5]]),
+        grid([[10, 4, 6, 0, 0, 3, 3], [10, 0, 0, 0, 0, 0, 0], [10, 5, 5, 2, 3, 1, 4]]),
+    )
+    x = [[a, b] for a in (0.0, 0.5, 0.6, 1.0) for b in (0.0, 1.0, 2.0, 3.0)]
+    want = plain_margins(model, x)
+    assert model.margins(np.array(x)) == pytest.approx(want)
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(x)], "i INT, a DOUBLE, b DOUBLE")
+    got = explain.mean_attribution(df, [model, model], ["a", "b"]).orderBy("i").collect()
+    assert [sum(r["contributions"]) + r["base_value"] for r in got] == pytest.approx(want)
+
+
+def test_all_cores_take_part_and_tasks_are_bounded():
+    from bandstand.ml import trees
+
+    assert [trees.tasks_for(n, 12) for n in (1, 5_000, 45_000, 450_000, 2_700_000, 60_000_000)] == [1, 1, 9, 12, 12, 240]
