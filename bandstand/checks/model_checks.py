@@ -14,7 +14,7 @@ from bandstand.checks.shapes import sql, table
 from bandstand.functions import ordering
 from bandstand.functions.ranking import top_factor
 from bandstand.ml import boosting, explain, metrics, predict, prep, split
-from bandstand.runtime import path_exists, scratch_path, shared_dir
+from bandstand.runtime import Scratch, path_exists, scratch_path, shared_dir
 from bandstand.schemas import MODEL_COLUMNS
 from bandstand.settings import NUMERIC_FEATURES
 from bandstand.sources import marts
@@ -294,7 +294,7 @@ def m13(spark, d):
 def a17(spark, d):
     """Importance of every feature against a second aggregation, column by column."""
     run = trained(spark, d)
-    explained = explain.attribute(run.train, run.model, prep.ALL_FEATURES)
+    explained = Scratch(spark, "attributions").write(explain.attribute(run.train, run.model, prep.ALL_FEATURES).select("contributions"))
     again = explained.agg(*[F.avg(F.abs(F.col("contributions")[i])).alias(f) for i, f in enumerate(prep.ALL_FEATURES)])
     pairs = F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f).alias("again")) for f in prep.ALL_FEATURES])
     both = explain.global_importance(explained, prep.ALL_FEATURES).join(again.select(F.inline(pairs)), "feature")
@@ -337,6 +337,7 @@ def m15(spark, d):
     rows = prep.load_model_columns(shapes.features(spark, d, labelled_only=False), labelled_only=False)
     prepared = prep.to_matrix(prep.apply_features(rows, run.spec))
     explained = explain.mean_attribution(predict.score(prepared, run.fitted), run.fitted.models, prep.ALL_FEATURES)
+    explained = Scratch(spark, "attributions").write(explained.drop("features"))  # both sides of the join read it
     shares = F.map_from_arrays(F.array(*[F.lit(f) for f in prep.ALL_FEATURES]), "contributions")
     raw = explained.select("artist_name", F.col("breakout_probability").alias("_p"), shares.alias("_shares"))
     p, factor = F.col("breakout_probability"), F.element_at("_shares", F.col("top_breakout_factor"))

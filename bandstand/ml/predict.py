@@ -18,12 +18,15 @@ KEY = "artist_name"
 
 
 class TrainedRun:
-    """Everything a training run produces; frames stay lazy and read the stored split."""
+    """Everything a training run produces; ``train`` stays lazy and reads the stored split, ``test`` is scored and stored once."""
 
-    def __init__(self, spec, model, fitted, rows, params):
+    def __init__(self, spec, model, fitted, rows, params, test=None):
         self.spec, self.model, self.fitted, self.rows, self.params = spec, model, fitted, rows, params
         self.train = self._matrix(~F.col("is_test"))
-        self.test = score(boosting.raw_probability(self._matrix(F.col("is_test")), model, "raw_probability"), fitted)
+        if test is None:
+            scored = score(boosting.raw_probability(self._matrix(F.col("is_test")), model, "raw_probability"), fitted)
+            test = Scratch(rows.sparkSession, "scored").write(scored)
+        self.test = test
 
     def _matrix(self, part) -> DataFrame:
         return prep.to_matrix(prep.apply_features(self.rows.where(part), self.spec))
@@ -39,8 +42,9 @@ class TrainedRun:
         return self.test_metrics.withColumns(named)
 
     def save(self, spark: SparkSession, path: str) -> None:
-        """Models, preparation, parameters and the split; ``params`` is written last and marks a whole run."""
+        """Models, preparation, parameters, the split and the scored test part; ``params`` is written last and marks a whole run."""
         self.rows.write.mode("overwrite").parquet(f"{path}/rows")
+        self.test.write.mode("overwrite").parquet(f"{path}/test")
         self.model.save(spark, f"{path}/model")
         self.fitted.save(spark, f"{path}/folds")
         self.spec.save(spark, f"{path}/spec")
@@ -51,7 +55,8 @@ class TrainedRun:
         params = json.loads(spark.read.parquet(f"{path}/params").first()["params"])
         model = trees.BoostedTrees.load(spark, f"{path}/model")
         fitted = boosting.Calibrated.load(spark, f"{path}/folds")
-        return TrainedRun(prep.FeatureSpec.load(spark, f"{path}/spec"), model, fitted, spark.read.parquet(f"{path}/rows"), params)
+        rows, test = (spark.read.parquet(f"{path}/{x}") for x in ("rows", "test"))
+        return TrainedRun(prep.FeatureSpec.load(spark, f"{path}/spec"), model, fitted, rows, params, test)
 
 
 def train_run(features: DataFrame, params: boosting.BoostParams, s: Settings = DEFAULTS) -> TrainedRun:

@@ -246,3 +246,10 @@ def test_all_cores_take_part_and_tasks_are_bounded():
     from bandstand.ml import trees
 
     assert [trees.tasks_for(n, 12) for n in (1, 5_000, 45_000, 450_000, 2_700_000, 60_000_000)] == [1, 1, 9, 12, 12, 240]
+
+
+def test_a_loaded_run_reads_its_scores(spark, run, tmp_path):
+    run.save(spark, str(tmp_path / "run"))
+    again = predict.TrainedRun.load(spark, str(tmp_path / "run"))
+    plan = again.test._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and again.test.columns == run.test.columns
