@@ -5,8 +5,10 @@ and again. In each scan phrases of all lengths are counted side by side: a phras
 both its subphrases (without its last and without its first word) reached the threshold, and is counted for one full
 cycle of shards, after which its count is complete. Scans end when no phrase became frequent within a cycle.
 
-A scan knows the frequent phrases by two bit filters of bounded size, which may let too many phrases pass but never miss one; the
-counts that come out of the shuffle are then joined with the table of frequent phrases, so only active phrases are kept.
+These scans count short hashes, sorted and packed to a few bytes each, and know what is frequent by a bit filter of bounded
+size to which bits are only added: each shard counts a phrase once, in the first scan whose filter passes it. Both may
+take too many phrases for frequent, but never miss one. A last scan counts the words of the phrases that the filter holds; those
+that reach the threshold by this count are the result.
 """
 
 from __future__ import annotations
@@ -32,13 +34,17 @@ _BLANK = np.zeros(256, bool)
 _BLANK[[0x20, 0x09]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A") : ord("Z") + 1] += 32
-_TASK_WORDS, _TASK_PHRASES = 400_000, 2_000_000
+_TASK_WORDS, _TASK_PHRASES, _TASK_HASHES = 400_000, 2_000_000, 4_000_000
+# Bits of a short hash, and words of the texts for each bucket of them.
+_SHORT, _BUCKET_WORDS = 40, 1_000_000
+_RUNS = "kind string, bucket int, hashes binary, counts binary, starts binary"
+_PHRASES = "bucket int, length int, words binary, counts binary"
 _STORED = "shard int, part string, lang string, word string, key long, n long, keys binary, codes binary"
 
 
 @dataclass(frozen=True)
 class PhraseRules:
-    """Words of the longest phrase, least count, phrases returned per language, shards of a cycle, most bits of a filter,
+    """Words of the longest phrase, least count, phrases returned per language, shards of a cycle, most bits of the filter,
     bytes of text in a chunk."""
 
     longest: int = 5
@@ -144,11 +150,15 @@ def _extended(hashes: np.ndarray, words: np.ndarray) -> np.ndarray:
     return mix(hashes * np.uint64(0xD1B54A32D192ED03) + words)
 
 
+def _short(hashes: np.ndarray) -> np.ndarray:
+    return hashes >> np.uint64(64 - _SHORT)
+
+
 class _Filter:
-    """Bits of hashes: those of frequent phrases, and those of phrases that became frequent within a cycle."""
+    """Bits of the short hashes of what is taken for frequent now, and one cycle of scans before."""
 
-    def __init__(self, known: np.ndarray, recent: np.ndarray):
-        self.known, self.recent = known, recent
+    def __init__(self, known: np.ndarray, before: np.ndarray):
+        self.known, self.before = known, before
 
     def _has(self, bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
         out = np.ones(len(hashes), bool)
@@ -157,25 +167,27 @@ class _Filter:
         return out
 
     def look(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        known = self._has(self.known, hashes)
-        recent = known.copy()
-        recent[known] = self._has(self.recent, hashes[known])
-        return known, recent
+        short = _short(hashes)
+        known = self._has(self.known, short)
+        before = known.copy()
+        before[known] = self._has(self.before, short[known])
+        return known, before
 
 
-def _places(hashes: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    mask = np.uint64(bits - 1)
-    return (hashes & mask).astype(np.int64), (hashes >> np.uint64(34) & mask).astype(np.int64)
+def _places(short: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    mask, mixed = np.uint64(bits - 1), mix(short)
+    return (mixed & mask).astype(np.int64), (mixed >> np.uint64(34) & mask).astype(np.int64)
 
 
-def _active_phrases(keys: np.ndarray, coded: np.ndarray, known: _Filter, longest: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """For each length the hashes and words of the phrases whose subphrases pass, one row per occurrence."""
+def _active_phrases(keys: np.ndarray, coded: np.ndarray, filters: _Filter, longest: int) -> Iterator[tuple[np.ndarray, ...]]:
+    """For each length, one row per occurrence of the phrases whose subphrases pass: the hash, where it begins, whether the
+    phrase passes itself, and whether its subphrases passed a cycle before."""
     words = keys[coded >> 1]
     piece = np.cumsum(coded & np.uint32(1), dtype=np.int64)
-    word_known, word_recent = known.look(keys)
+    word_known, word_before = filters.look(keys)
     code = (coded >> 1).astype(np.int64)
     at = np.flatnonzero(word_known[code])
-    recent, hashes = word_recent[code[at]], words[at]
+    before, hashes = word_before[code[at]], words[at]
     for length in range(2, longest + 1):
         # A phrase begins where a frequent one begins at its place and at the next, in one piece.
         follows = np.flatnonzero(at[1:] == at[:-1] + 1)
@@ -184,22 +196,100 @@ def _active_phrases(keys: np.ndarray, coded: np.ndarray, known: _Filter, longest
         follows, begin = follows[inside], begin[inside]
         whole = piece[begin + length - 1] == piece[begin]
         follows, begin = follows[whole], begin[whole]
-        fresh = recent[follows] | recent[follows + 1]
+        counted = before[follows] & before[follows + 1]
         longer = _extended(hashes[follows], words[begin + length - 1])
-        yield longer[fresh], words[begin[fresh, None] + np.arange(length)]
-        if length == longest:
-            return
-        passes, late = known.look(longer)
-        at, hashes, recent = begin[passes], longer[passes], late[passes]
+        passes, passed = filters.look(longer)
+        yield longer, begin, passes, counted
+        at, hashes, before = begin[passes], longer[passes], (counted & passed)[passes]
+
+
+def _planes(values: np.ndarray, width: int) -> bytes:
+    """Numbers byte by byte, all lowest bytes first, so that they compress well."""
+    return np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T).tobytes()
+
+
+def _numbers(planes: bytes, width: int) -> np.ndarray:
+    raw = np.frombuffer(planes, np.uint8).reshape(width, -1)
+    out = np.zeros((raw.shape[1], 8), np.uint8)
+    out[:, :width] = raw.T
+    return out.view("<u8").ravel()
+
+
+def _buckets(short: np.ndarray, bits: int) -> Iterator[tuple[int, int, int]]:
+    """The buckets that sorted short hashes fall into, by their first ``bits`` bits: number, first and end place."""
+    bounds = np.searchsorted(short, np.arange((1 << bits) + 1, dtype=np.uint64) << np.uint64(_SHORT - bits)).tolist()
+    return ((bucket, lo, hi) for bucket, (lo, hi) in enumerate(zip(bounds, bounds[1:])) if lo < hi)
+
+
+def _runs(kind: str, short: np.ndarray, n: np.ndarray, starts: np.ndarray, bits: int) -> Iterator[pa.RecordBatch]:
+    """Sorted short hashes with their counts and first scans, a row for each bucket."""
+    for bucket, lo, hi in _buckets(short, bits):
+        steps = np.diff(short[lo:hi], prepend=np.uint64(0))
+        row = (kind, bucket, _planes(steps, _SHORT // 8), _planes(n[lo:hi], 8), _planes(starts[lo:hi], 4))
+        types = (pa.string(), pa.int32(), pa.binary(), pa.binary(), pa.binary())
+        yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(row, types)], names=[f.split()[0] for f in _RUNS.split(", ")])
+
+
+def _hash_scan(batches: Iterator[pa.RecordBatch], filters: _Filter, longest: int, step: int, bits: int) -> Iterator[pa.RecordBatch]:
+    """How often the hashes of active phrases occur that neither passed nor were counted before."""
+    held: list[np.ndarray] = []
+
+    def counted() -> Iterator[pa.RecordBatch]:
+        if held:
+            short, n = np.unique(np.concatenate(held), return_counts=True)
+            held.clear()
+            yield from _runs("active", short, n, np.full(len(n), step), bits)
+
+    size = 0
+    for batch in batches:
+        for keys, coded in zip(batch.column(0), batch.column(1)):
+            keys, coded = np.frombuffer(keys.as_py(), np.uint64), _unpacked(coded.as_py())
+            for longer, _, passes, before in _active_phrases(keys, coded, filters, longest):
+                held.append(_short(longer[~(passes | before)]))
+                size += len(held[-1])
+            if size > _TASK_HASHES:
+                yield from counted()
+                size = 0
+    yield from counted()
 
 
-def _counted(hashes: list[np.ndarray], rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Different rows and their number."""
+def _merged(batches: Iterator[pa.RecordBatch], step: int, p: PhraseRules, bits: int) -> Iterator[pa.RecordBatch]:
+    """The counts of some buckets added up: hashes that reached the threshold, and those to be counted further."""
+    read: tuple[list, list, list] = ([], [], [])
+    for batch in batches:
+        for row in zip(*(batch.column(k) for k in (2, 3, 4))):
+            hashes, n, starts = (x.as_py() for x in row)
+            for held, x in zip(read, (np.cumsum(_numbers(hashes, _SHORT // 8), dtype=np.uint64), _numbers(n, 8), _numbers(starts, 4))):
+                held.append(x)
+    if not read[0]:
+        return
+    every, n, starts = (np.concatenate(x) for x in read)
+    for x in read:
+        x.clear()
+    order = np.argsort(every, kind="stable")
+    every = every[order]
+    first = np.flatnonzero(np.concatenate([[True], every[1:] != every[:-1]]))
+    short, n, starts = every[first], np.add.reduceat(n[order], first), np.minimum.reduceat(starts[order], first)
+    reached = n >= p.least
+    # What has had its cycle and is not frequent is not needed any more.
+    further = ~reached & (starts + np.uint64(p.shards) > np.uint64(step + 1))
+    for kind, some in (("reached", reached), ("active", further)):
+        yield from _runs(kind, short[some], n[some], starts[some], bits)
+
+
+def _counted(hashes: list[np.ndarray], rows: list[np.ndarray], n: list[np.ndarray] | None = None) -> tuple[np.ndarray, ...]:
+    """Hashes, different rows and their number, or the sum of their numbers ``n``; equal hashes stand together, in order."""
     every, words = np.concatenate(hashes), np.concatenate(rows)
-    _, one, back, n = np.unique(every, return_index=True, return_inverse=True, return_counts=True)
-    if all((words[:, k] == words[one, k][back]).all() for k in range(words.shape[1])):
-        return words[one], n
-    return np.unique(words, axis=0, return_counts=True)
+    numbers = np.ones(len(every), np.int64) if n is None else np.concatenate(n).astype(np.int64)
+    order = np.argsort(every, kind="stable")
+    every, words, numbers = every[order], words[order], numbers[order]
+    if (words[1:] != words[:-1])[every[1:] == every[:-1]].any():  # rows that share a hash
+        order = np.lexsort((*words.T, every))
+        every, words, numbers = every[order], words[order], numbers[order]
+    new = np.ones(len(every), bool)
+    new[1:] = (every[1:] != every[:-1]) | (words[1:] != words[:-1]).any(axis=1)
+    first = np.flatnonzero(new)
+    return every[first], words[first], np.add.reduceat(numbers, first)
 
 
 def _lists(rows: np.ndarray) -> pa.Array:
@@ -207,62 +297,73 @@ def _lists(rows: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(bounds), pa.array(np.ascontiguousarray(rows).view(np.int64).ravel()))
 
 
-def _scan(batches: Iterator[pa.RecordBatch], known: _Filter, longest: int) -> Iterator[pa.RecordBatch]:
+def _scan(batches: Iterator[pa.RecordBatch], filters: _Filter, longest: int, bits: int) -> Iterator[pa.RecordBatch]:
+    """The words of the phrases that pass, and their number, packed by length and bucket."""
     held: dict[int, tuple[list, list]] = {k: ([], []) for k in range(2, longest + 1)}
     size = 0
 
     def counted() -> Iterator[pa.RecordBatch]:
-        for hashes, rows in held.values():
+        for length, (hashes, rows) in held.items():
             if hashes:
-                words, n = _counted(hashes, rows)
-                for lo in range(0, len(n), 100_000):
-                    yield pa.RecordBatch.from_arrays([_lists(words[lo : lo + 100_000]), pa.array(n[lo : lo + 100_000])], names=["w", "n"])
+                every, words, n = _counted(hashes, rows)
+                for bucket, lo, hi in _buckets(_short(every), bits):
+                    row = (bucket, length, words[lo:hi].tobytes(), _planes(n[lo:hi], 8))
+                    types = (pa.int32(), pa.int32(), pa.binary(), pa.binary())
+                    yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(row, types)], names=[f.split()[0] for f in _PHRASES.split(", ")])
                 hashes.clear()
                 rows.clear()
 
     for batch in batches:
         for keys, coded in zip(batch.column(0), batch.column(1)):
             keys, coded = np.frombuffer(keys.as_py(), np.uint64), _unpacked(coded.as_py())
-            for hashes, words in _active_phrases(keys, coded, known, longest):
-                if len(hashes):
-                    held[words.shape[1]][0].append(hashes)
-                    held[words.shape[1]][1].append(words)
-                    size += len(hashes)
+            words = keys[coded >> 1]
+            for length, (longer, begin, passes, _) in enumerate(_active_phrases(keys, coded, filters, longest), 2):
+                if passes.any():
+                    held[length][0].append(longer[passes])
+                    held[length][1].append(words[begin[passes, None] + np.arange(length)])
+                    size += int(passes.sum())
             if size > _TASK_PHRASES:
                 yield from counted()
                 size = 0
     yield from counted()
 
 
-def _filter_of(frequent: DataFrame, n: int, since: int, p: PhraseRules) -> _Filter:
-    """The filters of the ``n`` frequent phrases and of those frequent since a step; what reaches the driver are the bits."""
-    bits = 1 << 16
-    while bits < min(p.filter_bits, n * 16):
-        bits *= 2
+def _frequent(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
+    """The phrases of some buckets that occur often enough."""
+    read: dict[int, tuple[list, list, list]] = {}
+    for batch in batches:
+        for length, words, n in zip(*(batch.column(k) for k in (1, 2, 3))):
+            words = np.frombuffer(words.as_py(), np.uint64).reshape(-1, length.as_py())
+            hashes = words[:, 0]
+            for k in range(1, words.shape[1]):
+                hashes = _extended(hashes, words[:, k])
+            for held, x in zip(read.setdefault(words.shape[1], ([], [], [])), (hashes, words, _numbers(n.as_py(), 8))):
+                held.append(x)
+    while read:
+        _, words, n = _counted(*read.popitem()[1])
+        often = n >= least
+        yield pa.RecordBatch.from_arrays([_lists(words[often]), pa.array(n[often])], names=["w", "n"])
+
+
+def _bits_of(rows: DataFrame, bits: int) -> np.ndarray:
+    """The filter's bits of the words' keys or of packed runs of hashes, in one column; what reaches the driver are the bits."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lists, recent = batch.column(0), batch.column(1).to_numpy(zero_copy_only=False)
-            flat, sizes = lists.flatten().to_numpy().view(np.uint64), lists.value_lengths().to_numpy(zero_copy_only=False)
-            first = np.cumsum(sizes) - sizes
-            hashes = flat[first].copy()
-            for k in range(1, int(sizes.max(initial=0))):
-                more = sizes > k
-                hashes[more] = _extended(hashes[more], flat[first[more] + k])
-            for at in _places(hashes, bits):
-                one = (np.uint64(1) << (at & 63).astype(np.uint64)).view(np.int64)
-                columns = [pa.array(at >> 6), pa.array(one), pa.array(np.where(recent, one, 0))]
-                yield pa.RecordBatch.from_arrays(columns, names=["at", "known", "recent"])
-
-    rows = frequent.select("w", (F.col("reach") >= since).alias("recent")).mapInArrow(run, "at long, known long, recent long")
-    got = rows.groupBy("at").agg(F.bit_or("known").alias("known"), F.bit_or("recent").alias("recent")).toArrow()
-    at = got["at"].to_numpy()
-    out = []
-    for name in ("known", "recent"):
-        words = np.zeros(bits // 64, np.uint64)
-        words[at] = got[name].to_numpy().view(np.uint64)
-        out.append(words)
-    return _Filter(*out)
+            column = batch.column(0)
+            if pa.types.is_integer(column.type):
+                each = [_short(column.to_numpy().view(np.uint64))]
+            else:
+                each = (np.cumsum(_numbers(x.as_py(), _SHORT // 8), dtype=np.uint64) for x in column)
+            for short in each:
+                for at in _places(short, bits):
+                    one = (np.uint64(1) << (at & 63).astype(np.uint64)).view(np.int64)
+                    yield pa.RecordBatch.from_arrays([pa.array(at >> 6), pa.array(one)], names=["at", "bits"])
+
+    got = rows.mapInArrow(run, "at long, bits long").groupBy("at").agg(F.bit_or("bits").alias("bits")).toArrow()
+    out = np.zeros(bits // 64, np.uint64)
+    out[got["at"].to_numpy()] = got["bits"].to_numpy().view(np.uint64)
+    return out
 
 
 def _stored(docs: DataFrame, lang_column: str, text_column: str, p: PhraseRules, seed: int) -> str:
@@ -289,39 +390,33 @@ def frequent_phrases(scratch: Scratch, docs: DataFrame, lang_column: str, text_c
             break
         seed += 1  # two words share a key: number them anew
     texts = read.where("part = 'texts'").select("keys", "codes", "shard")
-    frequent = scratch.write(words.where(F.col("n") >= p.least).select(F.array("key").alias("w"), F.lit(0).alias("reach")))
-    done = spark.createDataFrame([], "w array<bigint>, n long")
+    total = words.agg(F.sum("n")).first()[0] or 0
+    width, bits = 1 << 16, 4
+    while width < min(p.filter_bits, total // p.least * 16):
+        width *= 2
+    while _BUCKET_WORDS << bits < total:
+        bits += 1
+    none = np.zeros(width // 64, np.uint64)
+    known = [_bits_of(words.where(F.col("n") >= p.least).select("key"), width)]  # before the first scan and after each of the last ones
     state, step = None, 0
-    while True:
-        growing = F.size("w") < p.longest
-        n, late = frequent.agg(F.count_if(growing), F.count_if(growing & (F.col("reach") > step - p.shards))).first()
-        if not late:
-            return words, done
+    # What passes the filter of a cycle before was counted in all shards.
+    while not (known[-1] == (known[-1 - p.shards] if step >= p.shards else none)).all():
         step += 1
-        known = _filter_of(frequent.where(growing), n, step - p.shards, p)
+        filters = _Filter(known[-1], known[-1 - p.shards] if step > p.shards else none)
         rows = texts.where(F.col("shard") == (step - 1) % p.shards).select("keys", "codes")
-        found = rows.mapInArrow(lambda batches, known=known: _scan(batches, known, p.longest), "w array<bigint>, n long")
-        found = found.select("w", "n", F.lit(None).cast("int").alias("start"), F.lit(None).cast("int").alias("reach"))
+        found = rows.mapInArrow(lambda batches, step=step, filters=filters: _hash_scan(batches, filters, p.longest, step, bits), _RUNS)
         if state is not None:
-            found = found.union(state.where(F.col("start") > step - p.shards))
-        found = found.groupBy("w").agg(F.sum("n").alias("n"), F.max("start").alias("start"), F.max("reach").alias("reach"))
-        head = frequent.select(F.col("w").alias("head"), F.col("reach").alias("head_reach"))
-        tail = frequent.select(F.col("w").alias("tail"), F.col("reach").alias("tail_reach"))
-        shorter = F.size("w") - 1
-        met = found.join(head, F.slice("w", F.lit(1), shorter) == F.col("head")).join(tail, F.slice("w", F.lit(2), shorter) == F.col("tail"))
-        start = F.coalesce("start", F.greatest("head_reach", "tail_reach") + 1)
-        reach = F.coalesce("reach", F.when(F.col("n") >= p.least, F.lit(step)))
-        active = met.select("w", "n", start.alias("start"), reach.alias("reach")).where(F.col("start") > step - p.shards)
-        # What has had its cycle and is not frequent is not needed any more.
-        active = active.where((F.col("n") >= p.least) | (F.col("start") > step - p.shards + 1))
-        before, state = state, scratch.write(active)
+            found = found.union(state.where("kind = 'active'"))
+        dealt = found.repartition(1 << bits, "bucket")
+        before, state = state, scratch.write(dealt.mapInArrow(lambda batches, step=step: _merged(batches, step, p, bits), _RUNS))
         if before is not None:
             scratch.drop(before)
-        whole = F.col("start") == step - p.shards + 1
-        marked = state.where((F.col("reach") == step) | (whole & (F.col("n") >= p.least)))
-        marked = scratch.write(marked.select("w", "n", "reach", whole.alias("whole")).coalesce(16))
-        frequent = frequent.union(marked.where(F.col("reach") == step).select("w", "reach"))
-        done = done.union(marked.where("whole").select("w", "n"))
+        known = [*known[-p.shards :], known[-1] | _bits_of(state.where("kind = 'reached'").select("hashes"), width)]
+    if state is not None:
+        scratch.drop(state)
+    filters = _Filter(known[-1], none)
+    found = texts.select("keys", "codes").mapInArrow(lambda batches: _scan(batches, filters, p.longest, bits), _PHRASES)
+    return words, scratch.write(found.repartition(1 << bits, "bucket").mapInArrow(lambda batches: _frequent(batches, p.least), "w array<bigint>, n long"))
 
 
 def collocations(docs: DataFrame, lang_column: str, text_column: str, p: PhraseRules = PhraseRules()) -> DataFrame:

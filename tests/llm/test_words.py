@@ -7,6 +7,7 @@ from collections import Counter
 from itertools import product
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -223,6 +224,36 @@ def test_words_that_share_a_key_are_numbered_anew(spark, spoken, monkeypatch):
     assert got == phrase_rows(rows, 5, 10, 50)
 
 
+def test_rare_phrases_are_counted_in_a_few_bytes_each():
+    rng = np.random.default_rng(5)
+    keys = rng.integers(0, 2**64, 2000, dtype=np.uint64)
+    width = 1 << 16
+    known, none = np.zeros(width // 64, np.uint64), np.zeros(width // 64, np.uint64)
+    for at in phrases._places(phrases._short(keys), width):
+        np.bitwise_or.at(known, at >> 6, np.uint64(1) << (at & 63).astype(np.uint64))
+    filters, p, bits = phrases._Filter(known, none), phrases.PhraseRules(longest=2, least=100, shards=1), 4
+    runs, pairs = [], []
+    for _ in range(2):
+        codes = rng.integers(0, 2000, 400_000)
+        packed = phrases._packed(codes, np.arange(len(codes)) == 0)
+        chunk = pa.RecordBatch.from_arrays([pa.array([keys.tobytes()]), pa.array([packed])], names=["keys", "codes"])
+        runs += phrases._hash_scan(iter([chunk]), filters, 2, 1, bits)
+        pairs.append(phrases._short(phrases._extended(keys[codes[:-1]], keys[codes[1:]])))
+    passes = filters.look(np.concatenate(pairs) << np.uint64(64 - phrases._SHORT))[0]
+    want = dict(zip(*(x.tolist() for x in np.unique(np.concatenate(pairs)[~passes], return_counts=True))))
+    size = sum(len(zlib.compress(x.as_py(), 1)) for r in runs for x in (r.column(k)[0] for k in (2, 3, 4)))
+    assert size < 6 * sum(len(np.unique(x)) for x in pairs)
+    # A cycle of two shards is not over after one scan: all counts are kept, and added up.
+    merged = list(phrases._merged(iter(runs), 1, phrases.PhraseRules(longest=2, least=3, shards=2), bits))
+    got = {}
+    for r in merged:
+        kind, n = r.column(0)[0].as_py(), phrases._numbers(r.column(3)[0].as_py(), 8).tolist()
+        assert all((x >= 3) == (kind == "reached") for x in n)
+        got |= zip(np.cumsum(phrases._numbers(r.column(2)[0].as_py(), 5)).tolist(), n)
+    assert got == want
+    assert not list(phrases._merged(iter(runs), 1, p, bits))
+
+
 def test_registered_queries_give_the_agreed_columns(spark):
     d = "/root/testdata/sf0.001"
     rows = QUERIES["op11_vantage_trees"](spark, d)
