@@ -105,12 +105,13 @@ def with_margins(df: DataFrame, models: list[BoostedTrees], name: str) -> DataFr
 
 @dataclass(frozen=True)
 class _Run:
-    """What stays the same over a fit: model ``m`` leaves out the rows of fold ``excluded[m]`` (-1: none)."""
+    """What stays the same over a fit: model ``m`` leaves out the rows of fold ``excluded[m]`` (-1: none); sums are counted in ``unit``."""
 
     params: BoostParams
     cuts: list[np.ndarray]
     excluded: np.ndarray
     weights: np.ndarray
+    unit: float = 2.0**-24
 
     @property
     def models(self) -> int:
@@ -169,8 +170,9 @@ def fit_together(
     counts = wide.groupBy("fold").agg(F.count("*").alias("n"), F.sum("positive").alias("pos"), F.max(F.size("x")).alias("width")).collect()
     if not counts:
         raise ValueError("no rows to fit")
-    run = _Run(params, _cuts(wide, counts[0]["width"], params.bins), np.array([-1 if e is None else e for e in excluded]), _weights(counts, excluded))
-    tasks = tasks_for(sum(r["n"] for r in counts), rows.sparkSession.sparkContext.defaultParallelism)
+    weights, n = _weights(counts, excluded), sum(r["n"] for r in counts)
+    run = _Run(params, _cuts(wide, counts[0]["width"], params.bins), np.array([-1 if e is None else e for e in excluded]), weights, _unit(n, weights))
+    tasks = tasks_for(n, rows.sparkSession.sparkContext.defaultParallelism)
     held = wide.repartition(tasks).rdd.mapPartitions(partial(_blocks, run))
     grown: list[_Round] = []
     before = None
@@ -209,6 +211,11 @@ def _weights(counts: list, excluded: list[int | None]) -> np.ndarray:
     return np.array([w or 1.0 for w in out])
 
 
+def _unit(n: int, weights: np.ndarray) -> float:
+    """A power of two that all sums over ``n`` rows are less than 2^51 times of, so that doubles hold them exactly."""
+    return 2.0 ** (np.ceil(np.log2(max(n, 1) * max(1.0, weights.max()))) - 51)
+
+
 @dataclass(frozen=True)
 class _Block:
     """Rows of a task: ``bins`` [feature, row], columns ``positive, fold, draw`` [row], and at the start of a round
@@ -254,25 +261,51 @@ def _drawn(run: _Run, draw: np.ndarray, number: int, m: int) -> np.ndarray:
     return (z >> np.uint64(11)) / 2.0**53 < run.params.row_share
 
 
-def _sum_level(run: _Run, trees: _Round, level: int, blocks):
-    """Per model, node of the level, feature and bin: the sums of gradients and curvatures of a task's rows."""
+def _sum_level(run: _Run, trees: _Round, level: int, lighter: np.ndarray, barred: np.ndarray, blocks):
+    """Per model, node of the level, feature and bin: the sums of gradients and curvatures of a task's rows, in units.
+    Only nodes that are marked in ``lighter`` [model, node of the level] are summed, and no features ``barred`` [model, feature]."""
     width, bins, nodes = len(run.cuts), run.params.bins, 2**level
     sums = np.zeros((2, run.models, width, nodes * bins))
     for block in blocks:
         for m in range(run.models):
             own = np.flatnonzero(block.part[m])
+            at = trees.reach(m, block.bins, own, level) - (nodes - 1)
+            if not lighter[m].all():
+                some = np.flatnonzero(lighter[m].take(at))
+                own, at = own.take(some), at.take(some)
             p = 1 / (1 + np.exp(-block.margins[m].take(own)))
             positive = block.positive.take(own)
-            weight = np.where(positive == 1, run.weights[m], 1.0)
-            slope, curve = weight * (p - positive), weight * p * (1 - p)
-            at = (trees.reach(m, block.bins, own, level) - (nodes - 1)) * bins
-            for f in range(width):
+            weight = np.where(positive == 1, run.weights[m], 1.0) / run.unit
+            slope, curve = np.rint(weight * (p - positive)), np.rint(weight * p * (1 - p))
+            at *= bins
+            for f in np.flatnonzero(~barred[m]):
                 where = at + block.bins[f].take(own)
                 sums[0, m, f] += np.bincount(where, slope, nodes * bins)
                 sums[1, m, f] += np.bincount(where, curve, nodes * bins)
     yield sums.reshape(2, run.models, width, nodes, bins).swapaxes(2, 3)
 
 
+def _lighter(trees: _Round, level: int) -> np.ndarray:
+    """For each model and node of a level whether it is the child of less curvature; both children of a leaf are none."""
+    first = 2**level - 1
+    if not level:
+        return np.ones((len(trees.feature), 1), dtype=bool)
+    left, right = (trees.cover[:, first + side : 2 * first + 1 : 2] for side in (0, 1))
+    split = trees.feature[:, first // 2 : first] >= 0
+    return np.stack([split & (left <= right), split & (left > right)], axis=-1).reshape(len(split), -1)
+
+
+def _with_rest(sums: np.ndarray, above: np.ndarray, trees: _Round, level: int, lighter: np.ndarray) -> np.ndarray:
+    """The sums of a level with those of the heavier children: what the lighter ones leave of their parents."""
+    first = 2**level - 1
+    split = (trees.feature[:, first // 2 : first] >= 0)[:, :, None, None]
+    out = sums.copy()
+    for side in (0, 1):
+        own = lighter[:, side::2][:, :, None, None]
+        out[:, :, side::2] = np.where(own | ~split, sums[:, :, side::2], above - sums[:, :, 1 - side :: 2])
+    return out
+
+
 def _grow(held: RDD, tasks: int, run: _Run, number: int) -> _Round:
     """The next tree of every model: one job per level."""
     trees, p = _Round.start(run), run.params
@@ -280,10 +313,13 @@ def _grow(held: RDD, tasks: int, run: _Run, number: int) -> _Round:
     barred = np.ones((run.models, width), dtype=bool)
     for m in range(run.models):
         barred[m, np.random.default_rng([p.seed, number, m]).permutation(width)[:keep]] = False
+    above = None
     for level in range(p.depth):
-        parts = held.mapPartitions(partial(_sum_level, run, trees, level))
+        lighter = _lighter(trees, level)
+        parts = held.mapPartitions(partial(_sum_level, run, trees, level, lighter, barred))
         sums = parts.treeReduce(np.add) if tasks > SUMS_AT_ONCE else reduce(np.add, parts.collect())
-        if not _split_level(trees, sums, barred, level, p.rate):
+        above = sums if above is None else _with_rest(sums, above, trees, level, lighter)
+        if not _split_level(trees, above * run.unit, barred, level, p.rate):
             break
     return trees
 
@@ -311,7 +347,7 @@ def _split_level(trees: _Round, sums: np.ndarray, barred: np.ndarray, level: int
             f, b = divmod(int(best[m, i]), bins)
             node = first + i
             if level == 0:
-                trees.value[m, 0], trees.cover[m, 0] = _leaf(*whole[:, m, i, 0, 0], rate), whole[1, m, i, 0, 0]
+                trees.value[m, 0], trees.cover[m, 0] = _leaf(*whole[:, m, i, f, 0], rate), whole[1, m, i, f, 0]
             if not gain[m, i, f, b] > LEAST_GAIN:
                 continue
             any_split = True

@@ -253,3 +253,31 @@ def test_a_loaded_run_reads_its_scores(spark, run, tmp_path):
     again = predict.TrainedRun.load(spark, str(tmp_path / "run"))
     plan = again.test._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and again.test.columns == run.test.columns
+
+
+def test_a_level_sums_the_rows_of_lighter_children_only_and_loses_nothing(monkeypatch):
+    """The other children have what is left of their parents, to the last bit, and barred features are not summed."""
+    from bandstand.ml import trees
+
+    rng = np.random.default_rng(3)
+    n, width, models = 4000, 3, 2
+    run = trees._Run(trees.BoostParams(depth=3, bins=16), [np.arange(15.0)] * width, np.array([-1, 0]), np.array([2.0, 3.0]), trees._unit(n, np.array([2.0, 3.0])))
+    bins, positive = rng.integers(0, 16, (width, n)).astype(np.uint8), rng.integers(0, 2, n).astype(np.uint8)
+    block = trees._Block(bins, positive, rng.integers(0, 2, n), rng.integers(0, 2**62, n), rng.normal(size=(models, n)))
+    block = trees._next_round(run, None, 0, block)
+    barred = np.array([[False, False, True], [True, False, False]])
+    grown, above, read = trees._Round.start(run), None, []
+    real = np.bincount
+    monkeypatch.setattr(np, "bincount", lambda x, *a: read.append(len(x)) or real(x, *a))
+    for level in range(3):
+        lighter = trees._lighter(grown, level)
+        read.clear()
+        own = next(trees._sum_level(run, grown, level, lighter, barred, [block]))
+        touched = sum(read)
+        above = own if above is None else trees._with_rest(own, above, grown, level, lighter)
+        every = np.ones_like(lighter)
+        read.clear()
+        assert (above == next(trees._sum_level(run, grown, level, every, barred, [block]))).all()
+        assert touched <= sum(read) * (0.6 if level else 1)
+        assert not above[:, barred.nonzero()[0], :, barred.nonzero()[1]].any()
+        assert trees._split_level(grown, above * run.unit, barred, level, 0.1)
